@@ -81,3 +81,137 @@ def rating_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _season(spark, sf_dir).ratings
     return r.select("player_id", _date("match_date"), "match_id", R("old_rating").alias("old_rating"),
                     R("rating").alias("rating"), R("change_in_rating").alias("change_in_rating"))
+
+
+# --- events -------------------------------------------------------------------------
+
+@query
+def event_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.events import player_events
+    ev = player_events(_season(spark, sf_dir).events)
+    return ev.select("match_id", _big("seq"), "player_id", _int("event_id"), _int("sub_event_id"),
+                     F.coalesce(F.size("tags"), F.lit(0)).cast("bigint").alias("n_tags"),
+                     F.array_join(F.transform("tags", lambda t: t["id"].cast("string")), ",").alias("tag_ids"))
+
+
+@query
+def tag_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.events import tag_membership as op
+    return op(_season(spark, sf_dir).events).withColumn("seq", F.col("seq").cast("bigint"))
+
+
+@query
+def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.events import event_type_counts as op
+    return op(_season(spark, sf_dir).events)
+
+
+# --- metric components ----------------------------------------------------------------
+
+def _component(spark: SparkSession, sf_dir: str, events_col: str, counts: list[str], value) -> DataFrame:
+    from ..operators.metrics import metric_counts
+    c = metric_counts(_season(spark, sf_dir).events)
+    return (c.filter(F.col(events_col) > 0)
+            .select("match_id", "player_id", *[_big(x) for x in counts], R(value).alias("value")))
+
+
+@query
+def pass_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import pass_accuracy_of
+    return _component(spark, sf_dir, "n_pass_events",
+                      ["n_key_accurate", "n_key_inaccurate", "n_accurate", "n_inaccurate"],
+                      pass_accuracy_of()).withColumnRenamed("value", "pass_accuracy")
+
+
+@query
+def duel_effectiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import duel_effectiveness_of
+    return _component(spark, sf_dir, "n_duel_events", ["n_duels_won", "n_duels_neutral", "n_duels_lost"],
+                      duel_effectiveness_of()).withColumnRenamed("value", "duel_effectiveness")
+
+
+@query
+def free_kick_effectiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import free_kick_effectiveness_of
+    return _component(spark, sf_dir, "n_free_kick_events",
+                      ["n_free_kicks_effective", "n_free_kicks_not_effective", "n_penalties_scored"],
+                      free_kick_effectiveness_of()).withColumnRenamed("value", "free_kick_effectiveness")
+
+
+@query
+def shot_effectiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import shot_effectiveness_of
+    return _component(spark, sf_dir, "n_shot_events",
+                      ["n_shot_goals", "n_shots_on_target_no_goal", "n_shots_off_target"],
+                      shot_effectiveness_of()).withColumnRenamed("value", "shot_effectiveness")
+
+
+# --- career -------------------------------------------------------------------------
+
+@query
+def stream_pass_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _season(spark, sf_dir).stream_pass_accuracy
+    return s.select("player_id", _big("numerator"), _big("denominator"), R("pass_accuracy").alias("pass_accuracy"))
+
+
+_TOTAL_COUNTS = ("number_of_fouls", "number_of_goals", "number_of_own_goals", "number_of_matches",
+                 "number_of_shots_on_target")
+
+
+@query
+def player_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _season(spark, sf_dir).player_totals
+    return t.select("player_id", "name", "role", "foot", _date("birth_date"), "birth_area", "passport_area",
+                    _int("height"), _int("weight"), *[_big(c) for c in _TOTAL_COUNTS],
+                    R("pass_accuracy").alias("pass_accuracy"))
+
+
+@query
+def player_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _season(spark, sf_dir).chemistry
+    return c.select("player_id_1", "player_id_2", R("chemistry").alias("chemistry"))
+
+
+# --- matches ------------------------------------------------------------------------
+
+def _scored_text(c: str) -> F.Column:
+    return F.array_join(F.transform(c, lambda x: F.concat_ws(
+        "|", F.coalesce(x["player_name"], F.lit("?")), F.coalesce(x["team_name"], F.lit("?")),
+        x["number_of_goals"].cast("string"))), ";").alias(c)
+
+
+def _names_text(c: str) -> F.Column:
+    return F.array_join(F.transform(c, lambda x: F.coalesce(x, F.lit("?"))), ";").alias(c)
+
+
+def _details_text(df: DataFrame) -> list[F.Column]:
+    return ["match_id", "label", _date("date"), "duration", "winner", "venue", _int("gameweek"),
+            _scored_text("goals"), _scored_text("own_goals"), _names_text("yellow_cards"),
+            _names_text("red_cards")]
+
+
+@query
+def match_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _season(spark, sf_dir).match_summary
+    return s.select("match_id", "winner", *[_big(f"total_{c}") for c in
+                                            ("goals", "own_goals", "yellow_cards", "red_cards")])
+
+
+@query
+def match_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _season(spark, sf_dir).match_details
+    return d.select(*_details_text(d))
+
+
+@query
+def match_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _season(spark, sf_dir).match_lookups
+    return d.select(_big("request_id"), *_details_text(d), "error")
+
+
+@query
+def player_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _season(spark, sf_dir).profiles
+    return p.select(_big("request_id"), "player_id", "name", "role", "foot", _date("birth_date"), "birth_area",
+                    "passport_area", _int("height"), _int("weight"), *[_big(c) for c in _TOTAL_COUNTS],
+                    R("pass_accuracy").alias("pass_accuracy"), "error")

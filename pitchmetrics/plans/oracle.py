@@ -169,6 +169,63 @@ rt AS (
   FROM rt0
   WINDOW w AS (PARTITION BY player_id ORDER BY match_date, match_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          wp AS (PARTITION BY player_id ORDER BY match_date, match_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+sp AS (
+  SELECT player_id, match_id, seq,
+         CASE WHEN t302 AND t1801 THEN 2 WHEN NOT t302 AND t1801 THEN 1 ELSE 0 END AS wn,
+         CASE WHEN t302 AND (t1801 OR t1802) THEN 2 WHEN NOT t302 AND (t1801 OR t1802) THEN 1 ELSE 0 END AS wd
+  FROM evt WHERE n_tags > 0 AND event_id = 8
+),
+spr AS (
+  SELECT player_id, sum(wn) OVER w AS rn, sum(wd) OVER w AS rd FROM sp
+  WINDOW w AS (PARTITION BY match_id, player_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+spa AS (
+  SELECT player_id, CAST(sum(rn) AS BIGINT) AS numerator, CAST(sum(rd) AS BIGINT) AS denominator,
+         CASE WHEN sum(rd) = 0 THEN 0.0 ELSE CAST(sum(rn) AS DOUBLE) / CAST(sum(rd) AS DOUBLE) END AS pass_accuracy
+  FROM spr GROUP BY player_id
+),
+tot AS (
+  SELECT player_id, sum(number_of_fouls) AS number_of_fouls, sum(number_of_goals) AS number_of_goals,
+         sum(number_of_own_goals) AS number_of_own_goals, sum(no_of_shots_on_target) AS number_of_shots_on_target,
+         count(*) FILTER (WHERE minutes_played > 0) AS number_of_matches
+  FROM mf GROUP BY player_id
+),
+pt AS (
+  SELECT pl.player_id, pl.name, pl.role, pl.foot, pl.birth_date, pl.birth_area, pl.passport_area, pl.height, pl.weight,
+         CAST(coalesce(tot.number_of_fouls, 0) AS BIGINT) AS number_of_fouls,
+         CAST(coalesce(tot.number_of_goals, 0) AS BIGINT) AS number_of_goals,
+         CAST(coalesce(tot.number_of_own_goals, 0) AS BIGINT) AS number_of_own_goals,
+         CAST(coalesce(tot.number_of_matches, 0) AS BIGINT) AS number_of_matches,
+         CAST(coalesce(tot.number_of_shots_on_target, 0) AS BIGINT) AS number_of_shots_on_target,
+         coalesce(spa.pass_accuracy, 0.0) AS pass_accuracy
+  FROM pl LEFT JOIN tot ON pl.player_id = tot.player_id LEFT JOIN spa ON pl.player_id = spa.player_id
+),
+chem_sq AS (
+  SELECT pa.match_id, pa.player_id, pa.team_pos, rt.rating - rt.old_rating AS d
+  FROM pa JOIN rt ON pa.match_id = rt.match_id AND pa.player_id = rt.player_id
+  WHERE pa.squad IN ('lineup', 'bench')
+),
+ch AS (
+  SELECT a.player_id AS player_id_1, b.player_id AS player_id_2,
+         0.5 + sum(CASE WHEN (a.team_pos = b.team_pos) = ((a.d >= 0) = (b.d >= 0)) THEN abs((a.d + b.d) / 2)
+                        ELSE -abs((a.d + b.d) / 2) END) AS chemistry
+  FROM chem_sq a JOIN chem_sq b ON a.match_id = b.match_id AND a.player_id <> b.player_id
+  GROUP BY a.player_id, b.player_id
+),
+md AS (
+  SELECT mtx.match_id, any_value(mtx.label) AS label, CAST(any_value(mtx.match_date) AS VARCHAR) AS date,
+         any_value(mtx.duration) AS duration,
+         CASE WHEN any_value(mtx.winner) = '0' THEN 'DRAW' ELSE 'Team ' || any_value(mtx.winner) END AS winner,
+         any_value(mtx.venue) AS venue, any_value(mtx.gameweek) AS gameweek,
+         coalesce(string_agg(pa.name || '|Team ' || pa.team_id || '|' || CAST(pa.goals AS VARCHAR), ';'
+                             ORDER BY pa.team_pos, pa.pos) FILTER (WHERE pa.goals > 0), '') AS goals,
+         coalesce(string_agg(pa.name || '|Team ' || pa.team_id || '|' || CAST(pa.own_goals AS VARCHAR), ';'
+                             ORDER BY pa.team_pos, pa.pos) FILTER (WHERE pa.own_goals > 0), '') AS own_goals,
+         coalesce(string_agg(pa.name, ';' ORDER BY pa.team_pos, pa.pos) FILTER (WHERE pa.yellow_cards > 0), '') AS yellow_cards,
+         coalesce(string_agg(pa.name, ';' ORDER BY pa.team_pos, pa.pos) FILTER (WHERE pa.red_cards > 0), '') AS red_cards
+  FROM mtx JOIN pa ON mtx.match_id = pa.match_id
+  GROUP BY mtx.match_id
 )
 """
 
@@ -211,3 +268,90 @@ ORACLE["rating_change"] = _with(f"""
 SELECT player_id, CAST(match_date AS VARCHAR) AS match_date, match_id, {R('old_rating')} AS old_rating,
        {R('rating')} AS rating, {R('rating - old_rating')} AS change_in_rating
 FROM rt""")
+
+_TAG_TEXT = ("concat_ws(',', CASE WHEN t302 THEN '302' END, CASE WHEN t1801 THEN '1801' END, "
+             "CASE WHEN t1802 THEN '1802' END, CASE WHEN t701 THEN '701' END, CASE WHEN t702 THEN '702' END, "
+             "CASE WHEN t703 THEN '703' END, CASE WHEN t101 THEN '101' END, CASE WHEN t102 THEN '102' END)")
+
+ORACLE["event_filter"] = _with(f"""
+SELECT match_id, CAST(seq AS BIGINT) AS seq, player_id, CAST(event_id AS INTEGER) AS event_id,
+       CAST(sub_event_id AS INTEGER) AS sub_event_id, CAST(n_tags AS BIGINT) AS n_tags, {_TAG_TEXT} AS tag_ids
+FROM evt""")
+
+ORACLE["tag_membership"] = _with("""
+SELECT match_id, CAST(seq AS BIGINT) AS seq, player_id, CAST(event_id AS INTEGER) AS event_id,
+       CAST(n_tags AS BIGINT) AS n_tags,
+       CAST(t101 AS INTEGER) AS has_101, CAST(t102 AS INTEGER) AS has_102, CAST(t302 AS INTEGER) AS has_302,
+       CAST(t701 AS INTEGER) AS has_701, CAST(t702 AS INTEGER) AS has_702, CAST(t703 AS INTEGER) AS has_703,
+       CAST(t1801 AS INTEGER) AS has_1801, CAST(t1802 AS INTEGER) AS has_1802
+FROM evt""")
+
+ORACLE["event_type_counts"] = _with("""
+SELECT match_id, player_id,
+       CAST(count(*) FILTER (WHERE event_id = 8) AS BIGINT) AS n_passes,
+       CAST(count(*) FILTER (WHERE event_id = 1) AS BIGINT) AS n_duels,
+       CAST(count(*) FILTER (WHERE event_id = 3) AS BIGINT) AS n_free_kicks,
+       CAST(count(*) FILTER (WHERE event_id = 2) AS BIGINT) AS n_fouls,
+       CAST(count(*) FILTER (WHERE event_id = 10) AS BIGINT) AS n_shots,
+       CAST(count(*) FILTER (WHERE event_id NOT IN (1, 2, 3, 8, 10) OR event_id IS NULL) AS BIGINT) AS n_other,
+       CAST(count(*) AS BIGINT) AS n_events
+FROM evt GROUP BY match_id, player_id""")
+
+
+def _component(events_col: str, counts: list[str], value_col: str) -> str:
+    cols = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in counts)
+    return _with(f"""
+SELECT cnt.match_id, cnt.player_id, {cols}, {R('mm.' + value_col)} AS {value_col}
+FROM cnt JOIN mm ON cnt.match_id = mm.match_id AND cnt.player_id = mm.player_id
+WHERE {events_col} > 0""")
+
+
+ORACLE["pass_accuracy"] = _component(
+    "n_pass_events", ["n_key_accurate", "n_key_inaccurate", "n_accurate", "n_inaccurate"], "pass_accuracy")
+ORACLE["duel_effectiveness"] = _component(
+    "n_duel_events", ["n_duels_won", "n_duels_neutral", "n_duels_lost"], "duel_effectiveness")
+ORACLE["free_kick_effectiveness"] = _component(
+    "n_free_kick_events", ["n_free_kicks_effective", "n_free_kicks_not_effective", "n_penalties_scored"],
+    "free_kick_effectiveness")
+ORACLE["shot_effectiveness"] = _component(
+    "n_shot_events", ["n_shot_goals", "n_shots_on_target_no_goal", "n_shots_off_target"], "shot_effectiveness")
+
+ORACLE["stream_pass_accuracy"] = _with(f"""
+SELECT player_id, numerator, denominator, {R('pass_accuracy')} AS pass_accuracy FROM spa""")
+
+_PT_COLS = ("player_id, name, role, foot, CAST(birth_date AS VARCHAR) AS birth_date, birth_area, passport_area, "
+            "CAST(height AS INTEGER) AS height, CAST(weight AS INTEGER) AS weight, number_of_fouls, number_of_goals, "
+            "number_of_own_goals, number_of_matches, number_of_shots_on_target")
+
+ORACLE["player_totals"] = _with(f"""
+SELECT {_PT_COLS}, {R('pass_accuracy')} AS pass_accuracy FROM pt""")
+
+ORACLE["player_chemistry"] = _with(f"""
+SELECT player_id_1, player_id_2, {R('chemistry')} AS chemistry FROM ch""")
+
+ORACLE["match_winner"] = _with("""
+SELECT mtx.match_id, CASE WHEN mtx.winner = '0' THEN 'DRAW' ELSE 'Team ' || tm.team_id END AS winner,
+       CAST(sum(pa.goals) AS BIGINT) AS total_goals, CAST(sum(pa.own_goals) AS BIGINT) AS total_own_goals,
+       CAST(sum(pa.yellow_cards) AS BIGINT) AS total_yellow_cards, CAST(sum(pa.red_cards) AS BIGINT) AS total_red_cards
+FROM mtx LEFT JOIN tm ON mtx.winner = tm.team_id JOIN pa ON mtx.match_id = pa.match_id
+GROUP BY mtx.match_id, mtx.winner, tm.team_id""")
+
+_MD_COLS = ("md.match_id, md.label, md.date, md.duration, md.winner, md.venue, CAST(md.gameweek AS INTEGER) AS gameweek, "
+            "md.goals, md.own_goals, md.yellow_cards, md.red_cards")
+
+ORACLE["match_details"] = _with(f"SELECT {_MD_COLS} FROM md")
+
+ORACLE["match_lookup"] = _with(f"""
+, rq AS (
+  SELECT CAST(3000000000 + 2 * CAST(match_id AS BIGINT) AS BIGINT) AS request_id, label AS q FROM mtx
+  UNION ALL
+  SELECT CAST(3000000000 + 2 * CAST(match_id AS BIGINT) + 1 AS BIGINT), label || ' (replay)' FROM mtx
+)
+SELECT rq.request_id, {_MD_COLS}, CASE WHEN md.match_id IS NULL THEN 'Invalid' END AS error
+FROM rq LEFT JOIN md ON rq.q = md.label""")
+
+ORACLE["player_profile"] = _with(f"""
+, rq AS (SELECT CAST(2000000000 + c_custkey AS BIGINT) AS request_id, c_name AS q FROM customer)
+SELECT rq.request_id, {_PT_COLS.replace('player_id,', 'pt.player_id,', 1)}, {R('pass_accuracy')} AS pass_accuracy,
+       CASE WHEN pt.player_id IS NULL THEN 'Invalid' END AS error
+FROM rq LEFT JOIN pt ON rq.q = pt.name""")

@@ -12,9 +12,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import chemistry as _chem
+from ..operators import events as _events
 from ..operators import facts as _facts
+from ..operators import matches as _matches
 from ..operators import metrics as _metrics
 from ..operators import ratings as _ratings
+from ..operators import requests as _requests
 from ..operators import squads as _squads
 from ..sources import testdata
 
@@ -57,3 +61,23 @@ class Season:
     @cached_property
     def player_totals(self) -> DataFrame:
         return _facts.player_totals(self.players, self.match_facts, self.stream_pass_accuracy)
+
+    @cached_property
+    def chemistry(self) -> DataFrame:
+        return self._cut.get("chemistry") or _chem.player_chemistry(self.participants, self.ratings)
+
+    @cached_property
+    def match_details(self) -> DataFrame:
+        return _matches.match_details(self.matches, self.players, self.teams)
+
+    @cached_property
+    def match_summary(self) -> DataFrame:
+        return _matches.match_summary(self.participants, self.matches, self.teams)
+
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return _requests.player_profiles(self.requests, self.player_totals)
+
+    @cached_property
+    def match_lookups(self) -> DataFrame:
+        return _requests.match_lookups(self.requests, self.match_details)

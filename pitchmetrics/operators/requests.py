@@ -8,7 +8,7 @@ the number of Spark jobs does not grow with the number of requests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
@@ -54,3 +54,115 @@ def match_lookups(requests: DataFrame, details: DataFrame) -> DataFrame:
     j = req.join(by_label, F.col("q") == F.col("label"), "left")
     cols = [c for c in details.columns]
     return j.select("request_id", *cols, F.when(F.col("match_id").isNull(), F.lit(C.INVALID)).alias("error"))
+
+
+# --- forecasts ------------------------------------------------------------------------
+
+def lineup_players(requests: DataFrame, players: DataFrame) -> DataFrame:
+    """One row per named player of each forecast request side: (request_id, side,
+    slot, player_name, player_id, role).  A name shared by several players maps
+    to the lowest player_id; an unknown name keeps NULL id and role."""
+    fc = requests.filter(F.col("request_kind") == "forecast")
+    sides = fc.select("request_id", F.explode(F.array(
+        F.struct(F.lit(1).alias("side"), F.col("team1").alias("m")),
+        F.struct(F.lit(2).alias("side"), F.col("team2").alias("m")))).alias("s"))
+    slots = (sides.select("request_id", F.col("s.side").alias("side"), F.explode(F.col("s.m")).alias("slot", "player_name"))
+             .filter(F.col("slot") != "name"))
+    by_name = first_by_key(players.select("name", "player_id", "role"), "name", ["player_id"])
+    return (slots.join(by_name, F.col("player_name") == F.col("name"), "left")
+            .select("request_id", "side", "slot", "player_name", "player_id", "role"))
+
+
+def lineup_roles(lineups: DataFrame, legacy: bool = False) -> DataFrame:
+    """Role counts and validity per (request, side).  A side is valid with exactly
+    one goalkeeper, at least two defenders, two midfielders and one forward and no
+    unknown player; a request is valid when both sides are.  ``legacy=True`` marks
+    a request invalid only when *both* sides break the same rule."""
+    role = F.col("role")
+
+    def n(r: str) -> Column:
+        return F.sum(F.when(role == r, 1).otherwise(0)).cast("bigint").alias(r.lower())
+
+    counts = lineups.groupBy("request_id", "side").agg(
+        *[n(r) for r in C.ROLES],
+        F.sum(F.when(F.col("player_id").isNull(), 1).otherwise(0)).cast("bigint").alias("unknown"))
+    rules = {
+        "gk_bad": F.col("gk") != C.REQUIRED_GOALKEEPERS, "df_bad": F.col("df") < C.MIN_DEFENDERS,
+        "md_bad": F.col("md") < C.MIN_MIDFIELDERS, "fw_bad": F.col("fw") < C.MIN_FORWARDS,
+    }
+    counts = counts.select("*", *[c.alias(k) for k, c in rules.items()])
+    side_ok = ~(F.col("gk_bad") | F.col("df_bad") | F.col("md_bad") | F.col("fw_bad") | (F.col("unknown") > 0))
+    counts = counts.withColumn("side_valid", side_ok)
+    # two rows per request: a grouped aggregate, then a join back on request_id
+    if legacy:
+        per_req = counts.groupBy("request_id").agg(
+            *[F.min(F.col(k).cast("int")).alias(k) for k in rules], F.max("unknown").alias("u"))
+        bad = F.lit(False)
+        for k in rules:
+            bad = bad | (F.col(k) == 1)
+        per_req = per_req.select("request_id", (~bad & (F.col("u") == 0)).alias("request_valid"))
+    else:
+        per_req = counts.groupBy("request_id").agg(F.min(F.col("side_valid").cast("int")).alias("v")) \
+            .select("request_id", (F.col("v") == 1).alias("request_valid"))
+    return (counts.join(per_req, "request_id")
+            .select("request_id", "side", "gk", "df", "md", "fw", "unknown", "side_valid", "request_valid"))
+
+
+def lineup_chemistry(lineups: DataFrame, totals: DataFrame, chemistry: DataFrame, groups: DataFrame,
+                     group_avg: DataFrame, group_col: str, threshold: int = C.EXPERIENCE_THRESHOLD,
+                     initial: float = C.INITIAL_CHEMISTRY) -> DataFrame:
+    """Chemistry coefficient of each lineup slot: the mean, over the side's other
+    players, of the pair chemistry when both players have at least ``threshold``
+    matches or both at most ``threshold`` (a pair never seen counts ``initial``),
+    else of the mean chemistry of the first player's group (taken twice, as the
+    source does).  A player alone on a side gets NULL.
+
+    Pairs are formed inside a (request, side) lineup only: an equi-join on
+    (request_id, side); a lineup is a handful of players."""
+    lp = (lineups.filter(F.col("player_id").isNotNull())
+          .join(totals.select("player_id", F.col("number_of_matches").alias("nm")), "player_id", "left")
+          .join(groups.select("player_id", F.col(group_col).alias("grp")), "player_id", "left")
+          .select("request_id", "side", "slot", "player_id", "nm", "grp"))
+    a, b = lp.alias("a"), lp.alias("b")
+    pairs = a.join(b, (F.col("a.request_id") == F.col("b.request_id")) & (F.col("a.side") == F.col("b.side"))
+                   & (F.col("a.player_id") != F.col("b.player_id"))).select(
+        F.col("a.request_id").alias("request_id"), F.col("a.side").alias("side"), F.col("a.slot").alias("slot"),
+        F.col("a.player_id").alias("p1"), F.col("b.player_id").alias("p2"),
+        F.col("a.nm").alias("nm1"), F.col("b.nm").alias("nm2"), F.col("a.grp").alias("grp1"))
+    chem = chemistry.select(F.col("player_id_1").alias("p1"), F.col("player_id_2").alias("p2"), "chemistry")
+    gavg = group_avg.select(F.col(group_col).alias("grp1"), F.col("avg_chemistry").alias("g1"))
+    j = pairs.join(chem, ["p1", "p2"], "left").join(gavg, "grp1", "left")
+    nm1 = F.coalesce(F.col("nm1"), F.lit(0))
+    nm2 = F.coalesce(F.col("nm2"), F.lit(0))
+    direct = ((nm1 >= threshold) & (nm2 >= threshold)) | ((nm1 <= threshold) & (nm2 <= threshold))
+    value = F.when(direct, F.coalesce(F.col("chemistry"), F.lit(initial))).otherwise((F.col("g1") + F.col("g1")) / 2)
+    coef = j.groupBy("request_id", "side", "slot").agg(F.avg(value).alias("chemistry_coefficient"))
+    return (lp.select("request_id", "side", "slot", "player_id")
+            .join(coef, ["request_id", "side", "slot"], "left"))
+
+
+def forecasts(requests: DataFrame, roles: DataFrame, slot_chemistry: DataFrame, slot_ratings: DataFrame,
+              legacy: bool = False) -> DataFrame:
+    """Win chances per forecast request: side strength = sum(chemistry * predicted
+    rating) / 11; chance1 = (0.5 + s1 - (s1 + s2) / 2) * 100, chance2 = 100 - chance1
+    (no clamp).  ``legacy=True`` keeps side 2's strength at 0, as the source does.
+    An invalid request gets ``result = 'Invalid'`` and no chances."""
+    j = slot_chemistry.join(slot_ratings.select("request_id", "side", "slot", "predicted_rating"),
+                            ["request_id", "side", "slot"])
+    contrib = F.col("chemistry_coefficient") * F.col("predicted_rating")
+    strength = j.groupBy("request_id").agg(
+        (F.sum(F.when(F.col("side") == 1, contrib).otherwise(0.0)) / C.STRENGTH_DIVISOR).alias("s1"),
+        (F.sum(F.when(F.col("side") == 2, contrib).otherwise(0.0)) / C.STRENGTH_DIVISOR).alias("s2"))
+    s1 = F.col("s1")
+    s2 = F.lit(0.0) if legacy else F.col("s2")
+    chance1 = (F.lit(0.5) + s1 - (s1 + s2) / 2) * 100
+    valid = roles.groupBy("request_id").agg(F.min(F.col("request_valid").cast("int")).alias("ok"))
+    fc = requests.filter(F.col("request_kind") == "forecast").select(
+        "request_id", F.col("team1")["name"].alias("team1_name"), F.col("team2")["name"].alias("team2_name"))
+    out = fc.join(valid, "request_id", "left").join(strength, "request_id", "left")
+    ok = F.col("ok") == 1
+    return out.select(
+        "request_id", "team1_name", "team2_name",
+        F.when(ok, F.lit("ok")).otherwise(F.lit(C.INVALID)).alias("result"),
+        F.when(ok, s1).alias("strength1"), F.when(ok, s2).alias("strength2"),
+        F.when(ok, chance1).alias("chance1"), F.when(ok, F.lit(100.0) - chance1).alias("chance2"))

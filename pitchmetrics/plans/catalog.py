@@ -215,3 +215,81 @@ def player_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(_big("request_id"), "player_id", "name", "role", "foot", _date("birth_date"), "birth_area",
                     "passport_area", _int("height"), _int("weight"), *[_big(c) for c in _TOTAL_COUNTS],
                     R("pass_accuracy").alias("pass_accuracy"), "error")
+
+
+# --- models (oracle form groups players by role; k-means ids have no SQL twin) ------------
+
+ORACLE_GROUP = "role"
+PREDICTION_DATE = "2024-02-15"
+
+
+def _coef(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, _big("n_points"), _int("degree"), R("mean_age").alias("mean_age"), R("b0").alias("b0"),
+                     R("b1", 9).alias("b1"), R("b2", 12).alias("b2"))
+
+
+@query
+def age_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _season(spark, sf_dir).age_features
+    return f.select("player_id", _date("match_date"), "match_id", _big("age"),
+                    F.col("age_sq").cast("bigint").alias("age_sq"), R("rating").alias("rating"))
+
+
+@query
+def rating_regression_player(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coef(_season(spark, sf_dir).player_fit, "player_id")
+
+
+@query
+def rating_regression_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coef(_season(spark, sf_dir).group_fit(ORACLE_GROUP), ORACLE_GROUP)
+
+
+@query
+def rating_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _season(spark, sf_dir)
+    targets = s.players.select("player_id", F.lit(PREDICTION_DATE).cast("date").alias("date"))
+    p = s.predictions(targets, ORACLE_GROUP)
+    return p.select("player_id", "route", R("predicted_rating").alias("predicted_rating"))
+
+
+@query
+def chemistry_group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _season(spark, sf_dir).group_chemistry(ORACLE_GROUP)
+    return g.select(ORACLE_GROUP, R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
+
+
+@query
+def player_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _season(spark, sf_dir).clusters
+    return c.select("player_id", _big("number_of_matches"), _date("birth_date"), _int("prediction"))
+
+
+@query
+def cluster_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _season(spark, sf_dir).group_chemistry("prediction")
+    return g.select(_int("prediction"), R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
+
+
+# --- requests -------------------------------------------------------------------------
+
+@query
+def lineup_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _season(spark, sf_dir).lineup_roles()
+    return r.select(_big("request_id"), _int("side"), *[_big(c) for c in ("gk", "df", "md", "fw", "unknown")],
+                    F.col("side_valid").cast("int").alias("side_valid"),
+                    F.col("request_valid").cast("int").alias("request_valid"))
+
+
+@query
+def lineup_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _season(spark, sf_dir).lineup_chemistry(ORACLE_GROUP)
+    return c.select(_big("request_id"), _int("side"), "slot", "player_id",
+                    R("chemistry_coefficient").alias("chemistry_coefficient"))
+
+
+@query
+def match_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _season(spark, sf_dir).forecasts(ORACLE_GROUP)
+    return f.select(_big("request_id"), "team1_name", "team2_name", "result",
+                    *[R(c).alias(c) for c in ("strength1", "strength2", "chance1", "chance2")])

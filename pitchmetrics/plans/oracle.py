@@ -355,3 +355,163 @@ ORACLE["player_profile"] = _with(f"""
 SELECT rq.request_id, {_PT_COLS.replace('player_id,', 'pt.player_id,', 1)}, {R('pass_accuracy')} AS pass_accuracy,
        CASE WHEN pt.player_id IS NULL THEN 'Invalid' END AS error
 FROM rq LEFT JOIN pt ON rq.q = pt.name""")
+
+
+# --- models: grouped closed-form least squares, same equations as the Spark side -------
+
+def _det3(a, b, c, d, e, f, g, h, i) -> str:
+    return f"(({a}) * (({e}) * ({i}) - ({f}) * ({h})) - ({b}) * (({d}) * ({i}) - ({f}) * ({g})) + ({c}) * (({d}) * ({h}) - ({e}) * ({g})))"
+
+
+def _fit(name: str, source: str, key: str) -> str:
+    """CTEs ``{name}`` with columns gk, n_points, degree, mean_age, b0, b1, b2."""
+    det = _det3("n", "s1", "s2", "s1", "s2", "s3", "s2", "s3", "s4")
+    q0 = _det3("t0", "s1", "s2", "t1", "s2", "s3", "t2", "s3", "s4")
+    q1 = _det3("n", "t0", "s2", "s1", "t1", "s3", "s2", "t2", "s4")
+    q2 = _det3("n", "s1", "t0", "s1", "s2", "t1", "s2", "s3", "t2")
+    return f"""
+{name}_1 AS (
+  SELECT {key} AS gk, count(*) AS cnt, avg(CAST(age AS DOUBLE)) AS mean_age, min(age) AS lo, max(age) AS hi
+  FROM {source} GROUP BY {key}
+),
+{name}_2 AS (
+  SELECT f.gk, any_value(f.cnt) AS cnt, any_value(f.mean_age) AS mean_age, any_value(f.lo) AS lo, any_value(f.hi) AS hi,
+         sum(s.u) AS s1, sum(s.u * s.u) AS s2, sum(s.u * s.u * s.u) AS s3, sum(s.u * s.u * s.u * s.u) AS s4,
+         sum(s.y) AS t0, sum(s.u * s.y) AS t1, sum(s.u * s.u * s.y) AS t2,
+         count(*) FILTER (WHERE s.age > f.lo AND s.age < f.hi) AS interior
+  FROM (SELECT {key} AS gk, age, CAST(rating AS DOUBLE) AS y FROM {source}) s0
+  JOIN {name}_1 f ON s0.gk = f.gk
+  CROSS JOIN LATERAL (SELECT s0.age AS age, CAST(s0.age AS DOUBLE) - f.mean_age AS u, s0.y AS y) s
+  GROUP BY f.gk
+),
+{name}_3 AS (
+  SELECT gk, cnt AS n_points, CAST(cnt AS DOUBLE) AS n, mean_age, s1, s2, s3, s4, t0, t1, t2,
+         CASE WHEN lo = hi THEN 0 WHEN interior = 0 THEN 1 ELSE 2 END AS degree
+  FROM {name}_2
+),
+{name} AS (
+  SELECT gk, n_points, degree, mean_age,
+         CASE WHEN degree = 0 THEN t0 / n WHEN degree = 1 THEN (t0 * s2 - s1 * t1) / (n * s2 - s1 * s1)
+              ELSE {q0} / {det} END AS b0,
+         CASE WHEN degree = 0 THEN 0.0 WHEN degree = 1 THEN (n * t1 - s1 * t0) / (n * s2 - s1 * s1)
+              ELSE {q1} / {det} END AS b1,
+         CASE WHEN degree = 2 THEN {q2} / {det} ELSE 0.0 END AS b2
+  FROM {name}_3
+)"""
+
+
+MODELS = f""",
+af AS (
+  SELECT rt.player_id, rt.match_date, rt.match_id, rt.rating, pl.role,
+         CAST(date_diff('day', pl.birth_date, rt.match_date) AS BIGINT) AS age
+  FROM rt JOIN pl ON rt.player_id = pl.player_id
+),
+af_young AS (
+  SELECT af.* FROM af JOIN pt ON af.player_id = pt.player_id WHERE pt.number_of_matches < 5
+),{_fit("pfit", "af", "player_id")},{_fit("gfit", "af_young", "role")},
+pred AS (
+  SELECT pl.player_id, pl.role, CASE WHEN pt.number_of_matches < 5 THEN 'group' ELSE 'player' END AS route,
+         CAST(date_diff('day', pl.birth_date, DATE '2024-02-15') AS DOUBLE) AS age,
+         pt.number_of_matches
+  FROM pl JOIN pt ON pl.player_id = pt.player_id
+),
+pred2 AS (
+  SELECT pred.player_id, pred.route,
+         CASE WHEN pred.route = 'group' THEN gfit.b0 + gfit.b1 * (pred.age - gfit.mean_age)
+                                        + gfit.b2 * (pred.age - gfit.mean_age) * (pred.age - gfit.mean_age)
+              ELSE pfit.b0 + pfit.b1 * (pred.age - pfit.mean_age)
+                   + pfit.b2 * (pred.age - pfit.mean_age) * (pred.age - pfit.mean_age) END AS predicted_rating
+  FROM pred LEFT JOIN pfit ON pred.player_id = pfit.gk LEFT JOIN gfit ON pred.role = gfit.gk
+),
+ga AS (
+  SELECT pl.role AS grp, avg(ch.chemistry) AS avg_chemistry, count(*) AS n_pairs
+  FROM ch JOIN pl ON ch.player_id_1 = pl.player_id GROUP BY pl.role
+),
+lu AS (
+  SELECT CAST(g AS BIGINT) AS request_id, CASE WHEN pos % 2 = 0 THEN 1 ELSE 2 END AS side,
+         'p' || lpad(CAST(pos AS VARCHAR), 2, '0') AS slot, player_id, role FROM pl
+  UNION ALL
+  SELECT CAST(1000000 + g AS BIGINT), CASE WHEN pos % 2 = 0 THEN 1 ELSE 2 END,
+         'p' || lpad(CAST(pos AS VARCHAR), 2, '0'), player_id, role FROM pl WHERE pos < 9
+),
+lr AS (
+  SELECT request_id, side, count(*) FILTER (WHERE role = 'GK') AS gk, count(*) FILTER (WHERE role = 'DF') AS df,
+         count(*) FILTER (WHERE role = 'MD') AS md, count(*) FILTER (WHERE role = 'FW') AS fw, 0 AS unknown
+  FROM lu GROUP BY request_id, side
+),
+lr2 AS (
+  SELECT *, (gk = 1 AND df >= 2 AND md >= 2 AND fw >= 1 AND unknown = 0) AS side_valid FROM lr
+),
+lr3 AS (
+  SELECT lr2.*, min(CAST(side_valid AS INTEGER)) OVER (PARTITION BY request_id) = 1 AS request_valid FROM lr2
+),
+lcp AS (
+  SELECT lu.*, coalesce(pt.number_of_matches, 0) AS nm FROM lu LEFT JOIN pt ON lu.player_id = pt.player_id
+),
+lcv AS (
+  SELECT a.request_id, a.side, a.slot,
+         CASE WHEN (a.nm >= 5 AND b.nm >= 5) OR (a.nm <= 5 AND b.nm <= 5) THEN coalesce(ch.chemistry, 0.5)
+              ELSE (ga.avg_chemistry + ga.avg_chemistry) / 2 END AS v
+  FROM lcp a JOIN lcp b ON a.request_id = b.request_id AND a.side = b.side AND a.player_id <> b.player_id
+  LEFT JOIN ch ON ch.player_id_1 = a.player_id AND ch.player_id_2 = b.player_id
+  LEFT JOIN ga ON ga.grp = a.role
+),
+lc AS (
+  SELECT lcp.request_id, lcp.side, lcp.slot, lcp.player_id, avg(lcv.v) AS chemistry_coefficient
+  FROM lcp LEFT JOIN lcv ON lcp.request_id = lcv.request_id AND lcp.side = lcv.side AND lcp.slot = lcv.slot
+  GROUP BY lcp.request_id, lcp.side, lcp.slot, lcp.player_id
+),
+fs AS (
+  SELECT lc.request_id,
+         sum(CASE WHEN lc.side = 1 THEN lc.chemistry_coefficient * pred2.predicted_rating ELSE 0.0 END) / 11.0 AS s1,
+         sum(CASE WHEN lc.side = 2 THEN lc.chemistry_coefficient * pred2.predicted_rating ELSE 0.0 END) / 11.0 AS s2
+  FROM lc JOIN pred2 ON lc.player_id = pred2.player_id GROUP BY lc.request_id
+),
+fc AS (
+  SELECT rq.request_id, 'Team ' || CAST(2 * rq.g + 1 AS VARCHAR) AS team1_name,
+         'Team ' || CAST(2 * rq.g + 2 AS VARCHAR) AS team2_name, v.ok = 1 AS ok, fs.s1, fs.s2
+  FROM (SELECT DISTINCT g, CAST(g AS BIGINT) AS request_id FROM pl
+        UNION ALL SELECT DISTINCT g, CAST(1000000 + g AS BIGINT) FROM pl) rq
+  LEFT JOIN (SELECT request_id, min(CAST(request_valid AS INTEGER)) AS ok FROM lr3 GROUP BY request_id) v
+         ON rq.request_id = v.request_id
+  LEFT JOIN fs ON rq.request_id = fs.request_id
+)"""
+
+
+def _with_models(body: str) -> str:
+    return _with(MODELS + "\n" + body)
+
+
+_COEF = (f"CAST(n_points AS BIGINT) AS n_points, CAST(degree AS INTEGER) AS degree, {R('mean_age')} AS mean_age, "
+         f"{R('b0')} AS b0, {R('b1', 9)} AS b1, {R('b2', 12)} AS b2")
+
+ORACLE["age_features"] = _with_models(f"""
+SELECT player_id, CAST(match_date AS VARCHAR) AS match_date, match_id, age, CAST(age * age AS BIGINT) AS age_sq,
+       {R('rating')} AS rating FROM af""")
+
+ORACLE["rating_regression_player"] = _with_models(f"SELECT gk AS player_id, {_COEF} FROM pfit")
+
+ORACLE["rating_regression_group"] = _with_models(f"SELECT gk AS role, {_COEF} FROM gfit")
+
+ORACLE["rating_prediction"] = _with_models(f"""
+SELECT player_id, route, {R('predicted_rating')} AS predicted_rating FROM pred2""")
+
+ORACLE["chemistry_group_avg"] = _with_models(f"""
+SELECT grp AS role, {R('avg_chemistry')} AS avg_chemistry, CAST(n_pairs AS BIGINT) AS n_pairs FROM ga""")
+
+ORACLE["lineup_roles"] = _with_models("""
+SELECT request_id, CAST(side AS INTEGER) AS side, CAST(gk AS BIGINT) AS gk, CAST(df AS BIGINT) AS df,
+       CAST(md AS BIGINT) AS md, CAST(fw AS BIGINT) AS fw, CAST(unknown AS BIGINT) AS unknown,
+       CAST(side_valid AS INTEGER) AS side_valid, CAST(request_valid AS INTEGER) AS request_valid
+FROM lr3""")
+
+ORACLE["lineup_chemistry"] = _with_models(f"""
+SELECT request_id, CAST(side AS INTEGER) AS side, slot, player_id,
+       {R('chemistry_coefficient')} AS chemistry_coefficient FROM lc""")
+
+ORACLE["match_forecast"] = _with_models(f"""
+SELECT request_id, team1_name, team2_name, CASE WHEN ok THEN 'ok' ELSE 'Invalid' END AS result,
+       CASE WHEN ok THEN {R('s1')} END AS strength1, CASE WHEN ok THEN {R('s2')} END AS strength2,
+       CASE WHEN ok THEN {R('(0.5 + s1 - (s1 + s2) / 2) * 100')} END AS chance1,
+       CASE WHEN ok THEN {R('100.0 - (0.5 + s1 - (s1 + s2) / 2) * 100')} END AS chance2
+FROM fc""")

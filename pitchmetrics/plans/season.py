@@ -11,13 +11,17 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import codes as C
 from ..operators import chemistry as _chem
+from ..operators import clustering as _clust
 from ..operators import events as _events
 from ..operators import facts as _facts
 from ..operators import matches as _matches
 from ..operators import metrics as _metrics
 from ..operators import ratings as _ratings
+from ..operators import regression as _reg
 from ..operators import requests as _requests
 from ..operators import squads as _squads
 from ..sources import testdata
@@ -81,3 +85,57 @@ class Season:
     @cached_property
     def match_lookups(self) -> DataFrame:
         return _requests.match_lookups(self.requests, self.match_details)
+
+    # --- models -------------------------------------------------------------------
+    @cached_property
+    def clusters(self) -> DataFrame:
+        return _clust.player_clusters(self.player_totals)
+
+    def groups(self, group_col: str = "prediction") -> DataFrame:
+        """player_id -> group: k-means cluster ('prediction') or any players column."""
+        if group_col == "prediction":
+            return self.clusters.select("player_id", "prediction")
+        return self.players.select("player_id", group_col)
+
+    def group_chemistry(self, group_col: str = "prediction") -> DataFrame:
+        return _chem.group_chemistry(self.groups(group_col), self.chemistry, group_col)
+
+    @cached_property
+    def age_features(self) -> DataFrame:
+        return _reg.age_features(self.ratings, self.players)
+
+    @cached_property
+    def player_fit(self) -> DataFrame:
+        return _reg.player_models(self.age_features)
+
+    def group_fit(self, group_col: str = "prediction") -> DataFrame:
+        return _reg.group_models(self.age_features, self.groups(group_col), self.player_totals, group_col,
+                                 C.EXPERIENCE_THRESHOLD)
+
+    def predictions(self, targets: DataFrame, group_col: str = "prediction") -> DataFrame:
+        """targets: rows with player_id and date."""
+        return _reg.rating_predictions(targets, self.players, self.player_totals, self.player_fit,
+                                       self.group_fit(group_col), self.groups(group_col), group_col,
+                                       C.EXPERIENCE_THRESHOLD)
+
+    # --- forecasts ----------------------------------------------------------------
+    @cached_property
+    def lineups(self) -> DataFrame:
+        return _requests.lineup_players(self.requests, self.players)
+
+    def lineup_roles(self, legacy: bool = False) -> DataFrame:
+        return _requests.lineup_roles(self.lineups, legacy=legacy)
+
+    def lineup_chemistry(self, group_col: str = "prediction") -> DataFrame:
+        return _requests.lineup_chemistry(self.lineups, self.player_totals, self.chemistry, self.groups(group_col),
+                                          self.group_chemistry(group_col), group_col)
+
+    def slot_ratings(self, group_col: str = "prediction") -> DataFrame:
+        dates = self.requests.select("request_id", "date")
+        targets = (self.lineups.filter(F.col("player_id").isNotNull())
+                   .join(dates, "request_id").select("request_id", "side", "slot", "player_id", "date"))
+        return self.predictions(targets, group_col)
+
+    def forecasts(self, group_col: str = "prediction", legacy: bool = False) -> DataFrame:
+        return _requests.forecasts(self.requests, self.lineup_roles(legacy), self.lineup_chemistry(group_col),
+                                   self.slot_ratings(group_col), legacy=legacy)

@@ -26,8 +26,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _season(spark: SparkSession, sf_dir: str) -> Season:
-    return Season.from_testdata(spark, sf_dir)
+def _season(spark: SparkSession, sf_dir: str, *cut: str) -> Season:
+    """The test-data season; ``cut`` names derived tables read by several consumers
+    of the query, materialised once (see :meth:`Season.cut`)."""
+    return Season.from_testdata(spark, sf_dir).cut(*cut)
+
+
+SHARED = ("match_facts", "ratings", "player_totals")
 
 
 def _date(c: str) -> F.Column:
@@ -168,7 +173,7 @@ def player_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def player_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _season(spark, sf_dir).chemistry
+    c = _season(spark, sf_dir, "ratings").chemistry
     return c.select("player_id_1", "player_id_2", R("chemistry").alias("chemistry"))
 
 
@@ -237,17 +242,17 @@ def age_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rating_regression_player(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coef(_season(spark, sf_dir).player_fit, "player_id")
+    return _coef(_season(spark, sf_dir, "ratings").player_fit, "player_id")
 
 
 @query
 def rating_regression_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coef(_season(spark, sf_dir).group_fit(ORACLE_GROUP), ORACLE_GROUP)
+    return _coef(_season(spark, sf_dir, *SHARED).group_fit(ORACLE_GROUP), ORACLE_GROUP)
 
 
 @query
 def rating_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _season(spark, sf_dir)
+    s = _season(spark, sf_dir, *SHARED)
     targets = s.players.select("player_id", F.lit(PREDICTION_DATE).cast("date").alias("date"))
     p = s.predictions(targets, ORACLE_GROUP)
     return p.select("player_id", "route", R("predicted_rating").alias("predicted_rating"))
@@ -255,19 +260,19 @@ def rating_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chemistry_group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _season(spark, sf_dir).group_chemistry(ORACLE_GROUP)
+    g = _season(spark, sf_dir, "ratings").group_chemistry(ORACLE_GROUP)
     return g.select(ORACLE_GROUP, R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
 
 
 @query
 def player_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _season(spark, sf_dir).clusters
+    c = _season(spark, sf_dir, *SHARED).clusters
     return c.select("player_id", _big("number_of_matches"), _date("birth_date"), _int("prediction"))
 
 
 @query
 def cluster_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _season(spark, sf_dir).group_chemistry("prediction")
+    g = _season(spark, sf_dir, *SHARED, "chemistry").group_chemistry("prediction")
     return g.select(_int("prediction"), R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
 
 
@@ -283,13 +288,13 @@ def lineup_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lineup_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _season(spark, sf_dir).lineup_chemistry(ORACLE_GROUP)
+    c = _season(spark, sf_dir, *SHARED, "chemistry").lineup_chemistry(ORACLE_GROUP)
     return c.select(_big("request_id"), _int("side"), "slot", "player_id",
                     R("chemistry_coefficient").alias("chemistry_coefficient"))
 
 
 @query
 def match_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _season(spark, sf_dir).forecasts(ORACLE_GROUP)
+    f = _season(spark, sf_dir, *SHARED, "chemistry").forecasts(ORACLE_GROUP)
     return f.select(_big("request_id"), "team1_name", "team2_name", "result",
                     *[R(c).alias(c) for c in ("strength1", "strength2", "chance1", "chance2")])

@@ -1,13 +1,15 @@
 """A season: the input tables and every table derived from them, built lazily.
 
-Each property is a DataFrame (a logical plan); nothing runs until an action.
-Derived tables that feed several consumers (facts, ratings) can be cut into the
-cluster checkpoint directory with :meth:`Season.materialize`.
+Each property is a DataFrame (a logical plan) built on first use; nothing runs
+until an action.  Tables that feed several consumers inside one job (facts,
+ratings, totals, chemistry) can be cut with :meth:`Season.cut`: an eager
+``checkpoint()`` into the cluster's shared ``spark.checkpoint.dir``, which both
+stops the recomputation of their lineage and survives lost executors.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,23 +26,58 @@ from ..operators import ratings as _ratings
 from ..operators import regression as _reg
 from ..operators import requests as _requests
 from ..operators import squads as _squads
+from ..session import checkpoint_dir
 from ..sources import testdata
 
 
-@dataclass
 class Season:
-    events: DataFrame
-    matches: DataFrame
-    players: DataFrame
-    teams: DataFrame
-    requests: DataFrame | None = None
-    _cut: dict = field(default_factory=dict, repr=False)
+    """Inputs are given as DataFrames or as zero-argument loaders (built on first use)."""
+
+    def __init__(self, events, matches, players, teams, requests=None):
+        self._loaders: dict[str, Callable[[], DataFrame] | DataFrame | None] = {
+            "events": events, "matches": matches, "players": players, "teams": teams, "requests": requests}
+
+    def _input(self, name: str) -> DataFrame:
+        v = self._loaders[name]
+        if callable(v) and not isinstance(v, DataFrame):
+            v = v()
+            self._loaders[name] = v
+        return v
+
+    @property
+    def events(self) -> DataFrame:
+        return self._input("events")
+
+    @property
+    def matches(self) -> DataFrame:
+        return self._input("matches")
+
+    @property
+    def players(self) -> DataFrame:
+        return self._input("players")
+
+    @property
+    def teams(self) -> DataFrame:
+        return self._input("teams")
+
+    @property
+    def requests(self) -> DataFrame:
+        return self._input("requests")
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Season":
-        return cls(events=testdata.events(spark, sf_dir), matches=testdata.matches(spark, sf_dir),
-                   players=testdata.players(spark, sf_dir), teams=testdata.teams(spark, sf_dir),
-                   requests=testdata.requests(spark, sf_dir))
+        return cls(events=lambda: testdata.events(spark, sf_dir), matches=lambda: testdata.matches(spark, sf_dir),
+                   players=lambda: testdata.players(spark, sf_dir), teams=lambda: testdata.teams(spark, sf_dir),
+                   requests=lambda: testdata.requests(spark, sf_dir))
+
+    def cut(self, *names: str) -> "Season":
+        """Materialises the named derived tables, in the order given, with an eager
+        ``checkpoint()`` (reliable storage; requires a checkpoint directory)."""
+        for name in names:
+            df = getattr(self, name)
+            checkpoint_dir(df.sparkSession)
+            self.__dict__[name] = df.checkpoint(eager=True)
+        return self
 
     @cached_property
     def match_metrics(self) -> DataFrame:
@@ -52,11 +89,11 @@ class Season:
 
     @cached_property
     def match_facts(self) -> DataFrame:
-        return self._cut.get("match_facts") or _facts.match_facts(self.participants, self.match_metrics)
+        return _facts.match_facts(self.participants, self.match_metrics)
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return self._cut.get("ratings") or _ratings.rating_history(self.match_facts)
+        return _ratings.rating_history(self.match_facts)
 
     @cached_property
     def stream_pass_accuracy(self) -> DataFrame:
@@ -68,7 +105,7 @@ class Season:
 
     @cached_property
     def chemistry(self) -> DataFrame:
-        return self._cut.get("chemistry") or _chem.player_chemistry(self.participants, self.ratings)
+        return _chem.player_chemistry(self.participants, self.ratings)
 
     @cached_property
     def match_details(self) -> DataFrame:

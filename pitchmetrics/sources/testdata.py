@@ -285,3 +285,27 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(forecast(INVALID_REQUEST_BASE, pos < 9))
             .unionByName(profiles)
             .unionByName(lookups))
+
+
+def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The season as stream records: (day, value) JSON lines, the events of a day and
+    then the match records of that day (for replaying through the stream source)."""
+    ev = events(spark, sf_dir)
+    e = ev.select(
+        F.floor(F.col("match_id").cast("bigint") / 1_000_000).cast("int").alias("day"),
+        F.lit(0).alias("part"),
+        F.to_json(F.struct(
+            F.col("event_id").alias("eventId"), F.col("sub_event_id").alias("subEventId"),
+            F.col("player_id").cast("bigint").alias("playerId"), F.col("match_id").cast("bigint").alias("matchId"),
+            F.col("seq").alias("seq"), F.col("tags").alias("tags"))).alias("value"),
+        F.col("seq").alias("ord"))
+    m = matches(spark, sf_dir).select(
+        F.datediff("match_date", F.lit(EPOCH).cast("date")).alias("day"),
+        F.lit(1).alias("part"),
+        F.to_json(F.struct(
+            F.lit("Played").alias("status"), F.col("match_id").cast("bigint").alias("wyId"), "label",
+            F.concat(F.date_format("match_date", "yyyy-MM-dd"), F.lit(" 15:00:00")).alias("dateutc"),
+            "duration", F.col("winner").cast("bigint").alias("winner"), "venue", "gameweek",
+            F.col("teams_data").alias("teamsData"))).alias("value"),
+        F.col("match_id").cast("bigint").alias("ord"))
+    return e.unionByName(m)

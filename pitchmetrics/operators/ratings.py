@@ -13,9 +13,10 @@ distributed prefix scan:
    continuing a player from an earlier partition is ``decay * x + fold0`` once its
    start value x is known.
 3. A one-row-per-partition summary gives each spanning player's segment ends;
-   a tiny grouped fold over those rows yields the start values, at most one per
-   partition.  That table's size is bounded by the partition count, so it is
-   broadcast to the final projection.
+   a JVM-side ``aggregate`` fold over each spanning player's (partition-bounded)
+   segment list yields the start values, at most one per partition.  That
+   table's size is bounded by the partition count, so it is broadcast to the
+   final projection.
 """
 
 from __future__ import annotations
@@ -47,12 +48,6 @@ _LOCAL = StructType([
     StructField("prev0", DoubleType()),
 ])
 
-_START = StructType([
-    StructField("pid", IntegerType()),
-    StructField("player_id", StringType()),
-    StructField("x_start", DoubleType()),
-])
-
 
 def _fold_partition(initial: float):
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,26 +79,6 @@ def _fold_partition(initial: float):
     return fold
 
 
-def _chain_starts(initial: float):
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One spanning player's segments in partition order -> start value of each
-        continuation segment."""
-        pdf = pdf.sort_values("pid")
-        out_pid, out_x = [], []
-        x = None
-        for row in pdf.itertuples(index=False):
-            if x is None:                       # the player's first segment starts at `initial`
-                x = row.end_init
-                continue
-            out_pid.append(row.pid)
-            out_x.append(x)
-            x = x * float(np.ldexp(1.0, -int(row.seg_len))) + row.end0
-        return pd.DataFrame({"pid": pd.Series(out_pid, dtype="int32"),
-                             "player_id": pd.Series([pdf["player_id"].iloc[0]] * len(out_pid), dtype=object),
-                             "x_start": pd.Series(out_x, dtype="float64")})
-    return chain
-
-
 def rating_history(facts: DataFrame, initial: float = C.INITIAL_RATING,
                    num_partitions: int | None = None) -> DataFrame:
     """(player_id, match_date, match_id, old_rating, rating, change_in_rating), one row
@@ -124,10 +99,25 @@ def rating_history(facts: DataFrame, initial: float = C.INITIAL_RATING,
     )
     ends = (per_part.select("pid", F.explode(F.array("first", "last")).alias("s"))
             .select("pid", "s.*").distinct())
-    # only players whose rows span a partition boundary need a start value
-    spanning = ends.groupBy("player_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("player_id")
-    starts = (ends.join(spanning, "player_id")
-              .groupBy("player_id").applyInPandas(_chain_starts(float(initial)), _START))
+    # only players whose rows span a partition boundary need start values: fold
+    # their segments in partition order (at most one per partition, so the list is
+    # bounded by the partition count): x <- x * 2^-len + end0, first x = end_init
+    chains = (ends.groupBy("player_id")
+              .agg(F.sort_array(F.collect_list(F.struct("pid", "seg_len", "end0", "end_init"))).alias("segs"))
+              .filter(F.size("segs") > 1))
+    init = F.struct(F.lit(None).cast("double").alias("x"),
+                    F.array().cast("array<struct<pid:int,x_start:double>>").alias("starts"))
+
+    def step(acc, seg):
+        first = acc["x"].isNull()
+        x = F.when(first, seg["end_init"]).otherwise(
+            acc["x"] * F.pow(F.lit(2.0), -seg["seg_len"].cast("double")) + seg["end0"])
+        starts = F.when(first, acc["starts"]).otherwise(
+            F.array_append(acc["starts"], F.struct(seg["pid"].alias("pid"), acc["x"].alias("x_start"))))
+        return F.struct(x.alias("x"), starts.alias("starts"))
+
+    starts = (chains.select("player_id", F.explode(F.aggregate("segs", init, step)["starts"]).alias("s"))
+              .select(F.col("s.pid").alias("pid"), "player_id", F.col("s.x_start").alias("x_start")))
 
     # bounded by the number of partitions: at most one start value per partition
     with_start = local.join(F.broadcast(starts), ["pid", "player_id"], "left")

@@ -2,13 +2,14 @@
 
 Each property is a DataFrame (a logical plan) built on first use; nothing runs
 until an action.  Tables that feed several consumers inside one job (facts,
-ratings, totals, chemistry) can be cut with :meth:`Season.cut`: an eager
-``checkpoint()`` into the cluster's shared ``spark.checkpoint.dir``, which both
+ratings, totals, chemistry) can be cut with :meth:`Season.cut`: written as a
+table into the cluster's shared ``spark.checkpoint.dir`` and read back, which
 stops the recomputation of their lineage and survives lost executors.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -71,12 +72,18 @@ class Season:
                    requests=lambda: testdata.requests(spark, sf_dir))
 
     def cut(self, *names: str) -> "Season":
-        """Materialises the named derived tables, in the order given, with an eager
-        ``checkpoint()`` (reliable storage; requires a checkpoint directory)."""
+        """Materialises the named derived tables, in the order given, as parquet
+        tables in the shared checkpoint folder (``spark.checkpoint.dir``) and reads
+        them back: one computation each, lineage cut (a lost executor costs a
+        re-read, not a recomputation), and file statistics for later join choices."""
+        if not names:
+            return self
+        run = uuid.uuid4().hex
         for name in names:
             df = getattr(self, name)
-            checkpoint_dir(df.sparkSession)
-            self.__dict__[name] = df.checkpoint(eager=True)
+            path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/pitchmetrics-{run}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            self.__dict__[name] = df.sparkSession.read.parquet(path)
         return self
 
     @cached_property

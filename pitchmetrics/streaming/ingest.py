@@ -16,7 +16,8 @@ Every write overwrites the folder of its own batch id, so replaying a batch afte
 failure (the checkpoint replays the same offsets) rewrites the same output: the
 sink is idempotent.  Readers take, per match, the facts of the latest batch that
 closed it.  Events are touched once, in their arrival batch; closing a match reads
-only its compact counts.
+only its compact counts, from the ``match_bucket`` partitions of the closing
+matches (partition pruning by the closing matches' bucket ids, at most 256).
 """
 
 from __future__ import annotations
@@ -33,7 +34,15 @@ from ..operators import metrics as _metrics
 from ..operators import squads as _squads
 from ..sources.records import events_from_records, matches_from_records, parse_records
 
-COUNT_SCHEMA = "match_id string, player_id string, " + ", ".join(f"{c} bigint" for c in _metrics.COUNT_COLUMNS)
+COUNT_SCHEMA = ("match_id string, player_id string, "
+                + ", ".join(f"{c} bigint" for c in _metrics.COUNT_COLUMNS) + ", match_bucket int")
+MATCH_BUCKETS = 256
+
+
+def match_bucket(col: str = "match_id"):
+    """Storage bucket of a match: the counts store is partitioned by it, so closing
+    a few matches reads only their buckets."""
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(MATCH_BUCKETS)).cast("int")
 
 
 def record_stream(spark: SparkSession, path: str | None = None, *, max_files_per_trigger: int | None = None,
@@ -78,8 +87,9 @@ def handle_batch(store: str):
             matches = matches_from_records(parsed)
             events.write.mode("overwrite").parquet(_batch_path(store, "events", batch_id))
             matches.write.mode("overwrite").parquet(_batch_path(store, "matches", batch_id))
-            _metrics.metric_counts(events).write.mode("overwrite").parquet(
-                _batch_path(store, "metric_counts", batch_id))
+            (_metrics.metric_counts(events).withColumn("match_bucket", match_bucket())
+             .write.mode("overwrite").partitionBy("match_bucket")
+             .parquet(_batch_path(store, "metric_counts", batch_id)))
             parsed.filter(F.col("kind").isin("corrupt", "other")).select("value", "kind") \
                 .write.mode("overwrite").parquet(_batch_path(store, "rejects", batch_id))
 
@@ -89,11 +99,17 @@ def handle_batch(store: str):
                        .unionByName(events.select("match_id"))
                        .distinct())
             closing = stored_matches.join(touched, "match_id", "left_semi").drop("batch_id")
+            keys = closing.select("match_id", match_bucket().alias("match_bucket")).persist()
+            # at most MATCH_BUCKETS small ints: prunes the counts store to the
+            # closing matches' bucket folders before the semi-join
+            buckets = [r.match_bucket for r in keys.select("match_bucket").distinct().collect()]
             counts = (_read_store(spark, store, "metric_counts", _with_batch(COUNT_SCHEMA))
-                      .join(closing.select("match_id"), "match_id", "left_semi"))
+                      .filter(F.col("match_bucket").isin(buckets))
+                      .join(keys, ["match_bucket", "match_id"], "left_semi"))
             metrics = _metrics.metrics_from_counts(_metrics.sum_counts(counts))
             facts = _facts.match_facts(_squads.participants(closing), metrics)
             facts.write.mode("overwrite").parquet(_batch_path(store, "match_facts", batch_id))
+            keys.unpersist()
         finally:
             parsed.unpersist()
 

@@ -13,6 +13,27 @@ def has_tag(tag_id: int, tags: str | Column = "tags") -> Column:
     return F.coalesce(F.exists(tags, lambda t: t["id"] == F.lit(tag_id)), F.lit(False))
 
 
+def tag_mask(tag_bits: dict[int, int], tags: str | Column = "tags") -> Column:
+    """One pass over the tag array: OR of the bit of every listed tag id present
+    (ids compared by ``id`` only).  Tests on the mask replace repeated ``exists``
+    scans, which Catalyst cannot share because each lambda gets its own variable."""
+    tags = F.col(tags) if isinstance(tags, str) else tags
+
+    def add(acc: Column, t: Column) -> Column:
+        code = None
+        for tag_id, b in tag_bits.items():
+            cond = t["id"] == tag_id
+            code = F.when(cond, F.lit(b)) if code is None else code.when(cond, F.lit(b))
+        return acc.bitwiseOR(code.otherwise(F.lit(0)))
+
+    return F.aggregate(F.coalesce(tags, F.array().cast("array<struct<id:int>>")), F.lit(0), add)
+
+
+def has_bit(mask: str | Column, b: int) -> Column:
+    mask = F.col(mask) if isinstance(mask, str) else mask
+    return mask.bitwiseAND(F.lit(b)) != 0
+
+
 def is_tagged(tags: str | Column = "tags") -> Column:
     """The event carries at least one tag (tag-based metrics require it)."""
     tags = F.col(tags) if isinstance(tags, str) else tags

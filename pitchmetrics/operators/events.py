@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
-from ..functions.columns import count_if, has_tag, is_tagged
+from ..functions.columns import count_if, has_bit, is_tagged, tag_mask
 
 # Tag ids that any metric reads, in natural order.
 METRIC_TAGS = (C.TAG_GOAL, C.TAG_OWN_GOAL, C.TAG_KEY_PASS, C.TAG_DUEL_LOST,
@@ -21,19 +21,24 @@ def player_events(events: DataFrame) -> DataFrame:
     return events.filter(pid.isNotNull() & (pid != C.SYSTEM_PLAYER_ID) & (pid != ""))
 
 
+_BITS = {t: 1 << i for i, t in enumerate(METRIC_TAGS)}
+
+
 def with_tag_flags(events: DataFrame) -> DataFrame:
-    """Adds ``tagged`` and one boolean ``has_<id>`` column per metric tag."""
-    cols = [is_tagged().alias("tagged")] + [has_tag(t).alias(f"has_{t}") for t in METRIC_TAGS]
-    return events.select("*", *cols)
+    """Adds ``tagged`` and one boolean ``has_<id>`` column per metric tag (the tag
+    array is scanned once, into a bit mask)."""
+    ev = events.withColumn("_tag_bits", tag_mask(_BITS))
+    cols = [is_tagged().alias("tagged")] + [has_bit("_tag_bits", b).alias(f"has_{t}") for t, b in _BITS.items()]
+    return ev.select("*", *cols).drop("_tag_bits")
 
 
 def tag_membership(events: DataFrame) -> DataFrame:
     """Per real-player event: number of tags and 0/1 membership of every metric tag."""
-    ev = player_events(events)
+    ev = with_tag_flags(player_events(events))
     return ev.select(
         "match_id", "seq", "player_id", "event_id",
         F.coalesce(F.size("tags"), F.lit(0)).cast("bigint").alias("n_tags"),
-        *[has_tag(t).cast("int").alias(f"has_{t}") for t in METRIC_TAGS],
+        *[F.col(f"has_{t}").cast("int").alias(f"has_{t}") for t in METRIC_TAGS],
     )
 
 

@@ -18,8 +18,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
-from ..functions.columns import count_if, has_tag, is_tagged, ratio
-from .events import player_events
+from ..functions.columns import count_if, has_bit, is_tagged, ratio, tag_mask
+from .events import METRIC_TAGS, player_events
+
+# one bit per metric tag, in the order of METRIC_TAGS
+TAG_BITS = {t: 1 << i for i, t in enumerate(METRIC_TAGS)}
+
+
+def has_tag(tag_id: int) -> Column:
+    """Tag membership from the per-event ``tag_bits`` column (see :func:`with_tag_bits`)."""
+    return has_bit("tag_bits", TAG_BITS[tag_id])
+
+
+def with_tag_bits(events: DataFrame) -> DataFrame:
+    """Adds ``tag_bits``: the metric tags of each event, found in one pass."""
+    return events.withColumn("tag_bits", tag_mask(TAG_BITS))
+
 
 COUNT_COLUMNS = (
     "n_pass_events", "n_key_accurate", "n_key_inaccurate", "n_accurate", "n_inaccurate",
@@ -53,7 +67,7 @@ def pass_weights() -> tuple[Column, Column]:
 def metric_counts(events: DataFrame, keys: Sequence[str] = ("match_id", "player_id")) -> DataFrame:
     """Conditional counts per key over real-player events.  Tag-based counts need a
     non-empty tag list; fouls count every foul event; own goals any tagged event."""
-    ev = player_events(events)
+    ev = with_tag_bits(player_events(events))
     e = F.col("event_id")
     tagged = is_tagged()
     passes, duels = tagged & (e == C.EVENT_PASS), tagged & (e == C.EVENT_DUEL)
@@ -146,7 +160,7 @@ def stream_pass_sums(events: DataFrame, bucket_width: int = 4096) -> DataFrame:
     size is bounded by ``bucket_width``; each bucket is then shifted by the pass
     count of the earlier buckets, found with a window over the (small) bucket table.
     All arithmetic is on BIGINT, so the result is exact."""
-    ev = player_events(events).filter(is_tagged() & (F.col("event_id") == C.EVENT_PASS))
+    ev = with_tag_bits(player_events(events).filter(is_tagged() & (F.col("event_id") == C.EVENT_PASS)))
     num, den = pass_weights()
     ev = ev.select("match_id", "player_id", "seq", num.alias("wn"), den.alias("wd"),
                    F.floor(F.col("seq") / bucket_width).cast("bigint").alias("bucket"))

@@ -266,7 +266,7 @@ def chemistry_group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def player_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _season(spark, sf_dir, *SHARED).clusters
+    c = _season(spark, sf_dir, "match_facts", "player_totals").clusters
     return c.select("player_id", _big("number_of_matches"), _date("birth_date"), _int("prediction"))
 
 

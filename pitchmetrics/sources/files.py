@@ -34,11 +34,17 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet"
     return reader.load(path)
 
 
+SENTINEL_DATE = "0000-00-00"   # fixed value: date key of the initial rating in imported histories
+
+
 def read_rating_export(spark: SparkSession, path: str) -> DataFrame:
-    """Rating history as exported with a nested key struct -> flat columns."""
+    """Rating history as exported with a nested key struct -> flat columns.  Rows keyed
+    by the sentinel date (an initial rating stored as a row) are dropped: the initial
+    rating is the fold's start value, not a match."""
     df = spark.read.json(path, schema="key struct<player_id:string,date:string>, match_id string, rating double")
-    return df.select(F.col("key.player_id").alias("player_id"), F.to_date("key.date").alias("match_date"),
-                     "match_id", "rating")
+    return (df.filter(F.col("key.date") != SENTINEL_DATE)
+            .select(F.col("key.player_id").alias("player_id"), F.to_date("key.date").alias("match_date"),
+                    "match_id", "rating"))
 
 
 def read_chemistry_export(spark: SparkSession, path: str) -> DataFrame:

@@ -133,6 +133,26 @@ def start_ingest(lines: DataFrame, store: str, checkpoint_location: str, *,
     return w.start()
 
 
+def run_for(query: StreamingQuery, seconds: float | None) -> None:
+    """Bounded run: wait for the query to finish or for ``seconds``, then stop it
+    gracefully (the running micro-batch completes; its output is idempotent)."""
+    query.awaitTermination(seconds) if seconds is not None else query.awaitTermination()
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def season_from_store(spark: SparkSession, store: str, players: DataFrame, teams: DataFrame,
+                      requests: DataFrame | None = None):
+    """The season of an ingestion store: stored events and the latest record of each
+    match, with the facts already closed by the stream (not recomputed)."""
+    from ..plans.season import Season
+    s = Season(events=lambda: stored_table(spark, store, "events"),
+               matches=lambda: stored_matches(spark, store), players=players, teams=teams, requests=requests)
+    s.__dict__["match_facts"] = stored_facts(spark, store)
+    return s
+
+
 def stored_facts(spark: SparkSession, store: str) -> DataFrame:
     """Match facts of the store: per match, the latest batch that closed it."""
     df = spark.read.parquet(os.path.join(store, "match_facts"))
@@ -147,5 +167,5 @@ def stored_matches(spark: SparkSession, store: str) -> DataFrame:
     return latest(spark.read.parquet(os.path.join(store, "matches")), ["match_id"]).drop("batch_id")
 
 
-__all__ = ["record_stream", "start_ingest", "handle_batch", "stored_facts", "stored_table", "stored_matches",
-           "latest"]
+__all__ = ["record_stream", "start_ingest", "handle_batch", "run_for", "season_from_store", "stored_facts",
+           "stored_table", "stored_matches", "latest"]

@@ -39,6 +39,16 @@ def match_facts(participants: DataFrame, metrics: DataFrame) -> DataFrame:
             .withColumn("player_performance", performance()))
 
 
+def match_counts(players: DataFrame, facts: DataFrame) -> DataFrame:
+    """(player_id, number_of_matches): matches with minutes > 0, 0 for players who
+    never played.  The part of the career totals the forecast path needs; it reads
+    facts only (no second pass over the events)."""
+    n = facts.groupBy("player_id").agg(
+        F.sum(F.when(F.col("minutes_played") > 0, 1).otherwise(0)).cast("bigint").alias("number_of_matches"))
+    return (players.select("player_id").join(n, "player_id", "left")
+            .na.fill({"number_of_matches": 0}))
+
+
 def player_totals(players: DataFrame, facts: DataFrame, pass_accuracy: DataFrame) -> DataFrame:
     """Career totals per player (fouls, goals, own goals, shots on target, matches
     with minutes > 0) plus the whole-stream pass accuracy; every player is kept,

@@ -32,7 +32,7 @@ def _season(spark: SparkSession, sf_dir: str, *cut: str) -> Season:
     return Season.from_testdata(spark, sf_dir).cut(*cut)
 
 
-SHARED = ("match_facts", "ratings", "player_totals")
+SHARED = ("match_facts", "ratings", "match_counts")
 
 
 def _date(c: str) -> F.Column:
@@ -272,7 +272,7 @@ def player_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cluster_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _season(spark, sf_dir, *SHARED, "chemistry").group_chemistry("prediction")
+    g = _season(spark, sf_dir, "match_facts", "ratings", "player_totals", "chemistry").group_chemistry("prediction")
     return g.select(_int("prediction"), R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
 
 

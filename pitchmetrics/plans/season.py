@@ -106,6 +106,10 @@ class Season:
     def stream_pass_accuracy(self) -> DataFrame:
         return _metrics.stream_pass_accuracy(self.events)
 
+    @cached_property
+    def match_counts(self) -> DataFrame:
+        return _facts.match_counts(self.players, self.match_facts)
+
     @cached_property
     def player_totals(self) -> DataFrame:
         return _facts.player_totals(self.players, self.match_facts, self.stream_pass_accuracy)
@@ -153,12 +157,12 @@ class Season:
         return _reg.player_models(self.age_features)
 
     def group_fit(self, group_col: str = "prediction") -> DataFrame:
-        return _reg.group_models(self.age_features, self.groups(group_col), self.player_totals, group_col,
+        return _reg.group_models(self.age_features, self.groups(group_col), self.match_counts, group_col,
                                  C.EXPERIENCE_THRESHOLD)
 
     def predictions(self, targets: DataFrame, group_col: str = "prediction") -> DataFrame:
         """targets: rows with player_id and date."""
-        return _reg.rating_predictions(targets, self.players, self.player_totals, self.player_fit,
+        return _reg.rating_predictions(targets, self.players, self.match_counts, self.player_fit,
                                        self.group_fit(group_col), self.groups(group_col), group_col,
                                        C.EXPERIENCE_THRESHOLD)
 
@@ -171,7 +175,7 @@ class Season:
         return _requests.lineup_roles(self.lineups, legacy=legacy)
 
     def lineup_chemistry(self, group_col: str = "prediction") -> DataFrame:
-        return _requests.lineup_chemistry(self.lineups, self.player_totals, self.chemistry, self.groups(group_col),
+        return _requests.lineup_chemistry(self.lineups, self.match_counts, self.chemistry, self.groups(group_col),
                                           self.group_chemistry(group_col), group_col)
 
     def slot_ratings(self, group_col: str = "prediction") -> DataFrame:

@@ -19,7 +19,11 @@ def winner_label(matches: DataFrame, teams: DataFrame) -> DataFrame:
 
 
 def _entries_named(matches: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
-    return (squad_entries(matches)
+    """Squad entries that appear in some list (a goal, own goal or card), with names.
+    The filter runs before the name joins: most squad entries have none."""
+    listed = ((F.col("goals") > 0) | (F.col("own_goals") > 0) | (F.col("yellow_cards") > 0)
+              | (F.col("red_cards") > 0))
+    return (squad_entries(matches).filter(listed)
             .join(players.select("player_id", F.col("name").alias("player_name")), "player_id", "left")
             .join(teams.select("team_id", F.col("name").alias("team_name")), "team_id", "left"))
 
@@ -53,10 +57,12 @@ def match_details(matches: DataFrame, players: DataFrame, teams: DataFrame) -> D
     goals, own_goals, yellow_cards, red_cards."""
     base = matches.select("match_id", "label", F.col("match_date").alias("date"), "duration",
                           "venue", "gameweek")
+    scored = "array<struct<player_name:string,team_name:string,number_of_goals:int>>"
+    empty = {"goals": scored, "own_goals": scored, "yellow_cards": "array<string>", "red_cards": "array<string>"}
     return (base.join(winner_label(matches, teams), "match_id", "left")
             .join(match_event_lists(matches, players, teams), "match_id", "left")
             .select("match_id", "label", "date", "duration", "winner", "venue", "gameweek",
-                    "goals", "own_goals", "yellow_cards", "red_cards"))
+                    *[F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in empty.items()]))
 
 
 def match_summary(participants: DataFrame, matches: DataFrame, teams: DataFrame) -> DataFrame:

@@ -173,7 +173,7 @@ def player_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def player_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _season(spark, sf_dir, "ratings").chemistry
+    c = _season(spark, sf_dir, "match_facts", "ratings").chemistry
     return c.select("player_id_1", "player_id_2", R("chemistry").alias("chemistry"))
 
 
@@ -260,7 +260,7 @@ def rating_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chemistry_group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _season(spark, sf_dir, "ratings").group_chemistry(ORACLE_GROUP)
+    g = _season(spark, sf_dir, "match_facts", "ratings").group_chemistry(ORACLE_GROUP)
     return g.select(ORACLE_GROUP, R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
 
 

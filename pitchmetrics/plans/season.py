@@ -116,7 +116,9 @@ class Season:
 
     @cached_property
     def chemistry(self) -> DataFrame:
-        return _chem.player_chemistry(self.participants, self.ratings)
+        # facts carry every participant column (squad, side); when facts are cut this
+        # reads the stored table instead of re-exploding the nested match records
+        return _chem.player_chemistry(self.match_facts, self.ratings)
 
     @cached_property
     def match_details(self) -> DataFrame:

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..functions import codes as C
 from ..operators import chemistry as _chem
 from ..operators import clustering as _clust
-from ..operators import events as _events
 from ..operators import facts as _facts
 from ..operators import matches as _matches
 from ..operators import metrics as _metrics

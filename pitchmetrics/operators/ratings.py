@@ -12,7 +12,8 @@ distributed prefix scan:
    partition) and the fold started from 0 with its decay 2^-k, so that a segment
    continuing a player from an earlier partition is ``decay * x + fold0`` once its
    start value x is known.
-3. A one-row-per-partition summary gives each spanning player's segment ends;
+3. A second, cheap fold over the same range shuffle emits each partition's first
+   and last player segment (at most two rows per partition);
    a JVM-side ``aggregate`` fold over each spanning player's (partition-bounded)
    segment list yields the start values, at most one per partition.  That
    table's size is bounded by the partition count, so it is broadcast to the
@@ -25,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType,
@@ -79,26 +79,54 @@ def _fold_partition(initial: float):
     return fold
 
 
+_ENDS = StructType([
+    StructField("pid", IntegerType()),
+    StructField("player_id", StringType()),
+    StructField("seg_len", LongType()),
+    StructField("end0", DoubleType()),
+    StructField("end_init", DoubleType()),
+])
+
+
+def _segment_ends(initial: float):
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The partition's first and last player segment: (length, fold from 0, fold
+        from the initial rating).  At most two rows per partition."""
+        first, cur = None, None
+        for pdf in batches:
+            pids, players, perf = pdf["pid"].tolist(), pdf["player_id"].tolist(), pdf["perf"].tolist()
+            for i in range(len(players)):
+                if cur is None or players[i] != cur[1]:
+                    if cur is not None and first is None:
+                        first = cur
+                    cur = [pids[i], players[i], 0, 0.0, initial]
+                v = perf[i]
+                cur[2] += 1
+                cur[3] = (cur[3] + v) / 2
+                cur[4] = (cur[4] + v) / 2
+        rows = []
+        if cur is not None:
+            rows.append(first if first is not None else cur)
+            if first is not None:
+                rows.append(cur)
+        yield pd.DataFrame(rows, columns=[f.name for f in _ENDS.fields]).astype(
+            {"pid": "int32", "seg_len": "int64", "end0": "float64", "end_init": "float64"})
+    return ends
+
+
 def rating_history(facts: DataFrame, initial: float = C.INITIAL_RATING,
                    num_partitions: int | None = None) -> DataFrame:
     """(player_id, match_date, match_id, old_rating, rating, change_in_rating), one row
     per fact row.  ``facts`` needs player_id, match_date, match_id, player_performance."""
     keyed = facts.select(*_ORDER, F.col("player_performance").cast("double").alias("perf"))
-    ranged = (keyed.repartitionByRange(num_partitions, *_ORDER) if num_partitions
-              else keyed.repartitionByRange(*_ORDER))
-    ranged = ranged.sortWithinPartitions(*_ORDER).withColumn("pid", F.spark_partition_id())
-    local = ranged.mapInPandas(_fold_partition(float(initial)), _LOCAL).persist(StorageLevel.MEMORY_AND_DISK)
-
-    # per partition: the first and the last segment (same player when one spans it)
-    order = F.struct(*_ORDER)
-    seg = F.struct("player_id", F.col("k").alias("seg_len"), F.col("r0").alias("end0"),
-                   F.col("r_init").alias("end_init"))
-    per_part = local.groupBy("pid").agg(
-        F.max_by(F.when(F.col("first_segment"), seg), F.when(F.col("first_segment"), order)).alias("first"),
-        F.max_by(seg, order).alias("last"),
-    )
-    ends = (per_part.select("pid", F.explode(F.array("first", "last")).alias("s"))
-            .select("pid", "s.*").distinct())
+    # an explicit partition count: AQE keeps it, so both readers of the range
+    # shuffle below see the same partition ids
+    n = num_partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (keyed.repartitionByRange(n, *_ORDER).sortWithinPartitions(*_ORDER)
+              .withColumn("pid", F.spark_partition_id()))
+    # both branches read the same range shuffle (exchange reuse); nothing is cached
+    local = ranged.mapInPandas(_fold_partition(float(initial)), _LOCAL)
+    ends = ranged.mapInPandas(_segment_ends(float(initial)), _ENDS)
     # only players whose rows span a partition boundary need start values: fold
     # their segments in partition order (at most one per partition, so the list is
     # bounded by the partition count): x <- x * 2^-len + end0, first x = end_init

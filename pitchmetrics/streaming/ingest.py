@@ -17,7 +17,7 @@ failure (the checkpoint replays the same offsets) rewrites the same output: the
 sink is idempotent.  Readers take, per match, the facts of the latest batch that
 closed it.  Events are touched once, in their arrival batch; closing a match reads
 only its compact counts, from the ``match_bucket`` partitions of the closing
-matches (partition pruning by the closing matches' bucket ids, at most 256).
+matches (partition pruning by the closing matches' bucket ids, at most 32).
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from ..sources.records import events_from_records, matches_from_records, parse_r
 
 COUNT_SCHEMA = ("match_id string, player_id string, "
                 + ", ".join(f"{c} bigint" for c in _metrics.COUNT_COLUMNS) + ", match_bucket int")
-MATCH_BUCKETS = 256
+MATCH_BUCKETS = 32
 
 
 def match_bucket(col: str = "match_id"):
@@ -87,7 +87,9 @@ def handle_batch(store: str):
             matches = matches_from_records(parsed)
             events.write.mode("overwrite").parquet(_batch_path(store, "events", batch_id))
             matches.write.mode("overwrite").parquet(_batch_path(store, "matches", batch_id))
+            # one writer task per bucket: at most MATCH_BUCKETS files per batch
             (_metrics.metric_counts(events).withColumn("match_bucket", match_bucket())
+             .repartition("match_bucket")
              .write.mode("overwrite").partitionBy("match_bucket")
              .parquet(_batch_path(store, "metric_counts", batch_id)))
             parsed.filter(F.col("kind").isin("corrupt", "other")).select("value", "kind") \

@@ -39,8 +39,10 @@ def first_by_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 def player_profiles(requests: DataFrame, totals: DataFrame) -> DataFrame:
     """Profile requests joined with player totals on name; a duplicate name answers
     with the lowest player_id; an unknown name gives ``error = 'Invalid'``."""
-    by_name = first_by_key(totals.select(*PROFILE_FIELDS), "name", ["player_id"])
     req = requests.filter(F.col("request_kind") == "profile").select("request_id", F.col("name").alias("q"))
+    # only the requested names are de-duplicated, not the whole player table
+    asked = totals.select(*PROFILE_FIELDS).join(req.select("q").distinct(), F.col("name") == F.col("q"), "left_semi")
+    by_name = first_by_key(asked, "name", ["player_id"])
     j = req.join(by_name, F.col("q") == F.col("name"), "left")
     return j.select("request_id", *[c for c in PROFILE_FIELDS],
                     F.when(F.col("player_id").isNull(), F.lit(C.INVALID)).alias("error"))
@@ -49,8 +51,9 @@ def player_profiles(requests: DataFrame, totals: DataFrame) -> DataFrame:
 def match_lookups(requests: DataFrame, details: DataFrame) -> DataFrame:
     """Match requests joined with match details on label; a label used by several
     matches answers with the first by (date, match_id); unknown -> 'Invalid'."""
-    by_label = first_by_key(details, "label", ["date", "match_id"])
     req = requests.filter(F.col("request_kind") == "match").select("request_id", F.col("label").alias("q"))
+    asked = details.join(req.select("q").distinct(), F.col("label") == F.col("q"), "left_semi")
+    by_label = first_by_key(asked, "label", ["date", "match_id"])
     j = req.join(by_label, F.col("q") == F.col("label"), "left")
     cols = [c for c in details.columns]
     return j.select("request_id", *cols, F.when(F.col("match_id").isNull(), F.lit(C.INVALID)).alias("error"))
@@ -68,7 +71,9 @@ def lineup_players(requests: DataFrame, players: DataFrame) -> DataFrame:
         F.struct(F.lit(2).alias("side"), F.col("team2").alias("m")))).alias("s"))
     slots = (sides.select("request_id", F.col("s.side").alias("side"), F.explode(F.col("s.m")).alias("slot", "player_name"))
              .filter(F.col("slot") != "name"))
-    by_name = first_by_key(players.select("name", "player_id", "role"), "name", ["player_id"])
+    asked = players.select("name", "player_id", "role").join(
+        slots.select("player_name").distinct(), F.col("name") == F.col("player_name"), "left_semi")
+    by_name = first_by_key(asked, "name", ["player_id"])
     return (slots.join(by_name, F.col("player_name") == F.col("name"), "left")
             .select("request_id", "side", "slot", "player_name", "player_id", "role"))
 

@@ -70,10 +70,18 @@ def _read_store(spark: SparkSession, store: str, table: str, schema) -> DataFram
         return None
 
 
-def latest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the latest batch per key (a re-closed match replaces its older facts)."""
-    last = df.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
-    return df.join(last, [*keys, "batch_id"])
+def latest(df: DataFrame, keys: list[str], within: list[str] | None = None) -> DataFrame:
+    """Rows of the latest batch per key (a re-closed match replaces its older facts).
+
+    With ``within`` (row keys inside the group, e.g. player_id for facts) the rows of
+    the latest batch of each group are kept; otherwise one row per key.  One
+    aggregate, no join back."""
+    if within:
+        last = df.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
+        return df.join(last, [*keys, "batch_id"])
+    rest = [c for c in df.columns if c not in keys]
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_r"))
+            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
 def handle_batch(store: str):
@@ -158,7 +166,7 @@ def season_from_store(spark: SparkSession, store: str, players: DataFrame, teams
 def stored_facts(spark: SparkSession, store: str) -> DataFrame:
     """Match facts of the store: per match, the latest batch that closed it."""
     df = spark.read.parquet(os.path.join(store, "match_facts"))
-    return latest(df, ["match_id"]).drop("batch_id")
+    return latest(df, ["match_id"], within=["player_id"]).drop("batch_id")
 
 
 def stored_table(spark: SparkSession, store: str, table: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash
+from . import bpe, packing, simhash
 from .common import table
 
 #: the vocabulary file of the queries; the operators take it as a parameter
@@ -20,5 +20,9 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op4_simhash)}
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op4_simhash, op5_best_fit_packing)}
 ORACLE: dict[str, str] = {}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash
+from . import bpe, linededup, packing, simhash, toxicity
 from .common import table
 
 #: the vocabulary file of the queries; the operators take it as a parameter
@@ -16,6 +17,11 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.roundtrip_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", F.col("n_lines").cast("bigint"), F.col("n_removed").cast("bigint"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -24,5 +30,13 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op4_simhash, op5_best_fit_packing)}
-ORACLE: dict[str, str] = {}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(toxicity.fold("doc_id", 3) == 1, F.lit(False)))
+    learn = table(spark, sf_dir, "labels").filter(toxicity.fold("doc_id", 3) != 1)
+    scored = toxicity.score(docs, toxicity.fit(docs, learn))
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+                         F.col("threshold").alias("lang_threshold"), F.col("toxic").alias("over_lang_threshold"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op3_line_dedup, op4_simhash, op5_best_fit_packing, op8_toxicity)}
+ORACLE: dict[str, str] = {"op3_line_dedup": linededup.sql("documents")}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, linededup, packing, simhash, toxicity
+from . import bpe, chat, linededup, packing, sharding, simhash, toxicity
 from .common import table
 
 #: the vocabulary file of the queries; the operators take it as a parameter
@@ -17,6 +17,10 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.roundtrip_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", F.col("n_lines").cast("bigint"), F.col("n_removed").cast("bigint"))
@@ -38,5 +42,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("threshold").alias("lang_threshold"), F.col("toxic").alias("over_lang_threshold"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op3_line_dedup, op4_simhash, op5_best_fit_packing, op8_toxicity)}
-ORACLE: dict[str, str] = {"op3_line_dedup": linededup.sql("documents")}
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "copies")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe_roundtrip, op2_chat_format, op3_line_dedup, op4_simhash, op5_best_fit_packing, op8_toxicity, op9_sharding)}
+ORACLE: dict[str, str] = {"op2_chat_format": chat.sql("conversations"), "op3_line_dedup": linededup.sql("documents")}

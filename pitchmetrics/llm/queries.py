@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, hamming, linededup, packing, sharding, simhash, toxicity
+from . import bpe, chat, hamming, linededup, packing, sharding, simhash, toxicity, vectorgraph
 from .common import table
 
 #: the vocabulary file of the queries; the operators take it as a parameter
@@ -34,6 +34,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest sign codes of every vector whose id is divisible by 20."""
     codes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code"))
@@ -56,7 +60,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe_roundtrip, op2_chat_format, op3_line_dedup, op4_simhash, op5_best_fit_packing, op7_exact_top_k, op8_toxicity,
-    op9_sharding)}
+    op1_bpe_roundtrip, op2_chat_format, op3_line_dedup, op4_simhash, op5_best_fit_packing, op6_embedding_dedup, op7_exact_top_k,
+    op8_toxicity, op9_sharding)}
 ORACLE: dict[str, str] = {"op2_chat_format": chat.sql("conversations"), "op3_line_dedup": linededup.sql("documents"),
                           "op7_exact_top_k": hamming.sql("embeddings")}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, hamming, linededup, packing, sharding, simhash, toxicity, vectorgraph
+from . import bpe, chat, hamming, linededup, lm, packing, sharding, simhash, toxicity, vectorgraph
 from .common import table
 
 #: the vocabulary file of the queries; the operators take it as a parameter
@@ -59,8 +59,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "copies")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), toxicity.fold("doc_id", 7) == 2)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_roundtrip, op2_chat_format, op3_line_dedup, op4_simhash, op5_best_fit_packing, op6_embedding_dedup, op7_exact_top_k,
-    op8_toxicity, op9_sharding)}
+    op8_toxicity, op9_sharding, op10_lm_score)}
 ORACLE: dict[str, str] = {"op2_chat_format": chat.sql("conversations"), "op3_line_dedup": linededup.sql("documents"),
                           "op7_exact_top_k": hamming.sql("embeddings")}

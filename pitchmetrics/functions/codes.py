@@ -48,3 +48,4 @@ REQUIRED_GOALKEEPERS = 1
 REQUEST_FORECAST = 1            # req_type 1
 REQUEST_PROFILE = 2             # req_type 2
 INVALID = "Invalid"
+UNRATED = "Unrated"           # our own: a named player without a rating or chemistry

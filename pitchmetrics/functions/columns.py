@@ -7,12 +7,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def has_tag(tag_id: int, tags: str | Column = "tags") -> Column:
-    """True when the tag array holds an entry with this id (compares ``id`` only)."""
-    tags = F.col(tags) if isinstance(tags, str) else tags
-    return F.coalesce(F.exists(tags, lambda t: t["id"] == F.lit(tag_id)), F.lit(False))
-
-
 def tag_mask(tag_bits: dict[int, int], tags: str | Column = "tags") -> Column:
     """One pass over the tag array: OR of the bit of every listed tag id present
     (ids compared by ``id`` only).  Tests on the mask replace repeated ``exists``

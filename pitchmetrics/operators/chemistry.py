@@ -18,12 +18,11 @@ from pyspark.sql import functions as F
 from ..functions import codes as C
 
 
-def match_pair_steps(participants: DataFrame, ratings: DataFrame) -> DataFrame:
-    """(match_id, player_id_1 < player_id_2, step) for every pair in a match squad."""
-    squad = (participants.filter(F.col("squad").isin("lineup", "bench"))
-             .select("match_id", "player_id", "team_pos")
-             .join(ratings.select("match_id", "player_id", F.col("change_in_rating").alias("d")),
-                   ["match_id", "player_id"]))
+def match_pair_steps(ratings: DataFrame) -> DataFrame:
+    """(match_id, player_id_1 < player_id_2, step) for every pair in a match squad.
+    ``ratings`` carry squad and team_pos of their fact rows, so nothing is joined back."""
+    squad = (ratings.filter(F.col("squad").isin("lineup", "bench"))
+             .select("match_id", "player_id", "team_pos", F.col("change_in_rating").alias("d")))
     a, b = squad.alias("a"), squad.alias("b")
     pairs = a.join(b, (F.col("a.match_id") == F.col("b.match_id"))
                    & (F.col("a.player_id") < F.col("b.player_id")))
@@ -36,10 +35,9 @@ def match_pair_steps(participants: DataFrame, ratings: DataFrame) -> DataFrame:
                         F.col("b.player_id").alias("player_id_2"), step.alias("step"))
 
 
-def player_chemistry(participants: DataFrame, ratings: DataFrame,
-                     initial: float = C.INITIAL_CHEMISTRY) -> DataFrame:
+def player_chemistry(ratings: DataFrame, initial: float = C.INITIAL_CHEMISTRY) -> DataFrame:
     """(player_id_1, player_id_2, chemistry), both directions of every pair."""
-    one_way = (match_pair_steps(participants, ratings)
+    one_way = (match_pair_steps(ratings)
                .groupBy("player_id_1", "player_id_2")
                .agg((F.lit(initial) + F.sum("step")).alias("chemistry")))
     both = F.explode(F.array(
@@ -52,7 +50,8 @@ def player_chemistry(participants: DataFrame, ratings: DataFrame,
 def group_chemistry(groups: DataFrame, chemistry: DataFrame, group_col: str = "prediction") -> DataFrame:
     """Mean chemistry of the pairs whose first player belongs to each group
     (groups: player_id -> group).  One partial+final aggregate for all groups."""
-    return (groups.select("player_id", group_col)
-            .join(chemistry, F.col("player_id") == F.col("player_id_1"))
-            .groupBy(group_col)
-            .agg(F.avg("chemistry").alias("avg_chemistry"), F.count(F.lit(1)).cast("bigint").alias("n_pairs")))
+    per_player = (chemistry.groupBy(F.col("player_id_1").alias("player_id"))
+                  .agg(F.sum("chemistry").alias("s"), F.count("chemistry").alias("n")))
+    sums = (groups.select("player_id", group_col).join(per_player, "player_id")
+            .groupBy(group_col).agg(F.sum("s").alias("s"), F.sum("n").cast("bigint").alias("n_pairs")))
+    return sums.select(group_col, (F.col("s") / F.col("n_pairs")).alias("avg_chemistry"), "n_pairs")

@@ -19,11 +19,36 @@ K = 5
 SEED = 1
 
 
-def player_clusters(totals: DataFrame, k: int = K, seed: int = SEED) -> DataFrame:
-    """(player_id, number_of_matches, birth_date, prediction) for every player."""
-    data = totals.select("player_id", "number_of_matches", "birth_date",
+def cluster_features(totals: DataFrame) -> DataFrame:
+    """(player_id, number_of_matches, birth_date and the features as doubles)."""
+    return totals.select("player_id", "number_of_matches", "birth_date",
                          *[F.col(c).cast("double").alias(c) for c in FEATURES])
-    vec = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(data)
+
+
+def fit_clusters(features: DataFrame, k: int = K, seed: int = SEED) -> tuple[DataFrame, list[list[float]]]:
+    """The features with ``prediction``, and the cluster centres."""
+    vec = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(features)
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction").fit(vec)
-    return model.transform(vec).select("player_id", "number_of_matches", "birth_date",
-                                       F.col("prediction").cast("int").alias("prediction"))
+    return (model.transform(vec).drop("features").withColumn("prediction", F.col("prediction").cast("int")),
+            [[float(x) for x in c] for c in model.clusterCenters()])
+
+
+def player_clusters(totals: DataFrame, k: int = K, seed: int = SEED) -> DataFrame:
+    """(player_id, number_of_matches, birth_date, prediction) for every player."""
+    return (fit_clusters(cluster_features(totals), k, seed)[0]
+            .select("player_id", "number_of_matches", "birth_date", "prediction"))
+
+
+def cluster_invariants(totals: DataFrame, k: int = K, seed: int = SEED) -> DataFrame:
+    """One row of counts: players, players assigned, ids out of range, and players that
+    are nearer to another centre than to their own."""
+    assigned, centres = fit_clusters(cluster_features(totals), k, seed)
+    away = F.array(*[sum(((F.col(f) - x) * (F.col(f) - x) for f, x in zip(FEATURES, c, strict=True)), F.lit(0.0)) for c in centres])
+    own = F.get(away, F.col("prediction"))
+
+    def n(cond) -> F.Column:
+        return F.count(F.when(cond, F.lit(1)))
+
+    return assigned.agg(F.count(F.lit(1)).alias("players"), F.count("prediction").alias("assigned"),
+                        n((F.col("prediction") < 0) | (F.col("prediction") >= k)).alias("out_of_range"),
+                        n(own > F.array_min(away) * (1 + 1e-9) + 1e-9).alias("not_nearest"))

@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
-from .squads import squad_entries
+from .squads import latest_matches, squad_entries
 
 
 def winner_label(matches: DataFrame, teams: DataFrame) -> DataFrame:
-    """(match_id, winner): 'DRAW' for winner id '0', else the winning team's name
-    (NULL for an unknown team id; the row is kept)."""
+    """``matches`` with winner as a label: 'DRAW' for winner id '0', else the winning
+    team's name (NULL for an unknown team id; the row is kept)."""
     t = teams.select(F.col("team_id").alias("winner"), F.col("name").alias("winner_name"))
-    return (matches.select("match_id", "winner").join(t, "winner", "left")
-            .select("match_id", F.when(F.col("winner") == C.DRAW_TEAM_ID, F.lit(C.DRAW_LABEL))
-                    .otherwise(F.col("winner_name")).alias("winner")))
+    label = F.when(F.col("winner") == C.DRAW_TEAM_ID, F.lit(C.DRAW_LABEL)).otherwise(F.col("winner_name"))
+    return matches.join(t, "winner", "left").withColumn("winner", label).drop("winner_name")
 
 
 def _entries_named(matches: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
@@ -54,12 +53,13 @@ def match_event_lists(matches: DataFrame, players: DataFrame, teams: DataFrame)
 
 def match_details(matches: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
     """One detail record per match: label, date, duration, winner, venue, gameweek,
-    goals, own_goals, yellow_cards, red_cards."""
-    base = matches.select("match_id", "label", F.col("match_date").alias("date"), "duration",
+    goals, own_goals, yellow_cards, red_cards.  The latest record of a match counts."""
+    matches = latest_matches(matches)
+    base = matches.select("match_id", "label", F.col("match_date").alias("date"), "duration", "winner",
                           "venue", "gameweek")
     scored = "array<struct<player_name:string,team_name:string,number_of_goals:int>>"
     empty = {"goals": scored, "own_goals": scored, "yellow_cards": "array<string>", "red_cards": "array<string>"}
-    return (base.join(winner_label(matches, teams), "match_id", "left")
+    return (winner_label(base, teams)
             .join(match_event_lists(matches, players, teams), "match_id", "left")
             .select("match_id", "label", "date", "duration", "winner", "venue", "gameweek",
                     *[F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in empty.items()]))
@@ -70,4 +70,4 @@ def match_summary(participants: DataFrame, matches: DataFrame, teams: DataFrame)
     sums = participants.groupBy("match_id").agg(
         *[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("bigint").alias(f"total_{c}")
           for c in ("goals", "own_goals", "yellow_cards", "red_cards")])
-    return winner_label(matches, teams).join(sums, "match_id", "left")
+    return winner_label(latest_matches(matches).select("match_id", "winner"), teams).join(sums, "match_id", "left")

@@ -1,160 +1,66 @@
 """Rating history: r0 = 0.5 and r_n = (r_{n-1} + performance_n) / 2 per player, in
-(match_date, match_id) order, for every participant (0-minute players included).
+(match_date, match_id) order (ids compare as text), for every participant.
 
-Spark has no ordered-fold window function, and a window partitioned by player
-would put a hot player's whole history into one task.  Instead this is a
-distributed prefix scan:
+A window partitioned by player would put a hot player's whole history into one task,
+and Spark has no ordered-fold window.  Instead a player's matches are cut into fixed
+blocks of ``BLOCK_DAYS`` days, whose ids depend on the data only:
 
-1. ``repartitionByRange`` on (player_id, match_date, match_id): the sampled range
-   bounds split even a hot player's history over several tasks, in order.
-2. ``mapInPandas`` folds each partition's rows in order.  For every row it keeps the
-   fold started from the initial rating (exact when the player starts in this
-   partition) and the fold started from 0 with its decay 2^-k, so that a segment
-   continuing a player from an earlier partition is ``decay * x + fold0`` once its
-   start value x is known.
-3. A second, cheap fold over the same range shuffle emits each partition's first
-   and last player segment (at most two rows per partition);
-   a JVM-side ``aggregate`` fold over each spanning player's (partition-bounded)
-   segment list yields the start values, at most one per partition.  That
-   table's size is bounded by the partition count, so it is broadcast to the
-   final projection.
+1. a block's matches become one sorted list (a few days of one player), whose fold from
+   0 is the block's end; a block takes a start x to x * 2^-n + end;
+2. the (block, n, end) of a player, one per ``BLOCK_DAYS`` days of the season, are folded
+   into the start of each block;
+3. each block is folded again from its start, which gives its rows.
+
+All folds are built-in JVM expressions over lists bounded by the calendar.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType)
 
 from ..functions import codes as C
 
-_ORDER = ("player_id", "match_date", "match_id")
-
-_LOCAL = StructType([
-    StructField("pid", IntegerType()),
-    StructField("player_id", StringType()),
-    StructField("match_date", DateType()),
-    StructField("match_id", StringType()),
-    StructField("k", LongType()),              # 1-based index inside the partition's segment
-    StructField("first_segment", BooleanType()),  # the partition's first player
-    StructField("r_init", DoubleType()),       # fold from the initial rating
-    StructField("prev_init", DoubleType()),
-    StructField("r0", DoubleType()),           # fold from 0
-    StructField("prev0", DoubleType()),
-])
-
+BLOCK_DAYS = 16
 
-def _fold_partition(initial: float):
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prev_player, k, r_init, r0, first = None, 0, initial, 0.0, True
-        for pdf in batches:
-            n = len(pdf)
-            players = pdf["player_id"].tolist()
-            perf = pdf["perf"].tolist()
-            ks = np.empty(n, dtype=np.int64)
-            firsts = np.empty(n, dtype=bool)
-            ri, pi, rz, pz = (np.empty(n) for _ in range(4))
-            for i in range(n):
-                p = players[i]
-                if p != prev_player:
-                    if prev_player is not None:
-                        first = False
-                    prev_player, k, r_init, r0 = p, 0, initial, 0.0
-                pi[i], pz[i] = r_init, r0
-                v = perf[i]
-                r_init = (r_init + v) / 2
-                r0 = (r0 + v) / 2
-                k += 1
-                ks[i], firsts[i], ri[i], rz[i] = k, first, r_init, r0
-            yield pd.DataFrame({
-                "pid": pdf["pid"].to_numpy(), "player_id": pdf["player_id"], "match_date": pdf["match_date"],
-                "match_id": pdf["match_id"], "k": ks, "first_segment": firsts,
-                "r_init": ri, "prev_init": pi, "r0": rz, "prev0": pz,
-            })
-    return fold
 
+def _fold(items: str, start: Column, carry: tuple[str, ...]) -> Column:
+    """The rows of a sorted block: old and new rating of each match."""
+    row = ("struct<match_date:date,match_id:string,"
+           + "".join(f"{c}:string," for c in carry) + "old_rating:double,rating:double>")
+    init = F.struct(start.alias("x"), F.array().cast(f"array<{row}>").alias("rows"))
 
-_ENDS = StructType([
-    StructField("pid", IntegerType()),
-    StructField("player_id", StringType()),
-    StructField("seg_len", LongType()),
-    StructField("end0", DoubleType()),
-    StructField("end_init", DoubleType()),
-])
+    def step(acc: Column, item: Column) -> Column:
+        new = (acc["x"] + item["perf"]) / 2
+        made = F.struct(item["match_date"].alias("match_date"), item["match_id"].alias("match_id"),
+                        *[item[c].alias(c) for c in carry], acc["x"].alias("old_rating"), new.alias("rating"))
+        return F.struct(new.alias("x"), F.array_append(acc["rows"], made).alias("rows"))
 
+    return F.aggregate(items, init, step)["rows"]
 
-def _segment_ends(initial: float):
-    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The partition's first and last player segment: (length, fold from 0, fold
-        from the initial rating).  At most two rows per partition."""
-        first, cur = None, None
-        for pdf in batches:
-            pids, players, perf = pdf["pid"].tolist(), pdf["player_id"].tolist(), pdf["perf"].tolist()
-            for i in range(len(players)):
-                if cur is None or players[i] != cur[1]:
-                    if cur is not None and first is None:
-                        first = cur
-                    cur = [pids[i], players[i], 0, 0.0, initial]
-                v = perf[i]
-                cur[2] += 1
-                cur[3] = (cur[3] + v) / 2
-                cur[4] = (cur[4] + v) / 2
-        rows = []
-        if cur is not None:
-            rows.append(first if first is not None else cur)
-            if first is not None:
-                rows.append(cur)
-        yield pd.DataFrame(rows, columns=[f.name for f in _ENDS.fields]).astype(
-            {"pid": "int32", "seg_len": "int64", "end0": "float64", "end_init": "float64"})
-    return ends
 
-
-def rating_history(facts: DataFrame, initial: float = C.INITIAL_RATING,
-                   num_partitions: int | None = None) -> DataFrame:
+def rating_history(facts: DataFrame, initial: float = C.INITIAL_RATING, block_days: int = BLOCK_DAYS,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """(player_id, match_date, match_id, old_rating, rating, change_in_rating), one row
-    per fact row.  ``facts`` needs player_id, match_date, match_id, player_performance."""
-    keyed = facts.select(*_ORDER, F.col("player_performance").cast("double").alias("perf"))
-    # an explicit partition count: AQE keeps it, so both readers of the range
-    # shuffle below see the same partition ids
-    n = num_partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (keyed.repartitionByRange(n, *_ORDER).sortWithinPartitions(*_ORDER)
-              .withColumn("pid", F.spark_partition_id()))
-    # both branches read the same range shuffle (exchange reuse); nothing is cached
-    local = ranged.mapInPandas(_fold_partition(float(initial)), _LOCAL)
-    ends = ranged.mapInPandas(_segment_ends(float(initial)), _ENDS)
-    # only players whose rows span a partition boundary need start values: fold
-    # their segments in partition order (at most one per partition, so the list is
-    # bounded by the partition count): x <- x * 2^-len + end0, first x = end_init
-    chains = (ends.groupBy("player_id")
-              .agg(F.sort_array(F.collect_list(F.struct("pid", "seg_len", "end0", "end_init"))).alias("segs"))
-              .filter(F.size("segs") > 1))
-    init = F.struct(F.lit(None).cast("double").alias("x"),
-                    F.array().cast("array<struct<pid:int,x_start:double>>").alias("starts"))
-
-    def step(acc, seg):
-        first = acc["x"].isNull()
-        x = F.when(first, seg["end_init"]).otherwise(
-            acc["x"] * F.pow(F.lit(2.0), -seg["seg_len"].cast("double")) + seg["end0"])
-        starts = F.when(first, acc["starts"]).otherwise(
-            F.array_append(acc["starts"], F.struct(seg["pid"].alias("pid"), acc["x"].alias("x_start"))))
-        return F.struct(x.alias("x"), starts.alias("starts"))
-
-    starts = (chains.select("player_id", F.explode(F.aggregate("segs", init, step)["starts"]).alias("s"))
-              .select(F.col("s.pid").alias("pid"), "player_id", F.col("s.x_start").alias("x_start")))
-
-    # bounded by the number of partitions: at most one start value per partition
-    with_start = local.join(F.broadcast(starts), ["pid", "player_id"], "left")
-    x = F.col("x_start")
-    decay = F.pow(F.lit(2.0), -F.col("k").cast("double"))
-    prev_decay = F.pow(F.lit(2.0), -(F.col("k") - 1).cast("double"))
-    is_cont = F.col("first_segment") & x.isNotNull()
-    rating = F.when(is_cont, decay * x + F.col("r0")).otherwise(F.col("r_init"))
-    old = F.when(is_cont, prev_decay * x + F.col("prev0")).otherwise(F.col("prev_init"))
-    return with_start.select(
-        "player_id", "match_date", "match_id",
-        old.alias("old_rating"), rating.alias("rating"), (rating - old).alias("change_in_rating"))
+    per fact row, and the fact columns named in ``carry`` as text.  ``facts`` needs
+    player_id, match_date, match_id, player_performance."""
+    block = F.floor(F.datediff("match_date", F.lit("1970-01-01").cast("date")) / block_days).cast("bigint")
+    item = F.struct("match_date", "match_id", *[F.col(c).cast("string").alias(c) for c in carry],
+                    F.col("player_performance").cast("double").alias("perf"))
+    blocks = (facts.select("player_id", F.coalesce(block, F.lit(-1)).alias("block"), item.alias("item"))
+              .groupBy("player_id", "block").agg(F.sort_array(F.collect_list("item")).alias("items")))
+    end = F.aggregate("items", F.lit(0.0).cast("double"), lambda acc, x: (acc + x["perf"]) / 2)
+    chains = (blocks.select("player_id", F.struct("block", F.size("items").alias("n"), end.alias("end")).alias("b"))
+              .groupBy("player_id").agg(F.sort_array(F.collect_list("b")).alias("chain")))
+    start = F.struct(F.lit(float(initial)).alias("x"), F.array().cast("array<struct<block:bigint,x:double>>").alias("starts"))
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct((acc["x"] * F.pow(F.lit(2.0), -b["n"].cast("double")) + b["end"]).alias("x"),
+                        F.array_append(acc["starts"], F.struct(b["block"].alias("block"), acc["x"].alias("x"))).alias("starts"))
+
+    starts = (chains.select("player_id", F.explode(F.aggregate("chain", start, step)["starts"]).alias("s"))
+              .select("player_id", "s.block", "s.x"))
+    rows = (blocks.join(starts, ["player_id", "block"])
+            .select("player_id", F.explode(_fold("items", F.col("x"), carry)).alias("r")))
+    return rows.select("player_id", "r.match_date", "r.match_id", *[f"r.{c}" for c in carry], "r.old_rating", "r.rating",
+                       (F.col("r.rating") - F.col("r.old_rating")).alias("change_in_rating"))

@@ -39,15 +39,19 @@ def _det3(a, b, c, d, e, f, g, h, i) -> Column:
     return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
 
 
-def fit_quadratic(training: DataFrame, keys: Sequence[str], x: str = "age", y: str = "rating") -> DataFrame:
+def fit_quadratic(training: DataFrame, keys: Sequence[str], x: str = "age", y: str = "rating",
+                  few_keys: bool = False) -> DataFrame:
     """Per key: (n_points, degree, mean_age, b0, b1, b2) of y ~ b0 + b1*u + b2*u^2,
-    u = x - mean_age."""
+    u = x - mean_age.  Rows without x or y are no points.  ``few_keys``: the keys are a
+    small fixed set of groups, so the table of their means is sent to all tasks and no
+    group's rows are gathered by key."""
     keys = list(keys)
-    t = training.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    t = (training.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+         .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
     first = t.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("x").alias("mean_age"),
                                  F.min("x").alias("lo"), F.max("x").alias("hi"))
     u = F.col("x") - F.col("mean_age")
-    sums = (t.join(first, keys)
+    sums = (t.join(F.broadcast(first) if few_keys else first, keys)
             .groupBy(*keys, "n", "mean_age", "lo", "hi")
             .agg(F.sum(u).alias("s1"), F.sum(u * u).alias("s2"), F.sum(u * u * u).alias("s3"),
                  F.sum(u * u * u * u).alias("s4"), F.sum("y").alias("t0"), F.sum(u * F.col("y")).alias("t1"),
@@ -91,7 +95,7 @@ def group_models(features: DataFrame, groups: DataFrame, totals: DataFrame, grou
     members = (groups.select("player_id", group_col)
                .join(totals.select("player_id", "number_of_matches"), "player_id")
                .filter(F.col("number_of_matches") < max_matches).select("player_id", group_col))
-    return fit_quadratic(features.join(members, "player_id"), [group_col])
+    return fit_quadratic(features.join(members, "player_id"), [group_col], few_keys=True)
 
 
 def rating_predictions(targets: DataFrame, players: DataFrame, totals: DataFrame, player_fit: DataFrame,
@@ -105,7 +109,8 @@ def rating_predictions(targets: DataFrame, players: DataFrame, totals: DataFrame
          .withColumn("age", age_days("date", "birth_date")))
     pf = player_fit.select("player_id", *[F.col(c).alias(f"p_{c}") for c in ("mean_age", "b0", "b1", "b2")])
     gf = group_fit.select(group_col, *[F.col(c).alias(f"g_{c}") for c in ("mean_age", "b0", "b1", "b2")])
-    j = t.join(pf, "player_id", "left").join(gf, group_col, "left")
+    # one row per group
+    j = t.join(pf, "player_id", "left").join(F.broadcast(gf), group_col, "left")
     use_group = F.coalesce(F.col("number_of_matches"), F.lit(0)) < threshold
     return j.select(
         *targets.columns,

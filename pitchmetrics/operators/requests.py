@@ -41,8 +41,8 @@ def player_profiles(requests: DataFrame, totals: DataFrame) -> DataFrame:
     with the lowest player_id; an unknown name gives ``error = 'Invalid'``."""
     req = requests.filter(F.col("request_kind") == "profile").select("request_id", F.col("name").alias("q"))
     # only the requested names are de-duplicated, not the whole player table
-    asked = totals.select(*PROFILE_FIELDS).join(req.select("q").distinct(), F.col("name") == F.col("q"), "left_semi")
-    by_name = first_by_key(asked, "name", ["player_id"])
+    asked = totals.select(*PROFILE_FIELDS, F.length("player_id").alias("id_length")).join(req.select("q").distinct(), F.col("name") == F.col("q"), "left_semi")
+    by_name = first_by_key(asked, "name", ["id_length", "player_id"])
     j = req.join(by_name, F.col("q") == F.col("name"), "left")
     return j.select("request_id", *[c for c in PROFILE_FIELDS],
                     F.when(F.col("player_id").isNull(), F.lit(C.INVALID)).alias("error"))
@@ -71,18 +71,24 @@ def lineup_players(requests: DataFrame, players: DataFrame) -> DataFrame:
         F.struct(F.lit(2).alias("side"), F.col("team2").alias("m")))).alias("s"))
     slots = (sides.select("request_id", F.col("s.side").alias("side"), F.explode(F.col("s.m")).alias("slot", "player_name"))
              .filter(F.col("slot") != "name"))
-    asked = players.select("name", "player_id", "role").join(
+    asked = players.select("name", "player_id", "role", F.length("player_id").alias("id_length")).join(
         slots.select("player_name").distinct(), F.col("name") == F.col("player_name"), "left_semi")
-    by_name = first_by_key(asked, "name", ["player_id"])
+    by_name = first_by_key(asked, "name", ["id_length", "player_id"])
     return (slots.join(by_name, F.col("player_name") == F.col("name"), "left")
             .select("request_id", "side", "slot", "player_name", "player_id", "role"))
 
 
-def lineup_roles(lineups: DataFrame, legacy: bool = False) -> DataFrame:
-    """Role counts and validity per (request, side).  A side is valid with exactly
-    one goalkeeper, at least two defenders, two midfielders and one forward and no
-    unknown player; a request is valid when both sides are.  ``legacy=True`` marks
-    a request invalid only when *both* sides break the same rule."""
+def request_sides(requests: DataFrame) -> DataFrame:
+    """(request_id, side): both sides of every forecast request, players or none."""
+    fc = requests.filter(F.col("request_kind") == "forecast")
+    return fc.select("request_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("side"))
+
+
+def lineup_roles(requests: DataFrame, lineups: DataFrame, legacy: bool = False) -> DataFrame:
+    """Role counts and validity per (request, side); a side without players has zeros.
+    A side is valid with exactly one goalkeeper, at least two defenders, two midfielders
+    and one forward and no unknown player; a request is valid when both sides are.
+    ``legacy=True`` marks a request invalid only when *both* sides break the same rule."""
     role = F.col("role")
 
     def n(r: str) -> Column:
@@ -91,6 +97,9 @@ def lineup_roles(lineups: DataFrame, legacy: bool = False) -> DataFrame:
     counts = lineups.groupBy("request_id", "side").agg(
         *[n(r) for r in C.ROLES],
         F.sum(F.when(F.col("player_id").isNull(), 1).otherwise(0)).cast("bigint").alias("unknown"))
+    names = [r.lower() for r in C.ROLES] + ["unknown"]
+    counts = (request_sides(requests).join(counts, ["request_id", "side"], "left")
+              .na.fill({c: 0 for c in names}))
     rules = {
         "gk_bad": F.col("gk") != C.REQUIRED_GOALKEEPERS, "df_bad": F.col("df") < C.MIN_DEFENDERS,
         "md_bad": F.col("md") < C.MIN_MIDFIELDERS, "fw_bad": F.col("fw") < C.MIN_FORWARDS,
@@ -136,7 +145,8 @@ def lineup_chemistry(lineups: DataFrame, totals: DataFrame, chemistry: DataFrame
         F.col("a.nm").alias("nm1"), F.col("b.nm").alias("nm2"), F.col("a.grp").alias("grp1"))
     chem = chemistry.select(F.col("player_id_1").alias("p1"), F.col("player_id_2").alias("p2"), "chemistry")
     gavg = group_avg.select(F.col(group_col).alias("grp1"), F.col("avg_chemistry").alias("g1"))
-    j = pairs.join(chem, ["p1", "p2"], "left").join(gavg, "grp1", "left")
+    # one row per group
+    j = pairs.join(chem, ["p1", "p2"], "left").join(F.broadcast(gavg), "grp1", "left")
     nm1 = F.coalesce(F.col("nm1"), F.lit(0))
     nm2 = F.coalesce(F.col("nm2"), F.lit(0))
     direct = ((nm1 >= threshold) & (nm2 >= threshold)) | ((nm1 <= threshold) & (nm2 <= threshold))
@@ -151,13 +161,15 @@ def forecasts(requests: DataFrame, roles: DataFrame, slot_chemistry: DataFrame,
     """Win chances per forecast request: side strength = sum(chemistry * predicted
     rating) / 11; chance1 = (0.5 + s1 - (s1 + s2) / 2) * 100, chance2 = 100 - chance1
     (no clamp).  ``legacy=True`` keeps side 2's strength at 0, as the source does.
-    An invalid request gets ``result = 'Invalid'`` and no chances."""
+    An invalid request gets ``result = 'Invalid'``, a valid one with a player who has no
+    predicted rating or no chemistry 'Unrated'; neither has strengths or chances."""
     j = slot_chemistry.join(slot_ratings.select("request_id", "side", "slot", "predicted_rating"),
-                            ["request_id", "side", "slot"])
+                            ["request_id", "side", "slot"], "left")
     contrib = F.col("chemistry_coefficient") * F.col("predicted_rating")
     strength = j.groupBy("request_id").agg(
         (F.sum(F.when(F.col("side") == 1, contrib).otherwise(0.0)) / C.STRENGTH_DIVISOR).alias("s1"),
-        (F.sum(F.when(F.col("side") == 2, contrib).otherwise(0.0)) / C.STRENGTH_DIVISOR).alias("s2"))
+        (F.sum(F.when(F.col("side") == 2, contrib).otherwise(0.0)) / C.STRENGTH_DIVISOR).alias("s2"),
+        F.min(contrib.isNotNull().cast("int")).alias("rated"))
     s1 = F.col("s1")
     s2 = F.lit(0.0) if legacy else F.col("s2")
     chance1 = (F.lit(0.5) + s1 - (s1 + s2) / 2) * 100
@@ -165,9 +177,10 @@ def forecasts(requests: DataFrame, roles: DataFrame, slot_chemistry: DataFrame,
     fc = requests.filter(F.col("request_kind") == "forecast").select(
         "request_id", F.col("team1")["name"].alias("team1_name"), F.col("team2")["name"].alias("team2_name"))
     out = fc.join(valid, "request_id", "left").join(strength, "request_id", "left")
-    ok = F.col("ok") == 1
+    valid_ = F.coalesce(F.col("ok") == 1, F.lit(False))
+    ok = valid_ & F.coalesce(F.col("rated") == 1, F.lit(False))
     return out.select(
         "request_id", "team1_name", "team2_name",
-        F.when(ok, F.lit("ok")).otherwise(F.lit(C.INVALID)).alias("result"),
+        F.when(ok, F.lit("ok")).when(valid_, F.lit(C.UNRATED)).otherwise(F.lit(C.INVALID)).alias("result"),
         F.when(ok, s1).alias("strength1"), F.when(ok, s2).alias("strength2"),
         F.when(ok, chance1).alias("chance1"), F.when(ok, F.lit(100.0) - chance1).alias("chance2"))

@@ -19,6 +19,16 @@ _SQUAD_ENTRY = "struct<playerId:bigint,goals:string,ownGoals:string,yellowCards:
 _SUB_ENTRY = "struct<playerIn:bigint,playerOut:bigint,minute:int>"
 
 
+def latest_matches(matches: DataFrame) -> DataFrame:
+    """One record per match: the one with the largest ``arrival`` (a missing one counts
+    as 0; of equal ones, the one with the larger hash of its label and winner)."""
+    rest = [c for c in matches.columns if c not in ("match_id", "arrival")]
+    arrival = F.coalesce(F.col("arrival"), F.lit(0)) if "arrival" in matches.columns else F.lit(0)
+    tie = F.xxhash64(*[c for c in rest if c in ("label", "winner", "match_date", "duration", "venue", "gameweek")])
+    return (matches.groupBy("match_id").agg(F.max_by(F.struct(*rest), F.struct(arrival.cast("bigint"), tie)).alias("r"))
+            .select("match_id", *[F.col(f"r.{c}").alias(c) for c in rest]))
+
+
 def match_sides(matches: DataFrame) -> DataFrame:
     """One row per (match, side) in document order: ``team_pos`` 0 and 1."""
     return (matches
@@ -49,11 +59,13 @@ def squad_entries(matches: DataFrame) -> DataFrame:
 
 
 def participants(matches: DataFrame) -> DataFrame:
-    """One row per (match, player) named in a squad or a substitution.
+    """One row per (match, player) named in a squad or a substitution of the latest
+    record of the match.
 
     Columns: match_id, match_date, team_pos, team_id, player_id, squad
     ('lineup' | 'bench' | 'sub_only'), squad_index, minutes_played, goals,
     own_goals, yellow_cards, red_cards (record fields from the first squad entry)."""
+    matches = latest_matches(matches)
     squad = squad_entries(matches).select(
         "match_id", "match_date", "player_id", "team_pos", "team_id", "squad_index", "in_lineup",
         "goals", "own_goals", "yellow_cards", "red_cards",

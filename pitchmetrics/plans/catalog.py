@@ -276,6 +276,26 @@ def cluster_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(_int("prediction"), R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
 
 
+@query
+def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.clustering import FEATURES, cluster_features as op
+    f = op(_season(spark, sf_dir).player_totals)
+    return f.select("player_id", R("pass_accuracy").alias("pass_accuracy"), *[c for c in FEATURES if c != "pass_accuracy"])
+
+
+@query
+def cluster_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.clustering import cluster_invariants as op
+    return op(_season(spark, sf_dir, "match_facts", "player_totals").player_totals)
+
+
+@query
+def cluster_chemistry_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over all clusters, the pairs and their chemistry."""
+    g = _season(spark, sf_dir, "match_facts", "ratings", "player_totals", "chemistry").group_chemistry("prediction")
+    return g.agg(F.sum("n_pairs").alias("n_pairs"), R(F.sum(F.col("avg_chemistry") * F.col("n_pairs")), 4).alias("sum_chemistry"))
+
+
 # --- requests -------------------------------------------------------------------------
 
 @query

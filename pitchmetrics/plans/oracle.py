@@ -1,6 +1,6 @@
 """DuckDB SQL twins of the catalogued queries.
 
-Written independently of the Spark code: the adapter rules of FIXTURES.md §2 as
+Written from the rules, not from the Spark code: the adapter rules of FIXTURES.md §2 as
 CTEs over the driver's raw tables (tag membership as boolean flags, minutes and
 record fields from their closed formulas, ratings from their closed form
 r_n = 0.5 * 2^-n + sum_i perf_i * 2^(i-1-n)), then one SELECT per query.
@@ -25,7 +25,7 @@ ev_raw AS (
   FROM events
 ),
 ev AS (
-  SELECT CAST(dn * 1000000 + g AS VARCHAR) AS match_id, seq, dn, g, k,
+  SELECT CAST(g * 100000 + dn AS VARCHAR) AS match_id, seq, dn, g, k,
          CASE WHEN k = 97 THEN '0' ELSE CAST(user_id + 1 AS VARCHAR) END AS player_id,
          et AS event_id,
          CASE WHEN et = 3 AND k % 5 = 0 THEN 35 ELSE et * 10 + 1 END AS sub_event_id,
@@ -50,18 +50,18 @@ pl AS (
          CASE WHEN c_custkey % 15 IN (0, 1) THEN 'GK' WHEN c_custkey % 15 IN (2, 3, 4, 5, 11) THEN 'DF'
               WHEN c_custkey % 15 IN (6, 7, 8, 12, 13) THEN 'MD' ELSE 'FW' END AS role,
          CASE c_custkey % 3 WHEN 0 THEN 'right' WHEN 1 THEN 'left' ELSE 'both' END AS foot,
-         CAST(DATE '1985-01-01' + CAST((c_custkey * 37) % 5000 AS INTEGER) AS DATE) AS birth_date,
+         CASE WHEN c_custkey % 97 = 5 THEN NULL
+              ELSE CAST(DATE '1985-01-01' + CAST((c_custkey * 37) % 5000 AS INTEGER) AS DATE) END AS birth_date,
          n_name AS birth_area, n_name AS passport_area,
          CAST(c_custkey % 30 + 165 AS INTEGER) AS height, CAST(c_custkey % 25 + 60 AS INTEGER) AS weight
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey <= (SELECT max(user_id) FROM events)
 ),
 tm AS (
   SELECT DISTINCT CAST(g * 2 + pos % 2 + 1 AS VARCHAR) AS team_id FROM pl
 ),
 mt0 AS (SELECT DISTINCT dn, g FROM ev_raw),
 pa AS (
-  SELECT CAST(mt0.dn * 1000000 + mt0.g AS VARCHAR) AS match_id, mt0.dn, mt0.g,
+  SELECT CAST(mt0.g * 100000 + mt0.dn AS VARCHAR) AS match_id, mt0.dn, mt0.g,
          CAST(DATE '2024-01-01' + CAST(mt0.dn AS INTEGER) AS DATE) AS match_date,
          pl.uid, pl.player_id, pl.pos, pl.name, pl.role, pl.birth_date,
          CAST(pl.pos % 2 AS INTEGER) AS team_pos,
@@ -343,21 +343,23 @@ ORACLE["match_details"] = _with(f"SELECT {_MD_COLS} FROM md")
 
 ORACLE["match_lookup"] = _with(f"""
 , rq AS (
-  SELECT CAST(3000000000 + 2 * CAST(match_id AS BIGINT) AS BIGINT) AS request_id, label AS q FROM mtx
+  SELECT CAST(match_id AS BIGINT) * 10 + 6 AS request_id, label AS q FROM mtx
   UNION ALL
-  SELECT CAST(3000000000 + 2 * CAST(match_id AS BIGINT) + 1 AS BIGINT), label || ' (replay)' FROM mtx
+  SELECT CAST(match_id AS BIGINT) * 10 + 7, label || ' (replay)' FROM mtx
 )
 SELECT rq.request_id, {_MD_COLS}, CASE WHEN md.match_id IS NULL THEN 'Invalid' END AS error
 FROM rq LEFT JOIN md ON rq.q = md.label""")
 
 ORACLE["player_profile"] = _with(f"""
-, rq AS (SELECT CAST(2000000000 + c_custkey AS BIGINT) AS request_id, c_name AS q FROM customer)
+, rq AS (SELECT CAST(c_custkey * 10 + 4 AS BIGINT) AS request_id, c_name AS q FROM customer
+        UNION ALL SELECT DISTINCT CAST(g * 10 + 5 AS BIGINT), 'Nobody ' || CAST(g AS VARCHAR) FROM pl)
 SELECT rq.request_id, {_PT_COLS.replace('player_id,', 'pt.player_id,', 1)}, {R('pass_accuracy')} AS pass_accuracy,
        CASE WHEN pt.player_id IS NULL THEN 'Invalid' END AS error
 FROM rq LEFT JOIN pt ON rq.q = pt.name""")
 
 
-# --- models: grouped closed-form least squares, same equations as the Spark side -------
+# --- models: least squares over the points that have an age (a player without a birth date
+# gives no points), requests with both sides whether or not they name players --------------
 
 def _det3(a, b, c, d, e, f, g, h, i) -> str:
     return f"(({a}) * (({e}) * ({i}) - ({f}) * ({h})) - ({b}) * (({d}) * ({i}) - ({f}) * ({g})) + ({c}) * (({d}) * ({h}) - ({e}) * ({g})))"
@@ -372,14 +374,14 @@ def _fit(name: str, source: str, key: str) -> str:
     return f"""
 {name}_1 AS (
   SELECT {key} AS gk, count(*) AS cnt, avg(CAST(age AS DOUBLE)) AS mean_age, min(age) AS lo, max(age) AS hi
-  FROM {source} GROUP BY {key}
+  FROM {source} WHERE age IS NOT NULL AND rating IS NOT NULL GROUP BY {key}
 ),
 {name}_2 AS (
   SELECT f.gk, any_value(f.cnt) AS cnt, any_value(f.mean_age) AS mean_age, any_value(f.lo) AS lo, any_value(f.hi) AS hi,
          sum(s.u) AS s1, sum(s.u * s.u) AS s2, sum(s.u * s.u * s.u) AS s3, sum(s.u * s.u * s.u * s.u) AS s4,
          sum(s.y) AS t0, sum(s.u * s.y) AS t1, sum(s.u * s.u * s.y) AS t2,
          count(*) FILTER (WHERE s.age > f.lo AND s.age < f.hi) AS interior
-  FROM (SELECT {key} AS gk, age, CAST(rating AS DOUBLE) AS y FROM {source}) s0
+  FROM (SELECT {key} AS gk, age, CAST(rating AS DOUBLE) AS y FROM {source} WHERE age IS NOT NULL AND rating IS NOT NULL) s0
   JOIN {name}_1 f ON s0.gk = f.gk
   CROSS JOIN LATERAL (SELECT s0.age AS age, CAST(s0.age AS DOUBLE) - f.mean_age AS u, s0.y AS y) s
   GROUP BY f.gk
@@ -428,16 +430,23 @@ ga AS (
   FROM ch JOIN pl ON ch.player_id_1 = pl.player_id GROUP BY pl.role
 ),
 lu AS (
-  SELECT CAST(g AS BIGINT) AS request_id, CASE WHEN pos % 2 = 0 THEN 1 ELSE 2 END AS side,
-         'p' || lpad(CAST(pos AS VARCHAR), 2, '0') AS slot, player_id, role FROM pl
+  SELECT CAST(g * 10 + kind AS BIGINT) AS request_id, CASE WHEN pos % 2 = 0 THEN 1 ELSE 2 END AS side,
+         'p' || lpad(CAST(pos AS VARCHAR), 2, '0') AS slot, player_id, role
+  FROM pl CROSS JOIN (VALUES (0), (1), (2), (3)) AS kinds(kind)
+  WHERE kind IN (0, 3) OR (kind = 1 AND pos < 9) OR (kind = 2 AND pos % 2 = 0)
   UNION ALL
-  SELECT CAST(1000000 + g AS BIGINT), CASE WHEN pos % 2 = 0 THEN 1 ELSE 2 END,
-         'p' || lpad(CAST(pos AS VARCHAR), 2, '0'), player_id, role FROM pl WHERE pos < 9
+  SELECT DISTINCT CAST(g * 10 + 3 AS BIGINT), 1, 'p99', NULL, NULL FROM pl
+),
+rqs AS (
+  SELECT DISTINCT g, CAST(g * 10 + kind AS BIGINT) AS request_id, side
+  FROM pl CROSS JOIN (VALUES (0), (1), (2), (3)) AS kinds(kind) CROSS JOIN (VALUES (1), (2)) AS sides(side)
 ),
 lr AS (
-  SELECT request_id, side, count(*) FILTER (WHERE role = 'GK') AS gk, count(*) FILTER (WHERE role = 'DF') AS df,
-         count(*) FILTER (WHERE role = 'MD') AS md, count(*) FILTER (WHERE role = 'FW') AS fw, 0 AS unknown
-  FROM lu GROUP BY request_id, side
+  SELECT rqs.request_id, rqs.side, count(*) FILTER (WHERE role = 'GK') AS gk, count(*) FILTER (WHERE role = 'DF') AS df,
+         count(*) FILTER (WHERE role = 'MD') AS md, count(*) FILTER (WHERE role = 'FW') AS fw,
+         count(*) FILTER (WHERE slot IS NOT NULL AND player_id IS NULL) AS unknown
+  FROM rqs LEFT JOIN lu ON rqs.request_id = lu.request_id AND rqs.side = lu.side
+  GROUP BY rqs.request_id, rqs.side
 ),
 lr2 AS (
   SELECT *, (gk = 1 AND df >= 2 AND md >= 2 AND fw >= 1 AND unknown = 0) AS side_valid FROM lr
@@ -447,6 +456,7 @@ lr3 AS (
 ),
 lcp AS (
   SELECT lu.*, coalesce(pt.number_of_matches, 0) AS nm FROM lu LEFT JOIN pt ON lu.player_id = pt.player_id
+  WHERE lu.player_id IS NOT NULL
 ),
 lcv AS (
   SELECT a.request_id, a.side, a.slot,
@@ -462,16 +472,15 @@ lc AS (
   GROUP BY lcp.request_id, lcp.side, lcp.slot, lcp.player_id
 ),
 fs AS (
-  SELECT lc.request_id,
+  SELECT lc.request_id, count(*) = count(lc.chemistry_coefficient * pred2.predicted_rating) AS rated,
          sum(CASE WHEN lc.side = 1 THEN lc.chemistry_coefficient * pred2.predicted_rating ELSE 0.0 END) / 11.0 AS s1,
          sum(CASE WHEN lc.side = 2 THEN lc.chemistry_coefficient * pred2.predicted_rating ELSE 0.0 END) / 11.0 AS s2
-  FROM lc JOIN pred2 ON lc.player_id = pred2.player_id GROUP BY lc.request_id
+  FROM lc LEFT JOIN pred2 ON lc.player_id = pred2.player_id GROUP BY lc.request_id
 ),
 fc AS (
   SELECT rq.request_id, 'Team ' || CAST(2 * rq.g + 1 AS VARCHAR) AS team1_name,
-         'Team ' || CAST(2 * rq.g + 2 AS VARCHAR) AS team2_name, v.ok = 1 AS ok, fs.s1, fs.s2
-  FROM (SELECT DISTINCT g, CAST(g AS BIGINT) AS request_id FROM pl
-        UNION ALL SELECT DISTINCT g, CAST(1000000 + g AS BIGINT) FROM pl) rq
+         'Team ' || CAST(2 * rq.g + 2 AS VARCHAR) AS team2_name, v.ok = 1 AS valid, v.ok = 1 AND fs.rated AS ok, fs.s1, fs.s2
+  FROM (SELECT DISTINCT g, request_id FROM rqs) rq
   LEFT JOIN (SELECT request_id, min(CAST(request_valid AS INTEGER)) AS ok FROM lr3 GROUP BY request_id) v
          ON rq.request_id = v.request_id
   LEFT JOIN fs ON rq.request_id = fs.request_id
@@ -510,8 +519,21 @@ SELECT request_id, CAST(side AS INTEGER) AS side, slot, player_id,
        {R('chemistry_coefficient')} AS chemistry_coefficient FROM lc""")
 
 ORACLE["match_forecast"] = _with_models(f"""
-SELECT request_id, team1_name, team2_name, CASE WHEN ok THEN 'ok' ELSE 'Invalid' END AS result,
+SELECT request_id, team1_name, team2_name, CASE WHEN ok THEN 'ok' WHEN valid THEN 'Unrated' ELSE 'Invalid' END AS result,
        CASE WHEN ok THEN {R('s1')} END AS strength1, CASE WHEN ok THEN {R('s2')} END AS strength2,
        CASE WHEN ok THEN {R('(0.5 + s1 - (s1 + s2) / 2) * 100')} END AS chance1,
        CASE WHEN ok THEN {R('100.0 - (0.5 + s1 - (s1 + s2) / 2) * 100')} END AS chance2
 FROM fc""")
+
+# --- clusters: k-means ids have no SQL twin, what must hold of them has -------------------
+
+ORACLE["cluster_features"] = _with(f"""
+SELECT player_id, {R('pass_accuracy')} AS pass_accuracy, CAST(number_of_goals AS DOUBLE) AS number_of_goals,
+       CAST(number_of_own_goals AS DOUBLE) AS number_of_own_goals, CAST(number_of_fouls AS DOUBLE) AS number_of_fouls,
+       CAST(number_of_shots_on_target AS DOUBLE) AS number_of_shots_on_target FROM pt""")
+
+ORACLE["cluster_invariants"] = _with("""
+SELECT count(*) AS players, count(*) AS assigned, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS not_nearest FROM pt""")
+
+ORACLE["cluster_chemistry_totals"] = _with(f"""
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, {R('sum(chemistry)', 4)} AS sum_chemistry FROM ch""")

@@ -99,7 +99,8 @@ class Season:
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return _ratings.rating_history(self.match_facts)
+        # squad and side come along, so that chemistry needs no join back to the facts
+        return _ratings.rating_history(self.match_facts, carry=("team_pos", "squad"))
 
     @cached_property
     def stream_pass_accuracy(self) -> DataFrame:
@@ -115,9 +116,7 @@ class Season:
 
     @cached_property
     def chemistry(self) -> DataFrame:
-        # facts carry every participant column (squad, side); when facts are cut this
-        # reads the stored table instead of re-exploding the nested match records
-        return _chem.player_chemistry(self.match_facts, self.ratings)
+        return _chem.player_chemistry(self.ratings)
 
     @cached_property
     def match_details(self) -> DataFrame:
@@ -133,7 +132,12 @@ class Season:
 
     @cached_property
     def match_lookups(self) -> DataFrame:
-        return _requests.match_lookups(self.requests, self.match_details)
+        if "match_details" in self.__dict__:  # stored
+            return _requests.match_lookups(self.requests, self.match_details)
+        # details of the requested matches only
+        asked = self.requests.filter(F.col("request_kind") == "match").select("label").distinct()
+        wanted = _squads.latest_matches(self.matches).join(asked, "label", "left_semi")
+        return _requests.match_lookups(self.requests, _matches.match_details(wanted, self.players, self.teams))
 
     # --- models -------------------------------------------------------------------
     @cached_property
@@ -173,7 +177,7 @@ class Season:
         return _requests.lineup_players(self.requests, self.players)
 
     def lineup_roles(self, legacy: bool = False) -> DataFrame:
-        return _requests.lineup_roles(self.lineups, legacy=legacy)
+        return _requests.lineup_roles(self.requests, self.lineups, legacy=legacy)
 
     def lineup_chemistry(self, group_col: str = "prediction") -> DataFrame:
         return _requests.lineup_chemistry(self.lineups, self.match_counts, self.chemistry, self.groups(group_col),

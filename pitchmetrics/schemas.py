@@ -45,6 +45,7 @@ STREAM_RECORD = StructType([
     StructField("venue", StringType()),
     StructField("gameweek", IntegerType()),
     StructField("teamsData", TEAMS_DATA),
+    StructField("arrival", LongType()),   # order of the records of one match; added by us
     # event record
     StructField("eventId", IntegerType()),
     StructField("subEventId", IntegerType()),
@@ -75,6 +76,8 @@ MATCHES = StructType([
     StructField("gameweek", IntegerType()),
     StructField("teams_data", TEAMS_DATA),
 ])
+# Match records as they arrive: of those of one match the largest ``arrival`` counts.
+MATCH_RECORDS = StructType(MATCHES.fields + [StructField("arrival", LongType())])
 
 # Dimension files: CSV with a header, every column read as text, then typed.
 PLAYERS_CSV = StructType([StructField(n, StringType()) for n in (

@@ -26,10 +26,13 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).  Only when
-    it is unset (local tests) is a scratch folder created and registered."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).  Only a local
+    master may go without: there a scratch folder is made and registered."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pitchmetrics-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -55,6 +55,7 @@ def matches_from_records(parsed: DataFrame) -> DataFrame:
         F.col("r.venue").alias("venue"),
         F.col("r.gameweek").alias("gameweek"),
         F.col("r.teamsData").alias("teams_data"),
+        F.coalesce("r.arrival", F.lit(0)).alias("arrival"),
     )
 
 

@@ -5,10 +5,11 @@ with DataFrame operations only, a football season from them (FIXTURES.md §2):
 
 * ``events``   one event per driver event: match = (day, group of 15 users),
                type and tags from ``props.k``;
-* ``matches``  one nested match record per (day, group), squads from the group's
-               15 players, one substitution per team;
-* ``players``  one player per customer that appears in ``events``;
-* ``teams``    two teams per group;
+* ``matches``  one nested match record per (day, group) with events, squads from the
+               group's 15 players, one substitution per team; every fifth match has an
+               earlier record too, which the later one replaces;
+* ``players``  one player per customer, most of whom never play; some have no birth date;
+* ``teams``    two teams per group of customers;
 * ``requests`` forecast, profile and match-lookup requests derived from the above.
 
 The same rules are written a second time, independently, as DuckDB SQL in
@@ -27,9 +28,13 @@ from ..functions import codes as C
 EPOCH = "2024-01-01"            # day 0 of the season
 GROUP_SIZE = 15                 # users per group: one group = two teams
 FORECAST_DATE = "2024-02-15"    # date of every generated forecast request
-PROFILE_REQUEST_BASE = 2_000_000_000
-MATCH_REQUEST_BASE = 3_000_000_000
-INVALID_REQUEST_BASE = 1_000_000
+SEASON_DAYS = 100_000           # more days than any season has: match id = group * this + day
+NO_BIRTH_DATE = (97, 5)         # customers with this remainder have no birth date
+REPEATED = (5, 0)               # matches with this remainder of group + day have an earlier record
+# request id = key * REQUEST_KINDS + kind: ids of different kinds cannot meet
+REQUEST_KINDS = 10
+(FORECAST, FORECAST_NO_FORWARDS, FORECAST_EMPTY_SIDE, FORECAST_UNKNOWN, PROFILE, PROFILE_UNKNOWN, LOOKUP,
+ LOOKUP_UNKNOWN) = range(8)
 
 
 def _plan_cache(fn):
@@ -65,7 +70,11 @@ def _group(c: str) -> Column:
 
 
 def _match_id(day: Column, group: Column) -> Column:
-    return (day.cast("bigint") * 1_000_000 + group).cast("string")
+    return (group.cast("bigint") * SEASON_DAYS + day).cast("string")
+
+
+def _request_id(key: Column, kind: int) -> Column:
+    return (key.cast("bigint") * REQUEST_KINDS + kind).cast("bigint").alias("request_id")
 
 
 @_plan_cache
@@ -112,14 +121,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_plan_cache
 def _roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers that appear as event users, with their group and squad position."""
+    """All customers, with their group and squad position."""
     cust = _table(spark, sf_dir, "customer")
-    max_user = _table(spark, sf_dir, "events").select(F.max("user_id"))
-    return (
-        cust.filter(F.col("c_custkey") <= max_user.scalar())
-        .withColumn("g", _group("c_custkey"))
-        .withColumn("pos", (F.col("c_custkey") % GROUP_SIZE).cast("int"))
-    )
+    return (cust.withColumn("g", _group("c_custkey"))
+            .withColumn("pos", (F.col("c_custkey") % GROUP_SIZE).cast("int")))
 
 
 @_plan_cache
@@ -138,8 +143,9 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
             role.alias("role"),
             F.element_at(F.array(F.lit("right"), F.lit("left"), F.lit("both")),
                          (F.col("c_custkey") % 3 + 1).cast("int")).alias("foot"),
-            F.date_add(F.lit("1985-01-01").cast("date"),
-                       ((F.col("c_custkey") * 37) % 5000).cast("int")).alias("birth_date"),
+            F.when(F.col("c_custkey") % NO_BIRTH_DATE[0] != NO_BIRTH_DATE[1],
+                   F.date_add(F.lit("1985-01-01").cast("date"),
+                              ((F.col("c_custkey") * 37) % 5000).cast("int"))).alias("birth_date"),
             F.col("n_name").alias("birth_area"),
             F.col("n_name").alias("passport_area"),
             (F.col("c_custkey") % 30 + 165).cast("int").alias("height"),
@@ -214,7 +220,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     score0 = F.coalesce(F.col("g0"), F.lit(0)) + F.coalesce(F.col("o1"), F.lit(0))
     score1 = F.coalesce(F.col("g1"), F.lit(0)) + F.coalesce(F.col("o0"), F.lit(0))
     g = F.col("g")
-    return per_match.select(
+    last = per_match.select(
         _match_id(F.col("dn"), g).alias("match_id"),
         F.concat(F.lit("T"), (g * 2 + 1).cast("string"), F.lit(" - T"), (g * 2 + 2).cast("string"),
                  F.lit(" #"), F.col("dn").cast("string")).alias("label"),
@@ -229,29 +235,42 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
             "sides", lambda s: F.struct(s["team_id"].alias("key"),
                                         F.struct(s["formation"].alias("formation")).alias("value"))
         )).alias("teams_data"),
+        F.lit(1).cast("bigint").alias("arrival"),
+        ((g + F.col("dn")) % REPEATED[0] == REPEATED[1]).alias("repeated"),
     )
+    # the record of the first half: other winner, no substitutions yet
+    early = last.filter("repeated").select(
+        "match_id", F.concat("label", F.lit(" (half time)")).alias("label"), "match_date", "duration",
+        F.lit(C.DRAW_TEAM_ID).alias("winner"), "venue", "gameweek",
+        F.transform_values("teams_data", lambda _, t: t.withField(
+            "formation.substitutions", F.array().cast("array<struct<playerIn:bigint,playerOut:bigint,minute:int>>"))).alias("teams_data"),
+        F.lit(0).cast("bigint").alias("arrival"))
+    return early.unionByName(last.drop("repeated"))
 
 
 @_plan_cache
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests table: per group a valid forecast (all 15 players, sides by
-    position parity) and one without forwards (invalid); a profile request per
-    customer name (only event users are players); a hit and a miss per match label."""
+    """Requests table: per group a forecast with all 15 players (sides by position
+    parity), one without forwards, one whose second side is empty and one with an unknown
+    name; a profile request per customer name and an unknown one per group; a hit and a
+    miss per match label."""
     roster = _roster(spark, sf_dir)
     g, pos = F.col("g"), F.col("pos")
     slot = F.struct(F.concat(F.lit("p"), F.lpad(pos.cast("string"), 2, "0")).alias("k"),
                     F.col("c_name").alias("v"))
 
-    def side_map(side: int, only: Column) -> Column:
+    def side_map(side: int, only: Column, extra: Column | None = None) -> Column:
         name = F.struct(F.lit("name").alias("k"),
                         F.concat(F.lit("Team "), (g * 2 + side + 1).cast("string")).alias("v"))
         members = F.sort_array(F.collect_list(F.when((pos % 2 == side) & only, slot)))
-        return F.map_from_entries(F.concat(F.array(name), members))
+        return F.map_from_entries(F.concat(F.array(name), members, *([F.array(extra)] if extra is not None else [])))
+
+    nobody = F.struct(F.lit("p99").alias("k"), F.concat(F.lit("Nobody "), g.cast("string")).alias("v"))
 
-    def forecast(id_base: int, only: Column) -> DataFrame:
-        return roster.groupBy("g").agg(side_map(0, only).alias("team1"),
-                                       side_map(1, only).alias("team2")).select(
-            (g + id_base).cast("bigint").alias("request_id"),
+    def forecast(kind: int, only1: Column, only2: Column, extra: Column | None = None) -> DataFrame:
+        return roster.groupBy("g").agg(side_map(0, only1, extra).alias("team1"),
+                                       side_map(1, only2).alias("team2")).select(
+            _request_id(g, kind),
             F.lit("forecast").alias("request_kind"),
             F.lit(None).cast("string").alias("name"),
             F.lit(None).cast("string").alias("label"),
@@ -259,31 +278,34 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             "team1", "team2")
 
     no_map = F.lit(None).cast("map<string,string>")
-    profiles = _table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") + PROFILE_REQUEST_BASE).cast("bigint").alias("request_id"),
-        F.lit("profile").alias("request_kind"),
-        F.col("c_name").alias("name"),
-        F.lit(None).cast("string").alias("label"),
-        F.lit(None).cast("date").alias("date"),
-        no_map.alias("team1"), no_map.alias("team2"))
-    m = matches(spark, sf_dir).select("match_id", "label")
+
+    def profile(rows: DataFrame, key: Column, kind: int, name: Column) -> DataFrame:
+        return rows.select(_request_id(key, kind), F.lit("profile").alias("request_kind"), name.alias("name"),
+                           F.lit(None).cast("string").alias("label"), F.lit(None).cast("date").alias("date"),
+                           no_map.alias("team1"), no_map.alias("team2"))
+
+    m = matches(spark, sf_dir).filter(F.col("arrival") == 1).select("match_id", "label")
     mid = F.col("match_id").cast("bigint")
     lookups = m.select(
         F.explode(F.array(
-            F.struct((mid * 2 + MATCH_REQUEST_BASE).alias("rid"), F.col("label").alias("lbl")),
-            F.struct((mid * 2 + 1 + MATCH_REQUEST_BASE).alias("rid"),
+            F.struct(_request_id(mid, LOOKUP).alias("rid"), F.col("label").alias("lbl")),
+            F.struct(_request_id(mid, LOOKUP_UNKNOWN).alias("rid"),
                      F.concat(F.col("label"), F.lit(" (replay)")).alias("lbl")),
         )).alias("r")
     ).select(
-        F.col("r.rid").cast("bigint").alias("request_id"),
+        F.col("r.rid").alias("request_id"),
         F.lit("match").alias("request_kind"),
         F.lit(None).cast("string").alias("name"),
         F.col("r.lbl").alias("label"),
         F.lit(None).cast("date").alias("date"),
         no_map.alias("team1"), no_map.alias("team2"))
-    return (forecast(0, F.lit(True))
-            .unionByName(forecast(INVALID_REQUEST_BASE, pos < 9))
-            .unionByName(profiles)
+    everyone, none = F.lit(True), F.lit(False)
+    return (forecast(FORECAST, everyone, everyone)
+            .unionByName(forecast(FORECAST_NO_FORWARDS, pos < 9, pos < 9))
+            .unionByName(forecast(FORECAST_EMPTY_SIDE, everyone, none))
+            .unionByName(forecast(FORECAST_UNKNOWN, everyone, everyone, nobody))
+            .unionByName(profile(_table(spark, sf_dir, "customer"), F.col("c_custkey"), PROFILE, F.col("c_name")))
+            .unionByName(profile(roster.select("g").distinct(), g, PROFILE_UNKNOWN, F.concat(F.lit("Nobody "), g.cast("string"))))
             .unionByName(lookups))
 
 
@@ -292,7 +314,7 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     then the match records of that day (for replaying through the stream source)."""
     ev = events(spark, sf_dir)
     e = ev.select(
-        F.floor(F.col("match_id").cast("bigint") / 1_000_000).cast("int").alias("day"),
+        (F.col("match_id").cast("bigint") % SEASON_DAYS).cast("int").alias("day"),
         F.lit(0).alias("part"),
         F.to_json(F.struct(
             F.col("event_id").alias("eventId"), F.col("sub_event_id").alias("subEventId"),
@@ -306,6 +328,6 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("Played").alias("status"), F.col("match_id").cast("bigint").alias("wyId"), "label",
             F.concat(F.date_format("match_date", "yyyy-MM-dd"), F.lit(" 15:00:00")).alias("dateutc"),
             "duration", F.col("winner").cast("bigint").alias("winner"), "venue", "gameweek",
-            F.col("teams_data").alias("teamsData"))).alias("value"),
-        F.col("match_id").cast("bigint").alias("ord"))
+            F.col("teams_data").alias("teamsData"), "arrival")).alias("value"),
+        (F.col("match_id").cast("bigint") * 2 + F.col("arrival")).alias("ord"))
     return e.unionByName(m)

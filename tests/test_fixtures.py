@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitchmetrics import schemas
-from pitchmetrics.operators import chemistry, facts, metrics, ratings, regression, requests, squads
+from pitchmetrics.operators import chemistry, facts, matches, metrics, ratings, regression, requests, squads
 from pitchmetrics.sources import records
 
 D = dt.date(2024, 1, 1)
@@ -139,8 +139,7 @@ def test_f18_rating_recurrence(spark):
 
 
 def test_rating_scan_spanning_partitions_matches_sequential_fold(spark):
-    # a hot player (most rows) and small ones; many range partitions force segments
-    # of one player into several tasks
+    # a hot player (most rows), whose blocks are spread over the tasks, and small ones
     rows = []
     for i in range(1500):
         rows.append(("hot", D + dt.timedelta(days=i), f"h{i:05d}", ((i * 37) % 100) / 50.0 - 0.5))
@@ -149,7 +148,7 @@ def test_rating_scan_spanning_partitions_matches_sequential_fold(spark):
             rows.append((f"p{p:02d}", D + dt.timedelta(days=i), f"x{i}", ((p * 7 + i) % 13) / 10.0))
     f = spark.createDataFrame(rows, "player_id string, match_date date, match_id string, player_performance double")
     got = {(r.player_id, r.match_id): (r.old_rating, r.rating)
-           for r in ratings.rating_history(f, num_partitions=23).collect()}
+           for r in ratings.rating_history(f).collect()}
     expected = {}
     by_player = {}
     for r in rows:
@@ -174,13 +173,13 @@ def test_f19_chemistry_signs(spark):
     rt = spark.createDataFrame([("1", D, "m1", 0.5, 0.6, 0.1), ("2", D, "m1", 0.5, 0.8, 0.3),
                                 ("3", D, "m1", 0.5, 0.8, 0.3)],
                                "player_id string, match_date date, match_id string, old_rating double, "
-                               "rating double, change_in_rating double")
-    c = {(r.player_id_1, r.player_id_2): r.chemistry for r in chemistry.player_chemistry(part, rt).collect()}
+                               "rating double, change_in_rating double").join(part.select("player_id", "team_pos", "squad"), "player_id")
+    c = {(r.player_id_1, r.player_id_2): r.chemistry for r in chemistry.player_chemistry(rt).collect()}
     assert c[("1", "2")] == pytest.approx(0.7)      # team-mates, same sign: +0.2
     assert c[("2", "1")] == pytest.approx(0.7)      # symmetric
     assert c[("1", "3")] == pytest.approx(0.3)      # opponents, same sign: -0.2
     rt2 = rt.withColumn("change_in_rating", F.when(F.col("player_id") == "1", -0.1).otherwise(F.col("change_in_rating")))
-    c2 = {(r.player_id_1, r.player_id_2): r.chemistry for r in chemistry.player_chemistry(part, rt2).collect()}
+    c2 = {(r.player_id_1, r.player_id_2): r.chemistry for r in chemistry.player_chemistry(rt2).collect()}
     assert c2[("1", "2")] == pytest.approx(0.4)     # team-mates, opposite signs: -0.1
 
 
@@ -235,3 +234,74 @@ def test_f26_unknown_profile_and_lineup_validity(spark):
                                                    "number_of_shots_on_target")],
                      F.lit(0.0).alias("pass_accuracy"))
     assert one(requests.player_profiles(req, tot)).error == "Invalid"
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ratings_do_not_depend_on_exchange_reuse_or_block_length(spark, reuse):
+    rows = [(f"p{i % 7}" if i % 3 else "hot", D + dt.timedelta(days=(i * 11) % 400), f"m{i:04d}", ((i * 37) % 100) / 50.0 - 0.5)
+            for i in range(1200)]
+    f = spark.createDataFrame(rows, "player_id string, match_date date, match_id string, player_performance double")
+    want, last = {}, {}
+    for player, day, match, perf in sorted(rows):
+        want[(player, match)] = last[player] = (last.get(player, 0.5) + perf) / 2
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        for days in (1, 16, 1000):
+            got = {(r.player_id, r.match_id): r.rating for r in ratings.rating_history(f.repartition(5), block_days=days).collect()}
+            assert got == pytest.approx(want, abs=1e-12)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_points_without_an_age_do_not_bend_a_fit(spark):
+    points = [("g", x, 0.5 + 0.1 * x) for x in (1, 2, 3, 4)]
+    fits = [one(regression.fit_quadratic(spark.createDataFrame(rows, "k string, age int, rating double"), ["k"], few_keys=few))
+            for rows in (points, [*points, ("g", None, 9.0), ("g", 3, None)]) for few in (False, True)]
+    for fit in fits:
+        assert (fit.n_points, fit.degree) == (4, 2)
+        assert (fit.b0, fit.b1) == (pytest.approx(0.75), pytest.approx(0.1)) and abs(fit.b2) < 1e-12
+
+
+def _lineup_case(spark, team2, ratings_):
+    """A request of two sides of seven players, all pairs without history."""
+    people = [(f"{s}{i}", f"n{s}{i}", role) for s in (1, 2) for i, role in enumerate(["GK", "DF", "DF", "MD", "MD", "FW", "FW"])]
+    players = spark.createDataFrame([(*p, *[None] * 6) for p in people], schemas.PLAYERS)
+    team1 = {"name": "A"} | {f"p{i}": f"n1{i}" for i in range(7)}
+    req = spark.createDataFrame([(1, "forecast", None, None, D, team1, team2)], schemas.REQUESTS)
+    lineups = requests.lineup_players(req, players)
+    rated = lineups.join(spark.createDataFrame(ratings_, "player_id string, predicted_rating double"), "player_id")
+    chem = lineups.filter("player_id is not null").select("request_id", "side", "slot", "player_id", F.lit(0.5).alias("chemistry_coefficient"))
+    return req, lineups, chem, rated
+
+
+@pytest.mark.parametrize("legacy", [False, True])
+def test_empty_side_and_unrated_player(spark, legacy):
+    full = {"name": "B"} | {f"p{i}": f"n2{i}" for i in range(7)}
+    everyone = [(f"{s}{i}", 1.1) for s in (1, 2) for i in range(7)]
+    cases = [(full, everyone, "ok"), ({"name": "B"}, everyone, "Invalid" if not legacy else "ok"), (full, everyone[1:], "Unrated"),
+             (full | {"p9": "Nobody"}, everyone, "Invalid")]
+    for team2, rated, want in cases:
+        req, lineups, chem, slots = _lineup_case(spark, team2, rated)
+        roles = requests.lineup_roles(req, lineups, legacy=legacy)
+        sides = {r.side: (r.gk, r.df, r.md, r.fw, r.unknown) for r in roles.collect()}
+        assert sides[1] == (1, 2, 2, 2, 0) and set(sides) == {1, 2}
+        if len(team2) == 1:
+            assert sides[2] == (0, 0, 0, 0, 0)
+        r = one(requests.forecasts(req, roles, chem, slots, legacy=legacy))
+        assert r.result == want and (r.chance1 is not None) == (want == "ok")
+
+
+def test_last_record_of_a_match_counts(spark):
+    def squad(goals):
+        return {"1": (([(1, goals, "0", "0", "0")], [], []),)}
+    rows = [("9", "old", D, "Regular", "0", "V", 1, squad("1"), 0), ("9", "new", D, "Regular", "1", "V", 1, squad("2"), 1)]
+    players = spark.createDataFrame([("1", "Ann", "GK", *[None] * 6)], schemas.PLAYERS)
+    teams = spark.createDataFrame([("1", "Reds")], schemas.TEAMS)
+    for order in (rows, rows[::-1]):
+        m = spark.createDataFrame(order, schemas.MATCH_RECORDS)
+        d = one(matches.match_details(m, players, teams))
+        assert (d.label, d.winner, [(g.player_name, g.number_of_goals) for g in d.goals]) == ("new", "Reds", [("Ann", 2)])
+        p = squads.participants(m)
+        assert one(p).goals == 2
+        assert one(matches.match_summary(p, m, teams)).asDict()["winner"] == "Reds"

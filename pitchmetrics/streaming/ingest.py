@@ -10,14 +10,16 @@ the same) -> ``foreachBatch``.  Each micro-batch ``b``:
    spread over several batches add up exactly);
 3. closes matches: those whose match record arrived in this batch, plus stored
    matches that received late events in this batch.  Their facts (participants ⟕
-   metrics from the summed counts) go to ``<store>/match_facts/batch_id=b``.
+   metrics from the summed counts) go to ``<store>/match_facts/batch_id=b``.  The ids
+   touched by the batch are a small table that filters the stores before anything is
+   aggregated or exploded.
 
 Every write overwrites the folder of its own batch id, so replaying a batch after a
 failure (the checkpoint replays the same offsets) rewrites the same output: the
 sink is idempotent.  Readers take, per match, the facts of the latest batch that
 closed it.  Events are touched once, in their arrival batch; closing a match reads
 only its compact counts, from the ``match_bucket`` partitions of the closing
-matches (partition pruning by the closing matches' bucket ids, at most 32).
+matches (partition pruning by the touched matches' bucket ids, at most 32).
 """
 
 from __future__ import annotations
@@ -46,9 +48,12 @@ def match_bucket(col: str = "match_id"):
 
 
 def record_stream(spark: SparkSession, path: str | None = None, *, max_files_per_trigger: int | None = None,
-                  socket: tuple[str, int] | None = None) -> DataFrame:
+                  socket: tuple[str, int] | None = None, kafka: dict[str, str] | None = None) -> DataFrame:
     """Streaming DataFrame of record lines (column ``value``): a directory of text
-    files, or a socket when ``socket=(host, port)`` is given."""
+    files, a socket when ``socket=(host, port)`` is given, or Kafka topics when ``kafka``
+    gives the source's options (``kafka.bootstrap.servers``, ``subscribe``, ...)."""
+    if kafka is not None:
+        return spark.readStream.format("kafka").options(**kafka).load().select(F.col("value").cast("string").alias("value"))
     if socket is not None:
         host, port = socket
         return spark.readStream.format("socket").option("host", host).option("port", port).load()
@@ -62,25 +67,26 @@ def _batch_path(store: str, table: str, batch_id: int) -> str:
     return os.path.join(store, table, f"batch_id={batch_id}")
 
 
-def _read_store(spark: SparkSession, store: str, table: str, schema) -> DataFrame | None:
-    path = os.path.join(store, table)
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        return None
+def _read_store(spark: SparkSession, store: str, table: str, schema) -> DataFrame:
+    """A stored table; empty while its folder does not exist.  Other errors are errors."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(store, table))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(os.path.join(store, table))
 
 
 def latest(df: DataFrame, keys: list[str], within: list[str] | None = None) -> DataFrame:
     """Rows of the latest batch per key (a re-closed match replaces its older facts).
 
     With ``within`` (row keys inside the group, e.g. player_id for facts) the rows of
-    the latest batch of each group are kept; otherwise one row per key.  One
-    aggregate, no join back."""
+    the latest batch of each group are kept; otherwise one row per key: of the latest
+    batch, and in it the record with the largest ``arrival``.  One aggregate, no join
+    back."""
     if within:
         last = df.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
         return df.join(last, [*keys, "batch_id"])
     rest = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_r"))
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("batch_id", *["arrival"] * ("arrival" in rest))).alias("_r"))
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
@@ -103,23 +109,23 @@ def handle_batch(store: str):
             parsed.filter(F.col("kind").isin("corrupt", "other")).select("value", "kind") \
                 .write.mode("overwrite").parquet(_batch_path(store, "rejects", batch_id))
 
-            stored_matches = latest(
-                _read_store(spark, store, "matches", _with_batch(schemas.MATCHES)), ["match_id"])
-            touched = (matches.select("match_id")
-                       .unionByName(events.select("match_id"))
-                       .distinct())
-            closing = stored_matches.join(touched, "match_id", "left_semi").drop("batch_id")
-            keys = closing.select("match_id", match_bucket().alias("match_bucket")).persist()
-            # at most MATCH_BUCKETS small ints: prunes the counts store to the
-            # closing matches' bucket folders before the semi-join
-            buckets = [r.match_bucket for r in keys.select("match_bucket").distinct().collect()]
+            # the ids of one batch: sent to all tasks if they are few, else joined by shuffle
+            touched = (matches.select("match_id").unionByName(events.select("match_id")).distinct()
+                       .withColumn("match_bucket", match_bucket()).persist())
+            records = (_read_store(spark, store, "matches", _with_batch(schemas.MATCH_RECORDS))
+                       .join(touched.select("match_id"), "match_id", "left_semi"))
+            closing = latest(records, ["match_id"]).drop("batch_id").persist()
+            # at most MATCH_BUCKETS small ints: prunes the counts store to the touched
+            # matches' bucket folders before the semi-join
+            buckets = [r.match_bucket for r in touched.select("match_bucket").distinct().collect()]
             counts = (_read_store(spark, store, "metric_counts", _with_batch(COUNT_SCHEMA))
                       .filter(F.col("match_bucket").isin(buckets))
-                      .join(keys, ["match_bucket", "match_id"], "left_semi"))
+                      .join(closing.select("match_id"), "match_id", "left_semi"))
             metrics = _metrics.metrics_from_counts(_metrics.sum_counts(counts))
             facts = _facts.match_facts(_squads.participants(closing), metrics)
             facts.write.mode("overwrite").parquet(_batch_path(store, "match_facts", batch_id))
-            keys.unpersist()
+            closing.unpersist()
+            touched.unpersist()
         finally:
             parsed.unpersist()
 

@@ -13,23 +13,61 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import codes as C
 from ..operators.metrics import metric_counts, metrics_from_counts
+from ..sources.records import events_from_records, parse_records
 
 RATING_OUT = "player_id string, match_date date, match_id string, old_rating double, rating double, " \
              "change_in_rating double"
 RATING_STATE = "rating double"
+KEYS = ("match_id", "player_id")
 
 
-def live_metrics(events: DataFrame) -> DataFrame:
-    """Streaming (or batch) per-(match, player) metrics; use output mode 'update'."""
-    return metrics_from_counts(metric_counts(events))
+def live_metrics(events: DataFrame, event_time: str | None = None, lateness: str = "6 hours",
+                 match_length: str = "1 day") -> DataFrame:
+    """Streaming (or batch) per-(match, player) metrics; use output mode 'update'.
+
+    With ``event_time`` (a timestamp column of ``events``) a match's counts belong to the
+    ``match_length`` window it is played in and leave the state ``lateness`` after it; the
+    result then has the window's start as ``window_start``.  Without it the state of every
+    match stays, which suits a run over a bounded season only."""
+    if event_time is None:
+        return metrics_from_counts(metric_counts(events))
+    timed = events.withWatermark(event_time, lateness).withColumn("window", F.window(event_time, match_length))
+    counted = metric_counts(timed, keys=(*KEYS, "window"))
+    start = F.col("window.start").alias("window_start")
+    return metrics_from_counts(counted, keys=(*KEYS, "window")).select("*", start).drop("window")
+
+
+def start_live_views(lines: DataFrame, store: str, checkpoint_location: str, **trigger) -> tuple[StreamingQuery, StreamingQuery]:
+    """The views fed by the record stream of the ingest: running metrics from its event
+    records, appended per micro-batch under ``live_metrics``, and ratings from the facts
+    that the ingest closes in ``store``, under ``live_ratings``.  ``trigger``: arguments
+    of the writer's trigger, such as ``availableNow=True``."""
+    spark = lines.sparkSession
+
+    def keep(table: str):
+        def run(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(os.path.join(store, table, f"batch_id={batch_id}"))
+        return run
+
+    events = events_from_records(parse_records(lines))
+    facts_schema = spark.read.parquet(os.path.join(store, "match_facts")).drop("batch_id").schema
+    facts = spark.readStream.schema(facts_schema).parquet(os.path.join(store, "match_facts", "batch_id=*"))
+    started = []
+    for table, view, mode in (("live_metrics", live_metrics(events), "update"), ("live_ratings", live_ratings(facts), "append")):
+        writer = view.writeStream.outputMode(mode).foreachBatch(keep(table))
+        started.append(writer.option("checkpointLocation", os.path.join(checkpoint_location, table)).trigger(**trigger).start())
+    return started[0], started[1]
 
 
 def _fold_state(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

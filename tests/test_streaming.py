@@ -85,14 +85,67 @@ def test_live_metrics_streaming_aggregate_equals_batch(spark, scratch):
     src = os.path.join(scratch, "events")
     events.repartition(4).write.parquet(src)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    q = (live.live_metrics(stream).writeStream.outputMode("update").format("memory")
-         .queryName("live_metrics_test").trigger(availableNow=True).start())
+    out = os.path.join(scratch, "out")
+    q = (live.live_metrics(stream).writeStream.outputMode("update")
+         .foreachBatch(lambda b, i: b.write.parquet(f"{out}/batch_id={i}"))
+         .option("checkpointLocation", os.path.join(scratch, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(600)
-    last = spark.table("live_metrics_test")
-    # the memory sink keeps every update: the last update of each key is its final value
-    n = spark.table("live_metrics_test").select("match_id", "player_id").distinct().count()
-    assert n == _metrics.match_metrics(events).count()
-    assert last.count() >= n
+    assert q.exception() is None
+    got = ingest.latest(spark.read.parquet(out), ["match_id", "player_id"])
+    want = _metrics.match_metrics(events)
+    assert {tuple(r) for r in got.select(*want.columns).collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_live_metrics_with_watermark_drop_old_windows_from_state(spark, scratch):
+    events = (testdata.events(spark, SF001)
+              .withColumn("at", F.timestamp_seconds(1704067200 + F.col("match_id").cast("bigint") % testdata.SEASON_DAYS * 86400 + 3600)))
+    src = os.path.join(scratch, "events")
+    for day in range(0, 30, 10):  # files in the order of their days
+        part = F.col("match_id").cast("bigint") % testdata.SEASON_DAYS
+        events.filter((part >= day) & (part < day + 10)).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = os.path.join(scratch, "out")
+    q = (live.live_metrics(stream, "at").writeStream.outputMode("update")
+         .foreachBatch(lambda b, i: b.write.parquet(f"{out}/batch_id={i}"))
+         .option("checkpointLocation", os.path.join(scratch, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    want = _metrics.match_metrics(events)
+    got = ingest.latest(spark.read.parquet(out), ["match_id", "player_id"])
+    assert {tuple(r) for r in got.select(*want.columns).collect()} == {tuple(r) for r in want.collect()}
+    state = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert state < want.count()  # the windows of earlier days have left
+
+
+def test_two_records_of_a_match_in_one_batch(spark, scratch):
+    def record(arrival, goals):
+        return ('{"status":"Played","wyId":7,"label":"L","dateutc":"2024-01-01 15:00:00","winner":0,"arrival":%d,"teamsData":'
+                '{"1":{"formation":{"lineup":[{"playerId":1,"goals":"%d"}],"bench":[],"substitutions":[]}}}}' % (arrival, goals))
+    for k, lines in enumerate(([record(2, 2), record(1, 1)], [record(1, 1), record(2, 2)])):
+        root = os.path.join(scratch, str(k))
+        os.makedirs(os.path.join(root, "in"))
+        with open(os.path.join(root, "in", "a.jsonl"), "w") as f:
+            f.write("\n".join([*lines, '{"eventId":2,"subEventId":21,"playerId":1,"matchId":7,"seq":1,"tags":[]}']))
+        _run(spark, root)
+        store = os.path.join(root, "store")
+        facts = ingest.stored_facts(spark, store).collect()
+        assert [(r.match_id, r.player_id, r.number_of_fouls) for r in facts] == [("7", "1", 1)]
+        assert [r.goals for r in _squads.participants(ingest.stored_matches(spark, store)).collect()] == [2]
+
+
+def test_live_views_are_fed_by_the_ingest(spark, scratch, batch_facts):
+    os.makedirs(os.path.join(scratch, "in"))
+    _write_files(spark, scratch)
+    _run(spark, scratch)
+    store = os.path.join(scratch, "store")
+    lines = ingest.record_stream(spark, os.path.join(scratch, "in"))
+    for q in live.start_live_views(lines, store, os.path.join(scratch, "views"), availableNow=True):
+        q.awaitTermination(600)
+        assert q.exception() is None
+    want = _metrics.match_metrics(testdata.events(spark, SF001))
+    got = ingest.latest(spark.read.parquet(os.path.join(store, "live_metrics")), ["match_id", "player_id"])
+    assert {tuple(r) for r in got.select(*want.columns).collect()} == {tuple(r) for r in want.collect()}
+    assert spark.read.parquet(os.path.join(store, "live_ratings")).count() == len(batch_facts)
 
 
 def test_live_ratings_state_equals_batch(spark, scratch):

@@ -68,7 +68,8 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "id",
         .select("x.seg", "x.val", "code", "low", "n"), "index")
     best = W.partitionBy("q").orderBy("d", "low", "code")
     done = None
-    open_ = asked.select(F.col("code").alias("q")).distinct().checkpoint()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    open_ = asked.select(F.col("code").alias("q")).distinct().repartition(tasks, "q").checkpoint()
     state = None
     for radius in range(max(b for _, b in parts) + 1):
         steps = [list(range(len(parts)))] if radius < TOGETHER else [[s] for s in range(len(parts))]
@@ -83,11 +84,13 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "id",
                 flips = [sum(1 << i for i in c) for c in combinations(range(bits), radius)]
                 if not flips:
                     continue
-                part = (open_.withColumn("flip", F.explode(F.lit(flips)))
+                array = F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>")  # folded into one literal
+                part = (open_.withColumn("flip", F.explode(array))
                         .select("q", F.lit(s).alias("seg"), _value("q", begin, bits).bitwiseXOR(F.col("flip")).alias("val")))
                 probes = part if probes is None else probes.unionByName(part)
             if probes is not None:
-                met = (probes.join(index, ["seg", "val"])
+                # Spark's estimate does not see how many probes a query has: no broadcast
+                met = (probes.hint("merge").join(index, ["seg", "val"])
                        .select("q", "code", "low", "n", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("d")))
                 # a code is found through several segments: once for a query
                 fresh = met.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= (k + 1) * len(step)).drop("nth").distinct()
@@ -99,7 +102,7 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "id",
             ended = ended.checkpoint()
             part = state.join(ended, "q", "left_semi").checkpoint()
             done = part if done is None else done.unionByName(part)
-            open_ = open_.join(ended, "q", "left_anti").checkpoint()
+            open_ = open_.join(ended, "q", "left_anti").repartition(tasks, "q").checkpoint()
     if done is None:
         done = spark.createDataFrame([], "q long, code long, low long, n long, d int")
     hits = done.select("q", "code", "d").join(ids.select("id", "code"), "code")

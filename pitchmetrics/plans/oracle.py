@@ -50,7 +50,7 @@ pl AS (
          CASE WHEN c_custkey % 15 IN (0, 1) THEN 'GK' WHEN c_custkey % 15 IN (2, 3, 4, 5, 11) THEN 'DF'
               WHEN c_custkey % 15 IN (6, 7, 8, 12, 13) THEN 'MD' ELSE 'FW' END AS role,
          CASE c_custkey % 3 WHEN 0 THEN 'right' WHEN 1 THEN 'left' ELSE 'both' END AS foot,
-         CASE WHEN c_custkey % 97 = 5 THEN NULL
+         CASE WHEN c_custkey % 97 = 40 THEN NULL
               ELSE CAST(DATE '1985-01-01' + CAST((c_custkey * 37) % 5000 AS INTEGER) AS DATE) END AS birth_date,
          n_name AS birth_area, n_name AS passport_area,
          CAST(c_custkey % 30 + 165 AS INTEGER) AS height, CAST(c_custkey % 25 + 60 AS INTEGER) AS weight

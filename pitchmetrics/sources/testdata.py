@@ -29,7 +29,7 @@ EPOCH = "2024-01-01"            # day 0 of the season
 GROUP_SIZE = 15                 # users per group: one group = two teams
 FORECAST_DATE = "2024-02-15"    # date of every generated forecast request
 SEASON_DAYS = 100_000           # more days than any season has: match id = group * this + day
-NO_BIRTH_DATE = (97, 5)         # customers with this remainder have no birth date
+NO_BIRTH_DATE = (97, 40)        # customers with this remainder have no birth date
 REPEATED = (5, 0)               # matches with this remainder of group + day have an earlier record
 # request id = key * REQUEST_KINDS + kind: ids of different kinds cannot meet
 REQUEST_KINDS = 10

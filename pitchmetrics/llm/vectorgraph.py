@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import ragged
 from .common import components, stored
 
 #: most vectors that centroids are fitted on, and members of a block
@@ -67,35 +68,36 @@ def centroids(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return c
 
 
-def pruned(x: np.ndarray, degree: int, near: float, alpha: float = 1.2) -> np.ndarray:
-    """Neighbours (index, -1: none) of each row of ``x`` by robust pruning of its nearest
-    rows, and of its nearest rows under the cosine ``near``."""
+def pruned(x: np.ndarray, degree: int, near: float, alpha: float = 1.2) -> list[np.ndarray]:
+    """Neighbours (indexes) of each row of ``x`` by robust pruning of its nearest rows, and
+    of its nearest rows under the cosine ``near``; and all rows that chose it, as a row
+    that many others choose is the only way to some of them."""
     n = len(x)
     if n == 1:
-        return np.full((1, 1), -1, np.int64)
+        return [np.zeros(0, np.int64)]
     sim = x @ x.T
     np.fill_diagonal(sim, -2)
-    lists = []
+    links = []
     for allowed in (sim, np.where(sim < near, sim, -2)):
         c = min(2 * degree, n - 1)
         cand = np.argpartition(-allowed, c - 1, axis=1)[:, :c]
         value = np.take_along_axis(allowed, cand, 1)
         alive = value > -2
-        chosen = np.full((n, degree // 2), -1, np.int64)
         rows = np.arange(n)
-        for step in range(degree // 2):
+        for _ in range(degree // 2):
             best = np.where(alive, value, -3).argmax(1)
             ok = alive[rows, best]
             star = cand[rows, best]
-            chosen[ok, step] = star[ok]
+            links.append(np.stack([rows[ok], star[ok]]))
             # squared distances of unit vectors are 2 - 2 cos
             covers = alpha * (2 - 2 * sim[star[:, None], cand]) <= 2 - 2 * value
             alive &= ~covers
             alive[rows, best] = False
             if not alive.any():
                 break
-        lists.append(chosen)
-    return np.concatenate(lists, 1)
+    a, b = np.concatenate(links, axis=1)
+    pairs = np.unique(np.concatenate([a * n + b, b * n + a]))
+    return np.split(pairs % n, np.searchsorted(pairs, np.arange(1, n) * n))
 
 
 def medoids(x: np.ndarray, k: int = 4) -> np.ndarray:
@@ -108,9 +110,10 @@ def medoids(x: np.ndarray, k: int = 4) -> np.ndarray:
     return np.array(picked)
 
 
-def range_search(x: np.ndarray, lists: np.ndarray, starts: np.ndarray, asked: np.ndarray, own: np.ndarray, least: float,
+def range_search(x: np.ndarray, lists: list[np.ndarray], starts: np.ndarray, asked: np.ndarray, own: np.ndarray, least: float,
                  beam: int = BEAM) -> np.ndarray:
     """Cosines (asked x rows of x) of what the searches have seen; -2: not seen."""
+    flat, offsets = np.concatenate(lists), np.concatenate([[0], np.cumsum([len(v) for v in lists])])
     m, n = len(asked), len(x)
     seen = np.full((m, n), -2.0)
     closed = np.zeros((m, n), bool)
@@ -136,7 +139,8 @@ def range_search(x: np.ndarray, lists: np.ndarray, starts: np.ndarray, asked: np
         who, at = np.nonzero(free >= least)
         who, at = np.concatenate([going, who]), np.concatenate([best[going], at])
         closed[who, at] = True
-        look(np.repeat(who, lists.shape[1]), lists[at].ravel())
+        to, many = ragged(flat, offsets, at)
+        look(np.repeat(who, many), to)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -206,12 +210,12 @@ def _search_shards(nodes: DataFrame, sample: np.ndarray, k: int, overlap: int, l
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for members, _ in _groups(frames, ["shard", "block"], CHUNK):
             node, lists = members["node"].to_numpy(), pruned(_unit(members["vector"]), DEGREE, near)
-            yield pd.DataFrame({"node": node, "lists": [node[r[r >= 0]] for r in lists]})
+            yield pd.DataFrame({"node": node, "lists": [node[r] for r in lists]})
 
     members = dealt.filter("member").join(nodes.select("node", "vector"), "node").select(*columns, "member", F.lit(False).alias("asks"))
     lists = (members.repartition(tasks, "shard", "block").sortWithinPartitions("shard", "block")
              .mapInPandas(build, "node long, lists array<long>")
-             # at most overlap x degree neighbours
+             # at most the members of the node's blocks
              .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("lists"))).alias("lists")))
     full = dealt.join(nodes, "node").join(lists, "node").select(*columns, "weight", "lists", "member", "asks")
 
@@ -220,11 +224,10 @@ def _search_shards(nodes: DataFrame, sample: np.ndarray, k: int, overlap: int, l
             x, node, weight = _unit(members["vector"]), members["node"].to_numpy(), members["weight"].to_numpy()
             order = np.argsort(node)
             at = lambda ids: order[np.minimum(np.searchsorted(node, ids, sorter=order), len(node) - 1)]  # noqa: E731, B023
-            width = max(1, max((len(v) for v in members["lists"]), default=1))
-            table = np.full((len(node), width), -1, np.int64)
-            for i, ids in enumerate(members["lists"]):
-                place = at(np.asarray(ids, np.int64)) if len(ids) else np.zeros(0, np.int64)
-                table[i, :len(place)] = np.where(node[place] == ids, place, -1) if len(ids) else place
+            table = []
+            for ids in members["lists"]:
+                place = at(np.asarray(ids, np.int64))
+                table.append(place[node[place] == ids])
             starts = medoids(x)
             for asking in chunks:
                 who = asking["node"].to_numpy()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 #: rows a salted group is dealt to one task in
-SALT_ROWS = 20_000
+SALT_ROWS = 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,14 +30,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def removed(df: DataFrame) -> None:
-    """Deletes a table that :func:`stored` wrote and nothing reads any more."""
-    spark = df.sparkSession
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 

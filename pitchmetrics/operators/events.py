@@ -21,14 +21,15 @@ def player_events(events: DataFrame) -> DataFrame:
     return events.filter(pid.isNotNull() & (pid != C.SYSTEM_PLAYER_ID) & (pid != ""))
 
 
-_BITS = {t: 1 << i for i, t in enumerate(METRIC_TAGS)}
+# one bit per metric tag, in the order of METRIC_TAGS
+TAG_BITS = {t: 1 << i for i, t in enumerate(METRIC_TAGS)}
 
 
 def with_tag_flags(events: DataFrame) -> DataFrame:
     """Adds ``tagged`` and one boolean ``has_<id>`` column per metric tag (the tag
     array is scanned once, into a bit mask)."""
-    ev = events.withColumn("_tag_bits", tag_mask(_BITS))
-    cols = [is_tagged().alias("tagged")] + [has_bit("_tag_bits", b).alias(f"has_{t}") for t, b in _BITS.items()]
+    ev = events.withColumn("_tag_bits", tag_mask(TAG_BITS))
+    cols = [is_tagged().alias("tagged")] + [has_bit("_tag_bits", b).alias(f"has_{t}") for t, b in TAG_BITS.items()]
     return ev.select("*", *cols).drop("_tag_bits")
 
 

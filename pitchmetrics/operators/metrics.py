@@ -19,10 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes as C
 from ..functions.columns import count_if, has_bit, is_tagged, ratio, tag_mask
-from .events import METRIC_TAGS, player_events
-
-# one bit per metric tag, in the order of METRIC_TAGS
-TAG_BITS = {t: 1 << i for i, t in enumerate(METRIC_TAGS)}
+from .events import TAG_BITS, player_events
 
 
 def has_tag(tag_id: int) -> Column:

@@ -36,6 +36,7 @@ class Season:
     def __init__(self, events, matches, players, teams, requests=None):
         self._loaders: dict[str, Callable[[], DataFrame] | DataFrame | None] = {
             "events": events, "matches": matches, "players": players, "teams": teams, "requests": requests}
+        self._folders: list[str] = []
 
     def _input(self, name: str) -> DataFrame:
         v = self._loaders[name]
@@ -80,11 +81,20 @@ class Season:
         run = uuid.uuid4().hex
         for name in names:
             df = getattr(self, name)
-            path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/pitchmetrics-{run}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self.__dict__[name] = df.sparkSession.read.parquet(path)
+            folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/pitchmetrics-{run}"
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+            self.__dict__[name] = df.sparkSession.read.parquet(f"{folder}/{name}")
+        self._folders.append(folder)
         return self
 
+    def discard(self) -> None:
+        """Removes the tables that :meth:`cut` wrote, once no result reads them any more."""
+        spark = SparkSession.getActiveSession()
+        for folder in self._folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._folders.clear()
+
     @cached_property
     def match_metrics(self) -> DataFrame:
         return _metrics.match_metrics(self.events)

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: radii whose segments are searched in one step, as they are cheap
-TOGETHER = 3
+#: radii that are searched in one step, and radii up to which a step has all segments
+FIRST, TOGETHER = 2, 3
 
 
 def sign_code(vector: str, bits: int = 64) -> Column:
@@ -42,8 +42,8 @@ def sign_code(vector: str, bits: int = 64) -> Column:
 
 
 def _segments(rows: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of the segments: about log2(rows) bits each."""
-    m = max(2, min(16, round(64 / max(4.0, math.log2(max(rows, 2))))))
+    """(first bit, bits) of the segments: at most about log2(rows) bits each."""
+    m = max(2, min(16, math.ceil(64 / max(4.0, math.log2(max(rows, 2))))))
     cut = [64 * i // m for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(cut, cut[1:], strict=False)]
 
@@ -67,45 +67,41 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "id",
         F.struct(F.lit(s).alias("seg"), _value("code", a, b).alias("val")) for s, (a, b) in enumerate(parts)])).alias("x"))
         .select("x.seg", "x.val", "code", "low", "n"), "index")
     best = W.partitionBy("q").orderBy("d", "low", "code")
-    done = None
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     open_ = asked.select(F.col("code").alias("q")).distinct().repartition(tasks, "q").checkpoint()
-    state = None
-    for radius in range(max(b for _, b in parts) + 1):
-        steps = [list(range(len(parts)))] if radius < TOGETHER else [[s] for s in range(len(parts))]
-        for step in steps:
-            left = open_.count()
-            if not left:
-                break
-            probes = None
-            for s in step:
-                begin, bits = parts[s]
-                # C(bits, radius) masks; bits is about log2 of the number of codes
-                flips = [sum(1 << i for i in c) for c in combinations(range(bits), radius)]
-                if not flips:
-                    continue
-                array = F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>")  # folded into one literal
-                part = (open_.withColumn("flip", F.explode(array))
-                        .select("q", F.lit(s).alias("seg"), _value("q", begin, bits).bitwiseXOR(F.col("flip")).alias("val")))
-                probes = part if probes is None else probes.unionByName(part)
-            if probes is not None:
-                # Spark's estimate does not see how many probes a query has: no broadcast
-                met = (probes.hint("merge").join(index, ["seg", "val"])
-                       .select("q", "code", "low", "n", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("d")))
-                # a code is found through several segments: once for a query
-                fresh = met.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= (k + 1) * len(step)).drop("nth").distinct()
-                both = fresh if state is None else fresh.unionByName(state.join(open_, "q", "left_semi"))
-                state = both.distinct().withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1).drop("nth").checkpoint()
-            covered = len(parts) * radius + step[-1]
-            near = state.groupBy("q").agg(F.sum(F.when(F.col("d") <= covered, F.col("n")).otherwise(0)).alias("sure"), F.sum("n").alias("all"))
-            ended = near.filter((F.col("sure") > k) | (F.col("all") >= size.ids) | F.lit(covered >= 64)).select("q")
-            ended = ended.checkpoint()
-            part = state.join(ended, "q", "left_semi").checkpoint()
-            done = part if done is None else done.unionByName(part)
-            open_ = open_.join(ended, "q", "left_anti").repartition(tasks, "q").checkpoint()
-    if done is None:
-        done = spark.createDataFrame([], "q long, code long, low long, n long, d int")
-    hits = done.select("q", "code", "d").join(ids.select("id", "code"), "code")
+    state = spark.createDataFrame([], "q long, code long, low long, n long, d int").select(
+        "q", "code", F.col("low").cast(codes.schema["low"].dataType), "n", "d")
+    everywhere = list(range(len(parts)))
+    steps = [(range(FIRST + 1), everywhere)]
+    for radius in range(FIRST + 1, max(b for _, b in parts) + 1):
+        steps += [([radius], everywhere)] if radius <= TOGETHER else [([radius], [s]) for s in everywhere]
+    for radii, segments in steps:
+        if open_.isEmpty():
+            break
+        probes = None
+        for s in segments:
+            begin, bits = parts[s]
+            # C(bits, radius) masks; bits is about log2 of the number of codes
+            flips = [sum(1 << i for i in c) for radius in radii for c in combinations(range(bits), radius)]
+            if not flips:
+                continue
+            array = F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>")  # folded into one literal
+            part = (open_.withColumn("flip", F.explode(array))
+                    .select("q", F.lit(s).alias("seg"), _value("q", begin, bits).bitwiseXOR(F.col("flip")).alias("val")))
+            probes = part if probes is None else probes.unionByName(part)
+        if probes is not None:
+            # Spark's estimate does not see how many probes a query has: no broadcast
+            met = (probes.hint("merge").join(index, ["seg", "val"])
+                   .select("q", "code", "low", "n", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("d")))
+            # a code is found through several segments: once for a query
+            fresh = met.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= (k + 1) * len(segments)).drop("nth")
+            both = fresh.unionByName(state).distinct()
+            state = both.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1).drop("nth").checkpoint()
+        covered = len(parts) * radii[-1] + segments[-1]
+        near = state.groupBy("q").agg(F.sum(F.when(F.col("d") <= covered, F.col("n")).otherwise(0)).alias("sure"), F.sum("n").alias("all"))
+        ended = near.filter((F.col("sure") > k) | (F.col("all") >= size.ids) | F.lit(covered >= 64)).select("q")
+        open_ = open_.join(ended, "q", "left_anti").repartition(tasks, "q").checkpoint()
+    hits = state.select("q", "code", "d").join(ids.select("id", "code"), "code")
     pairs = asked.select(F.col("id").alias("query_id"), F.col("code").alias("q")).join(hits, "q")
     pairs = pairs.filter((F.col("query_id") != F.col("id")) | (F.col("q") != F.col("code")))
     rank = F.row_number().over(W.partitionBy("query_id", "q").orderBy("d", "id", "code"))

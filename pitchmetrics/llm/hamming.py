@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: radii that are searched in one step, and radii up to which a step has all segments
-FIRST, TOGETHER = 2, 3
+#: radius up to which a step has all segments
+TOGETHER = 3
 
 
 def sign_code(vector: str, bits: int = 64) -> Column:
@@ -68,39 +68,43 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "id",
         .select("x.seg", "x.val", "code", "low", "n"), "index")
     best = W.partitionBy("q").orderBy("d", "low", "code")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    open_ = asked.select(F.col("code").alias("q")).distinct().repartition(tasks, "q").checkpoint()
+    open_ = asked.select(F.col("code").alias("q")).distinct().withColumn("bound", F.lit(64)).repartition(tasks, "q").checkpoint()
     state = spark.createDataFrame([], "q long, code long, low long, n long, d int").select(
         "q", "code", F.col("low").cast(codes.schema["low"].dataType), "n", "d")
     everywhere = list(range(len(parts)))
-    steps = [(range(FIRST + 1), everywhere)]
-    for radius in range(FIRST + 1, max(b for _, b in parts) + 1):
-        steps += [([radius], everywhere)] if radius <= TOGETHER else [([radius], [s]) for s in everywhere]
-    for radii, segments in steps:
+    steps = []
+    for radius in range(max(b for _, b in parts) + 1):
+        steps += [(radius, everywhere)] if radius <= TOGETHER else [(radius, [s]) for s in everywhere]
+    for radius, segments in steps:
         if open_.isEmpty():
             break
         probes = None
         for s in segments:
             begin, bits = parts[s]
             # C(bits, radius) masks; bits is about log2 of the number of codes
-            flips = [sum(1 << i for i in c) for radius in radii for c in combinations(range(bits), radius)]
+            flips = [sum(1 << i for i in c) for c in combinations(range(bits), radius)]
             if not flips:
                 continue
             array = F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>")  # folded into one literal
             part = (open_.withColumn("flip", F.explode(array))
-                    .select("q", F.lit(s).alias("seg"), _value("q", begin, bits).bitwiseXOR(F.col("flip")).alias("val")))
+                    .select("q", "bound", F.lit(s).alias("s"), _value("q", begin, bits).bitwiseXOR(F.col("flip")).alias("v")))
             probes = part if probes is None else probes.unionByName(part)
         if probes is not None:
-            # Spark's estimate does not see how many probes a query has: no broadcast
-            met = (probes.hint("merge").join(index, ["seg", "val"])
-                   .select("q", "code", "low", "n", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("d")))
+            # Spark's estimate does not see how many probes a query has: no broadcast.  What is
+            # farther than the last of a full answer cannot enter it
+            d = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
+            met = (probes.hint("merge").join(index, (F.col("s") == F.col("seg")) & (F.col("v") == F.col("val")) & (d <= F.col("bound")))
+                   .select("q", "code", "low", "n", d.alias("d")))
             # a code is found through several segments: once for a query
             fresh = met.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= (k + 1) * len(segments)).drop("nth")
             both = fresh.unionByName(state).distinct()
             state = both.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1).drop("nth").checkpoint()
-        covered = len(parts) * radii[-1] + segments[-1]
-        near = state.groupBy("q").agg(F.sum(F.when(F.col("d") <= covered, F.col("n")).otherwise(0)).alias("sure"), F.sum("n").alias("all"))
-        ended = near.filter((F.col("sure") > k) | (F.col("all") >= size.ids) | F.lit(covered >= 64)).select("q")
-        open_ = open_.join(ended, "q", "left_anti").repartition(tasks, "q").checkpoint()
+        covered = len(parts) * radius + segments[-1]
+        near = state.groupBy("q").agg(F.sum(F.when(F.col("d") <= covered, F.col("n")).otherwise(0)).alias("sure"), F.sum("n").alias("all"),
+                                      F.when(F.count(F.lit(1)) > k, F.max("d")).otherwise(64).alias("last"))
+        ended = (F.col("sure") > k) | (F.col("all") >= size.ids) | F.lit(covered >= 64)
+        open_ = (open_.select("q").join(near, "q", "left").filter(~F.coalesce(ended, F.lit(False)))
+                 .select("q", F.coalesce("last", F.lit(64)).alias("bound")).repartition(tasks, "q").checkpoint())
     hits = state.select("q", "code", "d").join(ids.select("id", "code"), "code")
     pairs = asked.select(F.col("id").alias("query_id"), F.col("code").alias("q")).join(hits, "q")
     pairs = pairs.filter((F.col("query_id") != F.col("id")) | (F.col("q") != F.col("code")))

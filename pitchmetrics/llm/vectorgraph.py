@@ -1,8 +1,8 @@
 """Embedding near-duplicates over a robust-pruned flat graph.
 
 Equal vectors are one node with a weight.  Centroids, fitted on a bounded sample, make
-shards; a node is a member of its ``OVERLAP`` nearest shards, so that shards overlap.  A
-shard over ``BLOCK`` members is dealt into blocks.  Each block links its members by robust
+shards, and those within the link radius of each other make one; a node is a member of its
+``OVERLAP`` nearest shards, so that shards overlap.  A shard over ``BLOCK`` members is dealt into blocks.  Each block links its members by robust
 pruning of their nearest members and of their nearest members outside their own group of
 near copies; a node's lists from all its blocks are united.  Each node then asks all
 blocks of its nearest shard: a greedy search from the medoids and from the node itself
@@ -68,6 +68,13 @@ def centroids(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return c
 
 
+def merged(c: np.ndarray, least: float) -> np.ndarray:
+    """The shard of each centroid: centroids within the link radius of each other, or over
+    others between them, are one shard, as links run between their nodes."""
+    a, b = np.nonzero(np.triu(c @ c.T >= least, 1))
+    return np.unique(_forest(a, b, len(c)), return_inverse=True)[1]
+
+
 def pruned(x: np.ndarray, degree: int, near: float, alpha: float = 1.2) -> list[np.ndarray]:
     """Neighbours (indexes) of each row of ``x`` by robust pruning of its nearest rows, and
     of its nearest rows under the cosine ``near``; and all rows that chose it, as a row
@@ -139,6 +146,8 @@ def range_search(x: np.ndarray, lists: list[np.ndarray], starts: np.ndarray, ask
         who, at = np.nonzero(free >= least)
         who, at = np.concatenate([going, who]), np.concatenate([best[going], at])
         closed[who, at] = True
+        if offsets[at + 1].sum() - offsets[at].sum() > m * n // 2:  # more to look at than the block has
+            return asked @ x.T
         to, many = ragged(flat, offsets, at)
         look(np.repeat(who, many), to)
 
@@ -182,17 +191,21 @@ def _groups(frames: Iterator[pd.DataFrame], keys: list[str], chunk: int) -> Iter
         yield cut()
 
 
-def _search_shards(nodes: DataFrame, sample: np.ndarray, k: int, overlap: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """(node, found) and links (a, b) for nodes (node, weight, vector)."""
+def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """(node, found) and links (a, b) for nodes (node, weight, vector); ``shard`` is that of
+    each centroid."""
     spark = nodes.sparkSession
-    c = spark.sparkContext.broadcast(centroids(sample, k))  # at most SAMPLE vectors
+    order = np.argsort(shard, kind="stable")
+    begins = np.searchsorted(shard[order], np.arange(shard.max() + 1))
+    sent = spark.sparkContext.broadcast((c[order], begins))  # at most SAMPLE vectors
     near = least - 0.1
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c, begins = sent.value
         for frame in frames:
             for i in range(0, len(frame), 4096):
                 part = frame.iloc[i:i + 4096]
-                sim = _unit(part["vector"]) @ c.value.T
+                sim = np.maximum.reduceat(_unit(part["vector"]) @ c.T, begins, axis=1)  # with the nearest centroid of a shard
                 order = np.argsort(-sim, axis=1)[:, :overlap]
                 yield pd.DataFrame({"node": part["node"].to_numpy().repeat(order.shape[1]), "shard": order.ravel(),
                                     "nearest": np.tile(np.arange(order.shape[1]) == 0, len(part))})
@@ -287,12 +300,13 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         return rows.select(F.col("key").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("key").alias("component_id"),
                            F.lit(True).alias("kept"))
     sample = _unit(nodes.select("vector", F.xxhash64(F.lit("sample"), "node").alias("o")).orderBy("o").limit(SAMPLE).toPandas()["vector"])
+    c = centroids(sample, max(1, min(len(sample) // 8, n * OVERLAP // MEMBERS)))
+    shard = merged(c, least)
     overlap = OVERLAP
     while True:
-        shards = max(1, min(len(sample) // 8, n * overlap // MEMBERS))
-        found, links = _search_shards(nodes, sample, shards, overlap, least)
+        found, links = _search_shards(nodes, c, shard, overlap, least)
         found = stored(found, "links")
-        if overlap >= min(MOST_OVERLAP, shards) or recall(nodes, found, least) >= GOAL:
+        if overlap >= min(MOST_OVERLAP, shard.max() + 1) or recall(nodes, found, least) >= GOAL:
             break
         overlap *= 2
     groups = components(links)

@@ -72,3 +72,20 @@ def test_query(spark):
     links, _ = _brute(x)
     got = {r.vec_id: r.n_links for r in queries.op6_embedding_dedup(spark, sf).collect()}
     assert got == {r.vec_id: n for r, n in zip(rows, links, strict=True)}
+
+
+def _frame(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+
+
+def test_large_group_of_near_copies_is_one_shard(spark, monkeypatch):
+    """A third of the vectors are distinct near copies; the first search finds their links."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2400, 64)).astype(np.float32)
+    x[:800] = x[0] + rng.normal(size=(800, 64)) * 0.3
+    links, _ = _brute(x)
+    monkeypatch.setattr(vectorgraph, "MEMBERS", 60)
+    monkeypatch.setattr(vectorgraph, "recall", lambda *_: 1.0)
+    found = {r.vec_id: r.n_links for r in vectorgraph.near_duplicates(_frame(spark, x)).collect()}
+    share = np.array([found[i] for i in range(800)]) / links[:800]
+    assert share.min() >= 0.97 and share.max() <= 1

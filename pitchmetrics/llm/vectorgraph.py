@@ -12,7 +12,8 @@ double precision.  An audit compares a sample of nodes with all nodes; while its
 is under ``GOAL``, the search is done again with more overlap.
 
 A task keeps one block and a chunk of those who ask, and returns a count for each of them
-and a spanning forest of the links it found, never the pairs of a group.
+and a spanning forest of the links it found, never the pairs of a group.  A link counts
+for both ends: a member whose own search cannot meet the asker gets a count too.
 
 Defined cases: null or zero vectors, vectors with a null, NaN or infinite component, and
 vectors whose length is not the most common one link with nothing; rows of equal vectors
@@ -208,15 +209,17 @@ def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap:
                 sim = np.maximum.reduceat(_unit(part["vector"]) @ c.T, begins, axis=1)  # with the nearest centroid of a shard
                 order = np.argsort(-sim, axis=1)[:, :overlap]
                 yield pd.DataFrame({"node": part["node"].to_numpy().repeat(order.shape[1]), "shard": order.ravel(),
-                                    "nearest": np.tile(np.arange(order.shape[1]) == 0, len(part))})
+                                    "nearest": np.tile(np.arange(order.shape[1]) == 0, len(part)),
+                                    "shards": [o for o in order for _ in range(order.shape[1])]})
 
-    placed = nodes.select("node", "vector").mapInPandas(assign, "node long, shard long, nearest boolean")
+    placed = nodes.select("node", "vector").mapInPandas(assign, "node long, shard long, nearest boolean, shards array<long>")
     sizes = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     # at most as many sizes as centroids
     dealt = placed.join(F.broadcast(sizes), "shard").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = stored(dealt.withColumn("block", F.explode(F.when(F.col("nearest"), F.sequence(F.lit(0), F.col("blocks") - 1))
                                                        .otherwise(F.array("own"))))
-                   .select("shard", "block", "node", (F.col("own") == F.col("block")).alias("member"), F.col("nearest").alias("asks")), "dealt")
+                   .select("shard", "block", "node", (F.col("own") == F.col("block")).alias("member"), F.col("nearest").alias("asks"),
+                           "shards"), "dealt")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = ["shard", "block", "node", "vector"]
 
@@ -230,11 +233,12 @@ def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap:
              .mapInPandas(build, "node long, lists array<long>")
              # at most the members of the node's blocks
              .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("lists"))).alias("lists")))
-    full = dealt.join(nodes, "node").join(lists, "node").select(*columns, "weight", "lists", "member", "asks")
+    full = dealt.join(nodes, "node").join(lists, "node").select(*columns, "weight", "lists", "member", "asks", "shards")
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for members, chunks in _groups(frames, ["shard", "block"], CHUNK):
             x, node, weight = _unit(members["vector"]), members["node"].to_numpy(), members["weight"].to_numpy()
+            home = np.array([s[0] for s in members["shards"]], np.int64)
             order = np.argsort(node)
             at = lambda ids: order[np.minimum(np.searchsorted(node, ids, sorter=order), len(node) - 1)]  # noqa: E731, B023
             table = []
@@ -251,12 +255,16 @@ def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap:
                 other = who[a] != node[b]
                 a, b = a[other], b[other]
                 found = np.bincount(a, weight[b], len(who)).astype(np.int64)
+                # an asker is met by the member's own search if it is a member of the shard where that one asks
+                alone = (np.stack(asking["shards"].to_numpy())[a] != home[b][:, None]).all(1)
+                given = np.bincount(b[alone], asking["weight"].to_numpy()[a[alone]], len(node)).astype(np.int64)
                 both = np.concatenate([who, node])
                 ids, back = np.unique(both, return_inverse=True)
                 low = _forest(back[a], back[len(who) + b], len(ids))
                 linked = np.flatnonzero(low != np.arange(len(ids)))
-                yield pd.DataFrame({"a": np.concatenate([who, ids[linked]]), "b": np.concatenate([who, ids[low[linked]]]),
-                                    "found": np.concatenate([found, np.zeros(len(linked), np.int64)])})
+                got = np.flatnonzero(given)
+                yield pd.DataFrame({"a": np.concatenate([who, node[got], ids[linked]]), "b": np.concatenate([who, node[got], ids[low[linked]]]),
+                                    "found": np.concatenate([found, given[got], np.zeros(len(linked), np.int64)])})
 
     out = stored(full.repartition(tasks, "shard", "block").sortWithinPartitions("shard", "block", F.desc("member"), "node")
                  .mapInPandas(search, "a long, b long, found long"), "found")

@@ -89,3 +89,25 @@ def test_large_group_of_near_copies_is_one_shard(spark, monkeypatch):
     found = {r.vec_id: r.n_links for r in vectorgraph.near_duplicates(_frame(spark, x)).collect()}
     share = np.array([found[i] for i in range(800)]) / links[:800]
     assert share.min() >= 0.97 and share.max() <= 1
+
+
+def _pairs(seed, n, many, cos=0.905):
+    """n vectors, the first 2 x many of them pairs at the cosine."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    a = x[:many]
+    w = rng.normal(size=a.shape)
+    w -= (w * a).sum(1, keepdims=True) * a
+    x[many:2 * many] = cos * a + np.sqrt(1 - cos ** 2) * w / np.linalg.norm(w, axis=1, keepdims=True)
+    return x.astype(np.float32)
+
+
+def test_a_link_counts_for_both_ends(spark, monkeypatch):
+    x = _pairs(4, 2400, 400)
+    monkeypatch.setattr(vectorgraph, "MEMBERS", 100)
+    monkeypatch.setattr(vectorgraph, "recall", lambda *_: 1.0)
+    got = {r.vec_id: r for r in vectorgraph.near_duplicates(_frame(spark, x)).collect()}
+    joined = [i for i in range(400) if got[i].component_id == got[400 + i].component_id]
+    assert len(joined) > 300
+    assert all(got[i].n_links == got[400 + i].n_links == 1 for i in joined)

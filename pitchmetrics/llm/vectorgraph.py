@@ -8,8 +8,10 @@ near copies; a node's lists from all its blocks are united.  Each node then asks
 blocks of its nearest shard: a greedy search from the medoids and from the node itself
 goes on along the united lists as long as a better node among the best ``BEAM`` is open,
 and through every node within the range.  What it finds is verified by the cosine in
-double precision.  An audit compares a sample of nodes with all nodes; while its recall
-is under ``GOAL``, the search is done again with more overlap.
+double precision.  An audit compares a sample of nodes with all nodes, until enough nodes
+with links are in it; while the mean share of its links that such a node has is under
+``GOAL``, the search is done again with more overlap.  Where the most overlap does not do,
+all blocks are compared with all nodes, which finds every link.
 
 A task keeps one block and a chunk of those who ask, and returns a count for each of them
 and a spanning forest of the links it found, never the pairs of a group.  A link counts
@@ -39,8 +41,9 @@ SAMPLE, BLOCK = 20_000, 2048
 OVERLAP, MOST_OVERLAP, DEGREE, BEAM = 4, 12, 20, 12
 #: members of a shard that the number of centroids aims at
 MEMBERS = 1200
-#: nodes that the audit compares with all nodes, and the recall it wants
-AUDIT, GOAL = 400, 0.97
+#: nodes that the audit compares with all nodes at first and at most at a time, those with
+#: links that it needs, and the recall it wants
+AUDIT, MOST_AUDIT, LINKED, GOAL = 400, 6400, 100, 0.97
 CHUNK = 512
 
 
@@ -192,9 +195,10 @@ def _groups(frames: Iterator[pd.DataFrame], keys: list[str], chunk: int) -> Iter
         yield cut()
 
 
-def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap: int, least: float) -> tuple[DataFrame, DataFrame]:
+def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap: int, least: float,
+                   whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """(node, found) and links (a, b) for nodes (node, weight, vector); ``shard`` is that of
-    each centroid."""
+    each centroid; ``whole``: blocks are compared as a whole, not searched."""
     spark = nodes.sparkSession
     order = np.argsort(shard, kind="stable")
     begins = np.searchsorted(shard[order], np.arange(shard.max() + 1))
@@ -233,7 +237,8 @@ def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap:
              .mapInPandas(build, "node long, lists array<long>")
              # at most the members of the node's blocks
              .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("lists"))).alias("lists")))
-    full = dealt.join(nodes, "node").join(lists, "node").select(*columns, "weight", "lists", "member", "asks", "shards")
+    full = dealt.join(nodes, "node")
+    full = (full.withColumn("lists", F.array().cast("array<long>")) if whole else full.join(lists, "node")).select(*columns, "weight", "lists", "member", "asks", "shards")
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for members, chunks in _groups(frames, ["shard", "block"], CHUNK):
@@ -250,7 +255,8 @@ def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap:
                 who = asking["node"].to_numpy()
                 own = at(who)
                 own = np.where(node[own] == who, own, -1)
-                cos = range_search(x, table, starts, _unit(asking["vector"]), own, least)
+                asked = _unit(asking["vector"])
+                cos = asked @ x.T if whole else range_search(x, table, starts, asked, own, least)
                 a, b = np.nonzero(cos >= least)
                 other = who[a] != node[b]
                 a, b = a[other], b[other]
@@ -271,25 +277,40 @@ def _search_shards(nodes: DataFrame, c: np.ndarray, shard: np.ndarray, overlap:
     return out.filter("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("found").alias("found")), out.filter("a <> b").select("a", "b")
 
 
-def recall(nodes: DataFrame, found: DataFrame, least: float, audit: int = AUDIT) -> float:
-    """Found links of a sample of nodes, as a share of those that all nodes show."""
-    some = nodes.orderBy(F.xxhash64(F.lit("audit"), "node")).limit(audit).toPandas()
-    x, ids = _unit(some["vector"]), some["node"].to_numpy()
-    sent = nodes.sparkSession.sparkContext.broadcast((x, ids))  # ``audit`` vectors
-
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x, ids = sent.value
-        total = np.zeros(len(ids), np.int64)
-        for frame in frames:
-            for i in range(0, len(frame), 4096):
-                part = frame.iloc[i:i + 4096]
-                hit = (x @ _unit(part["vector"]).T >= least) & (ids[:, None] != part["node"].to_numpy()[None])
-                total += hit @ part["weight"].to_numpy()
-        yield pd.DataFrame({"node": ids, "true": total})
-
-    true = nodes.mapInPandas(compare, "node long, true long").groupBy("node").agg(F.sum("true").alias("true"))
-    met = true.join(found, "node").agg(F.sum("true").alias("t"), F.sum(F.least("true", "found")).alias("f")).first()
-    return met.f / met.t if met.t else 1.0
+def recall(nodes: DataFrame, found: DataFrame, least: float) -> float:
+    """The mean share of its links that a node with links was found to have.  The sample is
+    drawn until ``LINKED`` such nodes are in it, or all nodes."""
+    n = nodes.count()
+    place = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(1 << 32))
+    begin, size, many, total = 0, AUDIT, 0, 0.0
+    while begin < 1 << 32 and many < LINKED:
+        end = min(1 << 32, begin + max(1, (size << 32) // n))
+        some = nodes.filter((place >= begin) & (place < end)).select("node", "vector").toPandas()
+        begin, size = end, min(4 * size, MOST_AUDIT)
+        if not len(some):
+            continue
+        # about ``MOST_AUDIT`` vectors
+        sent = nodes.sparkSession.sparkContext.broadcast((_unit(some["vector"]), some["node"].to_numpy()))
+
+        def compare(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            x, ids = sent.value
+            total = np.zeros(len(ids), np.int64)
+            step = max(64, 2_000_000 // len(ids))
+            for frame in frames:
+                for i in range(0, len(frame), step):
+                    part = frame.iloc[i:i + step]
+                    a, b = np.nonzero(x @ _unit(part["vector"]).T >= least)
+                    node, weight = part["node"].to_numpy(), part["weight"].to_numpy()
+                    other = ids[a] != node[b]
+                    total += np.bincount(a[other], weight[b[other]], len(ids)).astype(np.int64)
+            some = np.flatnonzero(total)
+            yield pd.DataFrame({"node": ids[some], "true": total[some]})
+
+        true = nodes.mapInPandas(compare, "node long, true long").groupBy("node").agg(F.sum("true").alias("true"))
+        share = F.least("true", F.coalesce("found", F.lit(0))) / F.col("true")
+        met = true.join(found, "node", "left").agg(F.count(F.lit(1)).alias("n"), F.sum(share).alias("s")).first()
+        many, total = many + met.n, total + (met.s or 0.0)
+    return total / many if many else 1.0
 
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.9) -> DataFrame:
@@ -314,7 +335,11 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     while True:
         found, links = _search_shards(nodes, c, shard, overlap, least)
         found = stored(found, "links")
-        if overlap >= min(MOST_OVERLAP, shard.max() + 1) or recall(nodes, found, least) >= GOAL:
+        if recall(nodes, found, least) >= GOAL:
+            break
+        if overlap >= min(MOST_OVERLAP, shard.max() + 1):
+            found, links = _search_shards(nodes, c[:1], shard[:1] * 0, 1, least, whole=True)
+            found = stored(found, "links")
             break
         overlap *= 2
     groups = components(links)

@@ -111,3 +111,29 @@ def test_a_link_counts_for_both_ends(spark, monkeypatch):
     joined = [i for i in range(400) if got[i].component_id == got[400 + i].component_id]
     assert len(joined) > 300
     assert all(got[i].n_links == got[400 + i].n_links == 1 for i in joined)
+
+
+def test_the_last_search_is_audited(spark, monkeypatch):
+    """Pairs near the limit, which overlap alone does not find, are found in the end."""
+    x = _pairs(5, 2400, 400)
+    links, low = _brute(x)
+    monkeypatch.setattr(vectorgraph, "MEMBERS", 30)
+    monkeypatch.setattr(vectorgraph, "OVERLAP", 1)
+    monkeypatch.setattr(vectorgraph, "MOST_OVERLAP", 1)
+    got = {r.vec_id: r for r in vectorgraph.near_duplicates(_frame(spark, x)).collect()}
+    assert [got[i].n_links for i in range(len(x))] == links.tolist()
+    assert [got[i].component_id for i in range(len(x))] == low.tolist()
+
+
+def test_audit_is_per_node_with_links(spark):
+    """A large group that was found does not hide pairs that were not, nor does their rarity."""
+    rng = np.random.default_rng(6)
+    x = _pairs(6, 3000, 20)
+    x[2900:] = x[2900] + rng.normal(size=(100, 64)) * 0.01
+    nodes = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "node long, weight long, vector array<float>")
+    links, _ = _brute(x)
+    found = spark.createDataFrame([(i, int(links[i]) if i >= 2900 else 0) for i in range(3000)], "node long, found long")
+    assert vectorgraph.recall(nodes, found, 0.9) < 0.9
+    assert vectorgraph.recall(nodes.filter("node < 2900"), found, 0.9) == 0.0
+    exact = spark.createDataFrame([(i, int(links[i])) for i in range(3000)], "node long, found long")
+    assert vectorgraph.recall(nodes, exact, 0.9) == 1.0

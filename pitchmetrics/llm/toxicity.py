@@ -4,9 +4,10 @@ A word's embedding is the mean of the rows of three hashed features: the word an
 first four and five letters.  Filters of widths 1 to 3 run over the words of the whole
 text, the largest value of each filter is kept, and a logistic unit gives the score.  The
 model is trained in numpy, in one task, on a bounded sample (``SAMPLE`` labelled
-documents of each class, by hash of the key, of at most ``LONGEST`` characters); a fifth
-of the sample, by hash too, only sets the threshold of each language.  Scoring covers
-every text as a whole.
+documents of each class, by hash of the key, of at most ``LONGEST`` characters), but for
+a fifth of it, by hash too.  All labelled texts that were not learnt from, whole and of
+any length, set the threshold of each language, with the classes (and long texts) at the
+shares they have among all labels of the language.  Scoring covers every text as a whole.
 
 Defined cases: a null or empty text has no words and gets the score of an empty text; a
 null or missing label is no label; a key labelled twice has its larger label; rows with
@@ -41,6 +42,8 @@ STEPS, BATCH = 700, 48
 CACHE_WORDS = 400_000
 #: labelled documents of each class that a language needs for a threshold of its own
 OWN_THRESHOLD = 8
+#: thresholds that are tried
+GRID = np.linspace(0.05, 0.95, 91)
 _EDGE = ".,;:!?\"'()[]{}<>«»„“”’…-–—*"
 
 
@@ -174,9 +177,8 @@ def train(texts: list[str], labels: np.ndarray, langs: list, tune: np.ndarray, s
 def _calibrate(model: Cnn, docs: list[np.ndarray], y: np.ndarray, langs: list) -> None:
     """Per language the middle of the thresholds with the fewest errors."""
     def best(score: np.ndarray, label: np.ndarray) -> float:
-        grid = np.linspace(0.05, 0.95, 91)
-        errors = np.array([((score >= t) != (label == 1)).sum() for t in grid])
-        return float(np.median(grid[errors == errors.min()]))
+        errors = np.array([((score >= t) != (label == 1)).sum() for t in GRID])
+        return float(np.median(GRID[errors == errors.min()]))
 
     if not docs:
         return
@@ -189,9 +191,42 @@ def _calibrate(model: Cnn, docs: list[np.ndarray], y: np.ndarray, langs: list) -
             model.thresholds[lang] = best(score[own], y[own])
 
 
+def _thresholds(model: Cnn, docs: DataFrame, marks: DataFrame, learnt: DataFrame) -> None:
+    """Sets the thresholds from all labelled rows of ``docs`` (k, t, g) that were not learnt
+    from; ``marks`` (k, y) are all labels, ``learnt`` (k) the keys of the sample learnt from."""
+    # at most two samples of keys are sent to every task
+    rows = (docs.filter(F.col("k").isNotNull()).withColumn("short", F.length(F.coalesce("t", F.lit(""))) <= LONGEST)
+            .join(F.broadcast(learnt.withColumn("seen", F.lit(True))), "k", "left")
+            .withColumn("held", ~(F.coalesce("seen", F.lit(False)) & F.col("short"))))
+    reached = F.size(F.filter(F.array(*map(F.lit, GRID.tolist())), lambda t: t <= F.col("score"))).alias("bin")
+    # scores meet the labels after the texts are gone, so that no text is shuffled
+    scored = score(rows, model, "t", "g").groupBy("k", "g", "short", "held", reached).count()
+    table = scored.join(marks, "k").groupBy("g", "y", "short", "held", "bin").agg(F.sum("count").alias("n")).toPandas()
+
+    def best(part: pd.DataFrame, least: int) -> float | None:
+        """The middle of the thresholds with the fewest errors; None: too few rows of a class."""
+        held = part[part["held"]]
+        if min(held.loc[held["y"] == y, "n"].sum() for y in (0, 1)) < least:
+            return None
+        counts = np.zeros((2, len(GRID) + 1))
+        for (y, _), some in part.groupby(["y", "short"]):
+            kept = some[some["held"]]
+            if len(kept):
+                np.add.at(counts[y], kept["bin"].to_numpy(), kept["n"].to_numpy() * (some["n"].sum() / kept["n"].sum()))
+        below = np.cumsum(counts, 1)[:, :-1]
+        errors = below[1] + counts[0].sum() - below[0]
+        return float(np.median(GRID[errors <= errors.min() + 1e-9 * counts.sum()]))
+
+    common = best(table, 1)
+    model.common = 0.5 if common is None else common
+    own = {lang: best(part, OWN_THRESHOLD) for lang, part in table.groupby("g")}
+    model.thresholds = {lang: t for lang, t in own.items() if t is not None}
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
         label: str = "toxic", sample: int = SAMPLE) -> Cnn:
-    """Learns from ``labels`` (key, label 0 or 1); at most ``sample`` documents a class."""
+    """Learns from ``labels`` (key, label 0 or 1); at most ``sample`` documents a class.  The
+    thresholds are set by all the others."""
     spark = docs.sparkSession
     marks = (labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1))
              .groupBy(F.col(key).alias("k")).agg(F.max(label).cast("int").alias("y")))
@@ -199,11 +234,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     for value in (0, 1):
         part = marks.filter(F.col("y") == value).orderBy(F.xxhash64("k"), "k").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
+    docs = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("g"))
+    tune = F.pmod(F.xxhash64(F.lit("tune"), "k"), F.lit(5)) == 0
     # at most two samples of keys are sent to every task
-    rows = (docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("g"))
-            .filter(F.length(F.coalesce("t", F.lit(""))) <= LONGEST).join(F.broadcast(chosen), "k")
+    rows = (docs.filter(F.length(F.coalesce("t", F.lit(""))) <= LONGEST).join(F.broadcast(chosen), "k")
             .groupBy("k").agg(F.min("t").alias("t"), F.min("g").alias("g"), F.min("y").alias("y"))
-            .withColumn("tune", F.pmod(F.xxhash64(F.lit("tune"), "k"), F.lit(5)) == 0))
+            .withColumn("tune", tune))
 
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("k")
@@ -214,7 +250,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     made = rows.groupBy().applyInPandas(learn, "model binary").collect()
     if made:
-        return pickle.loads(made[0].model)
+        model = pickle.loads(made[0].model)
+        if model.constant is None:
+            _thresholds(model, docs, marks, chosen.filter(~tune).select("k"))
+        return model
     model = Cnn([])
     model.constant = 0.0
     return model

@@ -29,11 +29,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of each SimHash group whose key is the smallest.  Rows that repeat a
-    key are one document; rows without a key are all kept."""
-    groups = simhash.near_duplicates(docs.filter(F.col("doc_id").isNotNull()))
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each SimHash group: that of the smallest key, rows without a key last; of
+    equal keys, that of the smallest hash of the text, and one of equal rows."""
+    # the ids of rows are fixed once they are written
+    rows = stored(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "row").alias("order")
+    groups = simhash.near_duplicates(rows.select(order, "text"), key="order")
+    gone = groups.filter("order.row <> component_id.row").select("order.row")
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,3 +51,15 @@ def test_odd_documents(spark):
         for _, stage in corpus_pipeline.STAGES:
             step = stage(spark, step, "/root/testdata/sf0.001")
         assert (step.count() == 0) == empty
+
+
+def test_one_row_of_each_group_stays(spark):
+    """A key with two texts loses only the copy; equal rows and copies without a key go."""
+    copy = "one two three four five six seven eight nine ten"
+    own = "quite other words that nobody else in this table has ever used before"
+    lone = "a third kind of sentence about rivers and mountains far away from here"
+    rows = [(1, copy), (2, copy), (2, own), (2, own), (None, copy), (None, lone), (None, lone)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_copies(spark, docs.repartition(3), SF)
+    assert got.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in got.collect()} == {(1, copy), (2, own), (None, lone)} and got.count() == 3

@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, hamming, linededup, lm, packing, sharding, simhash, toxicity, vectorgraph
+from . import bpe, chat, decompose, hamming, linededup, lm, packing, sharding, simhash, toxicity, variants, vectorgraph, whitening
 from .common import table
 
 #: the vocabulary file of the queries; the operators take it as a parameter
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,8 +64,20 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), toxicity.fold("doc_id", 7) == 2)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decompose.pack(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"), slip=97)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_roundtrip, op2_chat_format, op3_line_dedup, op4_simhash, op5_best_fit_packing, op6_embedding_dedup, op7_exact_top_k,
-    op8_toxicity, op9_sharding, op10_lm_score)}
+    op8_toxicity, op9_sharding, op10_lm_score, op11_embedding_whitening, op12_packing, op13_spelling_variants)}
 ORACLE: dict[str, str] = {"op2_chat_format": chat.sql("conversations"), "op3_line_dedup": linededup.sql("documents"),
-                          "op7_exact_top_k": hamming.sql("embeddings")}
+                          "op7_exact_top_k": hamming.sql("embeddings"), "op13_spelling_variants": variants.sql("documents")}

@@ -8,8 +8,10 @@ disjoint bigrams of its prefix, unspoilt in the prefix of the other.  A dynamic
 over the positions picks the two with the fewest occurrences.  Pivots are indexed against
 the prefixes of other words; an unspoilt pivot has everything on one of its sides unspoilt
 too, which fixes its position there from that end: the key of the index is a hash of that
-side with the bigram, and the other word's length, which is at most one off.  What meets is
-verified by edit distance: in the join, or, for words of ``LONG`` code points and more, whose
+side with the bigram, and the other word's length, which is at most one off.  Where that
+side is no longer than ``WEAK``, so that many words share it, the key also has a part of the
+other side: the edit spoils either the ``NEAR`` code points next to the bigram's side or the
+rest, so one of two keys stays.  What meets is verified by edit distance: in the join, or, for words of ``LONG`` code points and more, whose
 texts do not go through the index, after it.
 
 A word's form is its near word of largest n, the smallest in code-point order of equal
@@ -36,7 +38,11 @@ from .common import lower_ascii, stored
 RUN = r"[A-Za-zÀ-ÿ]+"
 #: words of this length on go through the index without their texts
 LONG = 64
+#: sides up to this length, whose keys have more in them
+WEAK = 3
+NEAR = 3
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _FAR = np.int64(1) << 40
 
 
@@ -112,25 +118,48 @@ class Grams:
         kept = rank[gram] <= third[word]
         self.word, self.pos, self.freq = word[kept], place[at][kept], freq[gram[kept]]
         self.pivots = np.concatenate(two_rarest(self.word, self.pos, self.freq, rank[gram[kept]], len(words)))
-        # hashes of the code points up to the bigram's end, and from its start
-        power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(max(size.max(initial=0), 1), _BASE, np.uint64))])
-        letter = (code + 1).astype(np.uint64)
-        up = np.concatenate([[np.uint64(0)], np.cumsum(letter * power[place])])
-        down = np.concatenate([[np.uint64(0)], np.cumsum(letter * power[size[owner] - 1 - place])])
-        begin = start[self.word]
-        self.head = (up[begin + self.pos + 2] - up[begin]).view(np.int64)
-        self.tail = (~(down[begin + size[self.word]] - down[begin + self.pos])).view(np.int64)
-
-    def rows(self, of: np.ndarray, lengths: np.ndarray, shifts: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, key, length of the other word) of the bigrams ``of``, both sides each."""
-        word = np.tile(np.concatenate([self.word[of]] * 2), len(shifts))
-        key = np.tile(np.concatenate([self.head[of], self.tail[of]]), len(shifts))
-        return word, key, lengths[word] + np.repeat(np.array(shifts), 2 * len(of))
+        # sums of letter * base^place, from which any part's hash follows
+        most = max(size.max(initial=0), 1)
+        power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(most, _BASE, np.uint64))])
+        self.back = np.concatenate([[np.uint64(1)], np.cumprod(np.full(most, _INVERSE, np.uint64))])
+        self.up = np.concatenate([[np.uint64(0)], np.cumsum((code + 1).astype(np.uint64) * power[place])])
+        self.start, self.size = start[self.word], size[self.word]
+
+    def _part(self, of: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the code points begin to end of the words of the bigrams ``of``."""
+        return (self.up[self.start[of] + end] - self.up[self.start[of] + begin]) * self.back[begin]
+
+    def rows(self, of: np.ndarray, pivot: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, key, length of the word on the prefix side) of the bigrams ``of``."""
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        pos, size, zero = self.pos[of], self.size[of], np.zeros(len(of), np.int64)
+        for tail in (False, True):
+            side = size - pos if tail else pos + 2
+            key = (self._part(of, pos, size) if tail else self._part(of, zero, pos + 2)) * np.uint64(3) + np.uint64(tail)
+            other = size - side
+
+            def stretch(begin: np.ndarray, end: np.ndarray, tag: int) -> np.ndarray:
+                """The key with a part of the other side, counted from the bigram's side on."""
+                part = self._part(of, other - end, other - begin) if tail else self._part(of, side + begin, side + end)  # noqa: B023
+                return (key * _BASE + part) * np.uint64(5) + np.uint64(tag)  # noqa: B023
+
+            # by the length of the prefix's word less that of the pivot's: (that word's length, the shorter other side)
+            cases = [(size + d, other + min(d, 0), d == 1) for d in (-1, 0, 1)] if pivot else [(size, other, False), (size, other - 1, True)]
+            for k, (length, shorter, grown) in enumerate(cases):
+                weak = (side <= WEAK) & (length - side > NEAR)
+                far = stretch(np.minimum(other - shorter + NEAR, other), other, 2 + grown)
+                if pivot or k == 0:  # a prefix has one key for all lengths of the pivot's word here
+                    out.append((of[~weak], key[~weak], length[~weak]))
+                    near = stretch(zero, np.minimum(zero + NEAR, other), 1)
+                    out.append((of[weak], near[weak], length[weak]))
+                out.append((of[weak], far[weak], length[weak]))
+        word, key, length = (np.concatenate(x) for x in zip(*out, strict=True))
+        return self.word[word], key.view(np.int64), length
 
 
 def index(vocabulary: DataFrame) -> DataFrame:
     """(id, n, word, pivot, key, length): the keys of the pivots of (id, word, n), where
-    ``pivot``, and of the prefixes.  ``word`` is null in the rows for the long words."""
+    ``pivot``, and of the prefixes.  Rows for the long words have the id, others the word."""
     freq, rank = _ranks(vocabulary)
     names = ["id", "n", "word", "pivot", "key", "length"]
 
@@ -140,15 +169,15 @@ def index(vocabulary: DataFrame) -> DataFrame:
             for begin, end in _slices(words):
                 part, lengths = words[begin:end], np.array([len(w) for w in words[begin:end]], np.int64)
                 grams = Grams(part, freq, rank)
-                for of, pivot, shifts in ((grams.pivots, True, (-1, 0, 1)), (np.arange(len(grams.word)), False, (0,))):
-                    word, key, length = grams.rows(of, lengths, shifts)
+                for of, pivot in ((grams.pivots, True), (np.arange(len(grams.word)), False)):
+                    word, key, length = grams.rows(of, pivot)
                     for long in (False, True):
                         own = np.flatnonzero(lengths[word] >= LONG if long else lengths[word] <= LONG)
                         if not len(own):
                             continue
                         rows = pa.array(begin + word[own])
                         yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(rows), batch.column(2).take(rows),
+                            [batch.column(0).take(rows) if long else pa.nulls(len(own), pa.int64()), batch.column(2).take(rows),
                              pa.nulls(len(own), pa.string()) if long else batch.column(1).take(rows).cast(pa.string()),
                              pa.array(np.full(len(own), pivot)), pa.array(key[own]), pa.array(length[own].astype(np.int32))], names)
 

@@ -50,10 +50,17 @@ def parse_count(value: str | Column) -> Column:
     return F.trim(value.cast("string")).try_cast("int")
 
 
+def parse_date(value: str | Column) -> Column:
+    """A date written as text, as DATE; NULL when it is not one."""
+    value = F.col(value) if isinstance(value, str) else value
+    return value.cast("string").try_cast("date")
+
+
 def match_date_of(dateutc: str | Column) -> Column:
-    """Match date from a UTC timestamp string: its first 10 characters."""
+    """Match date from a UTC timestamp string: its first 10 characters, NULL where they
+    are no date."""
     dateutc = F.col(dateutc) if isinstance(dateutc, str) else dateutc
-    return F.to_date(F.substring(dateutc, 1, 10))
+    return parse_date(F.substring(dateutc, 1, 10))
 
 
 def age_days(on_date: str | Column, birth_date: str | Column) -> Column:

@@ -35,18 +35,26 @@ def match_pair_steps(ratings: DataFrame) -> DataFrame:
                         F.col("b.player_id").alias("player_id_2"), step.alias("step"))
 
 
-def player_chemistry(ratings: DataFrame, initial: float = C.INITIAL_CHEMISTRY) -> DataFrame:
+def pair_sums(steps: DataFrame) -> DataFrame:
+    """(player_id_1 < player_id_2, steps): sums of a pair's steps; sums of disjoint sets of
+    matches add up to the sum of their union."""
+    return steps.groupBy("player_id_1", "player_id_2").agg(F.sum("step").alias("steps"))
+
+
+def chemistry_from_sums(sums: DataFrame, initial: float = C.INITIAL_CHEMISTRY) -> DataFrame:
     """(player_id_1, player_id_2, chemistry), both directions of every pair."""
-    one_way = (match_pair_steps(ratings)
-               .groupBy("player_id_1", "player_id_2")
-               .agg((F.lit(initial) + F.sum("step")).alias("chemistry")))
     both = F.explode(F.array(
         F.struct(F.col("player_id_1").alias("p1"), F.col("player_id_2").alias("p2")),
         F.struct(F.col("player_id_2").alias("p1"), F.col("player_id_1").alias("p2"))))
-    return (one_way.select(both.alias("e"), "chemistry")
+    return (sums.select(both.alias("e"), (F.lit(initial) + F.col("steps")).alias("chemistry"))
             .select(F.col("e.p1").alias("player_id_1"), F.col("e.p2").alias("player_id_2"), "chemistry"))
 
 
+def player_chemistry(ratings: DataFrame, initial: float = C.INITIAL_CHEMISTRY) -> DataFrame:
+    """(player_id_1, player_id_2, chemistry), both directions of every pair."""
+    return chemistry_from_sums(pair_sums(match_pair_steps(ratings)), initial)
+
+
 def group_chemistry(groups: DataFrame, chemistry: DataFrame, group_col: str = "prediction") -> DataFrame:
     """Mean chemistry of the pairs whose first player belongs to each group
     (groups: player_id -> group).  One partial+final aggregate for all groups."""

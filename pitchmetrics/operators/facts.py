@@ -49,22 +49,31 @@ def match_counts(players: DataFrame, facts: DataFrame) -> DataFrame:
             .na.fill({"number_of_matches": 0}))
 
 
-def player_totals(players: DataFrame, facts: DataFrame, pass_accuracy: DataFrame) -> DataFrame:
-    """Career totals per player (fouls, goals, own goals, shots on target, matches
-    with minutes > 0) plus the whole-stream pass accuracy; every player is kept,
-    with zeros when they never played.  One partial+final aggregate on player_id."""
-    totals = facts.groupBy("player_id").agg(
+def career_sums(facts: DataFrame) -> DataFrame:
+    """Per player of ``facts``: fouls, goals, own goals, shots on target, matches with
+    minutes > 0; sums of disjoint sets of matches add up."""
+    return facts.groupBy("player_id").agg(
         F.sum("number_of_fouls").cast("bigint").alias("number_of_fouls"),
         F.sum("number_of_goals").cast("bigint").alias("number_of_goals"),
         F.sum("number_of_own_goals").cast("bigint").alias("number_of_own_goals"),
         F.sum("no_of_shots_on_target").cast("bigint").alias("number_of_shots_on_target"),
         F.sum(F.when(F.col("minutes_played") > 0, 1).otherwise(0)).cast("bigint").alias("number_of_matches"),
     )
+
+
+def totals_from_sums(players: DataFrame, sums: DataFrame, pass_accuracy: DataFrame) -> DataFrame:
+    """Career totals of every player, with zeros for those who never played."""
     pa = pass_accuracy.select("player_id", "pass_accuracy")
-    out = (players.join(totals, "player_id", "left").join(pa, "player_id", "left")
+    out = (players.join(sums, "player_id", "left").join(pa, "player_id", "left")
            .na.fill({"number_of_fouls": 0, "number_of_goals": 0, "number_of_own_goals": 0,
                      "number_of_shots_on_target": 0, "number_of_matches": 0, "pass_accuracy": 0.0}))
     return out.select(
         "player_id", "name", "role", "foot", "birth_date", "birth_area", "passport_area", "height", "weight",
         "number_of_fouls", "number_of_goals", "number_of_own_goals", "number_of_matches",
         "number_of_shots_on_target", "pass_accuracy")
+
+
+def player_totals(players: DataFrame, facts: DataFrame, pass_accuracy: DataFrame) -> DataFrame:
+    """Career totals per player plus the whole-stream pass accuracy; every player is kept.
+    One partial+final aggregate on player_id."""
+    return totals_from_sums(players, career_sums(facts), pass_accuracy)

@@ -147,45 +147,64 @@ def match_metrics(events: DataFrame) -> DataFrame:
 
 # --- whole-stream pass accuracy ------------------------------------------------------
 
-def stream_pass_sums(events: DataFrame, bucket_width: int = 4096) -> DataFrame:
-    """Per (match, player): the sums of the *running* pass numerator and denominator
-    over the match's tagged passes, i.e. sum_t N_t where N_t is the running total
-    after the t-th pass.  With T passes and pass i at rank r_i this equals
-    (T + 1) * sum(w) - sum(w * r).
+SEGMENT = ("t", "wn", "wd", "rn", "rd")
 
-    Skew-safe: ranks are computed inside (match, player, seq bucket) windows whose
-    size is bounded by ``bucket_width``; each bucket is then shifted by the pass
-    count of the earlier buckets, found with a window over the (small) bucket table.
-    All arithmetic is on BIGINT, so the result is exact."""
+
+def pass_segments(events: DataFrame, bucket_width: int = 4096) -> DataFrame:
+    """Running-sum states of the tagged passes, one per (match, player, bucket of seq): the
+    number of passes t, the sums of their weights wn and wd, and the sums rn and rd of
+    weight times rank, ranks counted inside the bucket.  The width bounds a window."""
     ev = with_tag_bits(player_events(events).filter(is_tagged() & (F.col("event_id") == C.EVENT_PASS)))
     num, den = pass_weights()
     ev = ev.select("match_id", "player_id", "seq", num.alias("wn"), den.alias("wd"),
                    F.floor(F.col("seq") / bucket_width).cast("bigint").alias("bucket"))
     local_rank = F.row_number().over(Window.partitionBy("match_id", "player_id", "bucket").orderBy("seq"))
-    buckets = (ev.withColumn("lr", local_rank.cast("bigint"))
-               .groupBy("match_id", "player_id", "bucket")
-               .agg(F.count(F.lit(1)).cast("bigint").alias("c"),
-                    F.sum("wn").cast("bigint").alias("wn"), F.sum("wd").cast("bigint").alias("wd"),
-                    F.sum(F.col("wn") * F.col("lr")).cast("bigint").alias("ln"),
-                    F.sum(F.col("wd") * F.col("lr")).cast("bigint").alias("ld")))
-    earlier = Window.partitionBy("match_id", "player_id").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    shifted = buckets.withColumn("before", F.coalesce(F.sum("c").over(earlier), F.lit(0)).cast("bigint"))
-    return (shifted.groupBy("match_id", "player_id")
-            .agg(F.sum("c").cast("bigint").alias("t"),
+    return (ev.withColumn("lr", local_rank.cast("bigint"))
+            .groupBy("match_id", "player_id", "bucket")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("t"),
                  F.sum("wn").cast("bigint").alias("wn"), F.sum("wd").cast("bigint").alias("wd"),
-                 F.sum(F.col("ln") + F.col("wn") * F.col("before")).cast("bigint").alias("rn"),
-                 F.sum(F.col("ld") + F.col("wd") * F.col("before")).cast("bigint").alias("rd"))
-            .select("match_id", "player_id",
-                    ((F.col("t") + 1) * F.col("wn") - F.col("rn")).alias("running_numerator"),
-                    ((F.col("t") + 1) * F.col("wd") - F.col("rd")).alias("running_denominator")))
+                 F.sum(F.col("wn") * F.col("lr")).cast("bigint").alias("rn"),
+                 F.sum(F.col("wd") * F.col("lr")).cast("bigint").alias("rd")))
+
+
+def merge_pass_segments(segments: DataFrame, bucket: str = "bucket", keys: Sequence[str] = ("match_id", "player_id")) -> DataFrame:
+    """The state of each key's passes from states of segments that follow each other in the
+    order of ``bucket``.  Segment A before B merges to t = tA + tB, w = wA + wB and
+    r = rA + rB + tA * wB, as B's ranks move up by A's passes; so any cut gives the same."""
+    earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    shifted = segments.withColumn("before", F.coalesce(F.sum("t").over(earlier), F.lit(0)).cast("bigint"))
+    return shifted.groupBy(*keys).agg(
+        F.sum("t").cast("bigint").alias("t"), F.sum("wn").cast("bigint").alias("wn"), F.sum("wd").cast("bigint").alias("wd"),
+        F.sum(F.col("rn") + F.col("wn") * F.col("before")).cast("bigint").alias("rn"),
+        F.sum(F.col("rd") + F.col("wd") * F.col("before")).cast("bigint").alias("rd"))
+
+
+def stream_pass_sums(events: DataFrame, bucket_width: int = 4096) -> DataFrame:
+    """Per (match, player): the sums of the *running* pass numerator and denominator
+    over the match's tagged passes, i.e. sum_t N_t where N_t is the running total
+    after the t-th pass.  With T passes and pass i at rank r_i this equals
+    (T + 1) * sum(w) - sum(w * r).
+
+    Skew-safe: windows are bounded by ``bucket_width``; a match's few segments are merged
+    after.  All arithmetic is on BIGINT, so the result is exact."""
+    whole = merge_pass_segments(pass_segments(events, bucket_width))
+    return whole.select("match_id", "player_id",
+                        ((F.col("t") + 1) * F.col("wn") - F.col("rn")).alias("running_numerator"),
+                        ((F.col("t") + 1) * F.col("wd") - F.col("rd")).alias("running_denominator"))
+
+
+def stream_pass_totals(sums: DataFrame) -> DataFrame:
+    """(player_id, numerator, denominator) over all matches of ``sums``."""
+    return sums.groupBy("player_id").agg(F.sum("running_numerator").cast("bigint").alias("numerator"),
+                                         F.sum("running_denominator").cast("bigint").alias("denominator"))
 
 
 def stream_pass_accuracy(events: DataFrame) -> DataFrame:
     """Whole-stream pass accuracy per player: sum of running numerators over sum of
     running denominators across all matches (0 when the denominator is 0).  Not
     restricted to match participants."""
-    return (stream_pass_sums(events).groupBy("player_id")
-            .agg(F.sum("running_numerator").cast("bigint").alias("numerator"),
-                 F.sum("running_denominator").cast("bigint").alias("denominator"))
-            .withColumn("pass_accuracy", ratio(F.col("numerator"), F.col("denominator"))))
+    return with_pass_accuracy(stream_pass_totals(stream_pass_sums(events)))
+
+
+def with_pass_accuracy(totals: DataFrame) -> DataFrame:
+    return totals.withColumn("pass_accuracy", ratio(F.col("numerator"), F.col("denominator")))

@@ -40,10 +40,11 @@ def _fold(items: str, start: Column, carry: tuple[str, ...]) -> Column:
 
 
 def rating_history(facts: DataFrame, initial: float = C.INITIAL_RATING, block_days: int = BLOCK_DAYS,
-                   carry: tuple[str, ...] = ()) -> DataFrame:
+                   carry: tuple[str, ...] = (), base: DataFrame | None = None) -> DataFrame:
     """(player_id, match_date, match_id, old_rating, rating, change_in_rating), one row
     per fact row, and the fact columns named in ``carry`` as text.  ``facts`` needs
-    player_id, match_date, match_id, player_performance."""
+    player_id, match_date, match_id, player_performance.  ``base`` (player_id, rating):
+    players whose history goes on from that rating instead of ``initial``."""
     block = F.floor(F.datediff("match_date", F.lit("1970-01-01").cast("date")) / block_days).cast("bigint")
     item = F.struct("match_date", "match_id", *[F.col(c).cast("string").alias(c) for c in carry],
                     F.col("player_performance").cast("double").alias("perf"))
@@ -52,7 +53,11 @@ def rating_history(facts: DataFrame, initial: float = C.INITIAL_RATING, block_da
     end = F.aggregate("items", F.lit(0.0).cast("double"), lambda acc, x: (acc + x["perf"]) / 2)
     chains = (blocks.select("player_id", F.struct("block", F.size("items").alias("n"), end.alias("end")).alias("b"))
               .groupBy("player_id").agg(F.sort_array(F.collect_list("b")).alias("chain")))
-    start = F.struct(F.lit(float(initial)).alias("x"), F.array().cast("array<struct<block:bigint,x:double>>").alias("starts"))
+    chains = chains.withColumn("initial", F.lit(float(initial)))
+    if base is not None:
+        chains = (chains.join(base.select("player_id", F.col("rating").alias("reached")), "player_id", "left")
+                  .withColumn("initial", F.coalesce("reached", "initial")))
+    start = F.struct(F.col("initial").alias("x"), F.array().cast("array<struct<block:bigint,x:double>>").alias("starts"))
 
     def step(acc: Column, b: Column) -> Column:
         return F.struct((acc["x"] * F.pow(F.lit(2.0), -b["n"].cast("double")) + b["end"]).alias("x"),

@@ -2,14 +2,15 @@
 
 label = rating at each match, features = age in days and its square, no
 regularisation (ordinary least squares).  Instead of one MLlib fit per player or
-per cluster, each group's normal equations are built from algebraic sums and
-solved in closed form (Cramer's rule), so *all* groups are fitted by two
-partial+final aggregates:
+per cluster, *all* groups are fitted from mergeable moments:
 
-1. per group: n, mean age, min and max age;
-2. per group, with x = age - mean age (centred, so x^4 stays well conditioned):
-   sums of x, x^2, x^3, x^4, y, x*y, x^2*y and the count of ages strictly
-   between min and max.
+1. :func:`age_moments`, one aggregate over the rows: per group and block of 64 days of
+   age, the count, the power sums of u = age - (the block's middle) up to u^4, the sums of
+   y, u*y and u^2*y, and a bit per age that occurs.  |u| is at most 32, so nothing cancels,
+   and all of it is a sum (or a bitwise or): moments of disjoint sets of rows add up
+   (:func:`merge_moments`), so they can be kept per player and brought up to date by batch;
+2. :func:`fit_from_moments`, over the few blocks of a group: the mean age, the moments
+   shifted to it (binomially), and the normal equations in closed form (Cramer's rule).
 
 With one distinct age the fit is the mean, with two it is a line, otherwise a
 parabola (the degree a least-squares fit supports).
@@ -39,28 +40,48 @@ def _det3(a, b, c, d, e, f, g, h, i) -> Column:
     return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
 
 
-def fit_quadratic(training: DataFrame, keys: Sequence[str], x: str = "age", y: str = "rating",
-                  few_keys: bool = False) -> DataFrame:
-    """Per key: (n_points, degree, mean_age, b0, b1, b2) of y ~ b0 + b1*u + b2*u^2,
-    u = x - mean_age.  Rows without x or y are no points.  ``few_keys``: the keys are a
-    small fixed set of groups, so the table of their means is sent to all tasks and no
-    group's rows are gathered by key."""
+#: days of age in a block, one bit each
+BLOCK = 64
+MOMENTS = ("n", "s1", "s2", "s3", "s4", "t0", "t1", "t2")
+
+
+def age_moments(training: DataFrame, keys: Sequence[str], x: str = "age", y: str = "rating") -> DataFrame:
+    """(keys, block, moments, ages): the moments of the rows that have an ``x`` (whole days)
+    and a ``y``, per block of ages."""
+    t = (training.select(*keys, F.col(x).cast("bigint").alias("x"), F.col(y).cast("double").alias("y"))
+         .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+         .withColumn("block", F.floor(F.col("x") / BLOCK).cast("bigint")))
+    u = (F.col("x") - F.col("block") * BLOCK - BLOCK // 2).cast("double")
+    bit = F.expr(f"shiftleft(1L, cast(x - block * {BLOCK} as int))")
+    return t.groupBy(*keys, "block").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.sum(u).alias("s1"), F.sum(u * u).alias("s2"), F.sum(u * u * u).alias("s3"),
+        F.sum(u * u * u * u).alias("s4"), F.sum("y").alias("t0"), F.sum(u * F.col("y")).alias("t1"),
+        F.sum(u * u * F.col("y")).alias("t2"), F.bit_or(bit).alias("ages"))
+
+
+def merge_moments(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per group and block from moments of disjoint sets of rows."""
+    return moments.groupBy(*keys, "block").agg(*[F.sum(c).alias(c) for c in MOMENTS], F.bit_or("ages").alias("ages"))
+
+
+def fit_from_moments(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per group: (n_points, degree, mean_age, b0, b1, b2) of y ~ b0 + b1*u + b2*u^2,
+    u = x - mean_age."""
     keys = list(keys)
-    t = (training.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-         .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    first = t.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("x").alias("mean_age"),
-                                 F.min("x").alias("lo"), F.max("x").alias("hi"))
-    u = F.col("x") - F.col("mean_age")
-    sums = (t.join(F.broadcast(first) if few_keys else first, keys)
-            .groupBy(*keys, "n", "mean_age", "lo", "hi")
-            .agg(F.sum(u).alias("s1"), F.sum(u * u).alias("s2"), F.sum(u * u * u).alias("s3"),
-                 F.sum(u * u * u * u).alias("s4"), F.sum("y").alias("t0"), F.sum(u * F.col("y")).alias("t1"),
-                 F.sum(u * u * F.col("y")).alias("t2"),
-                 F.sum(F.when((F.col("x") > F.col("lo")) & (F.col("x") < F.col("hi")), 1).otherwise(0))
-                 .alias("interior")))
-    n = F.col("n").cast("double")
-    s1, s2, s3, s4 = F.col("s1"), F.col("s2"), F.col("s3"), F.col("s4")
+    middle = F.col("block") * BLOCK + BLOCK // 2
+    first = moments.groupBy(*keys).agg(
+        F.sum("n").alias("n_points"), (F.sum(F.col("n") * middle + F.col("s1")) / F.sum("n")).alias("mean_age"),
+        F.sum(F.bit_count("ages")).alias("distinct"))
+    d = middle - F.col("mean_age")
+    n, s1, s2, s3, s4 = (F.col(c) for c in ("n", "s1", "s2", "s3", "s4"))
     t0, t1, t2 = F.col("t0"), F.col("t1"), F.col("t2")
+    sums = (moments.join(first, keys).groupBy(*keys, "n_points", "mean_age", "distinct").agg(
+        F.sum(s1 + n * d).alias("s1"),
+        F.sum(s2 + s1 * d * 2 + n * d * d).alias("s2"),
+        F.sum(s3 + s2 * d * 3 + s1 * d * d * 3 + n * d * d * d).alias("s3"),
+        F.sum(s4 + s3 * d * 4 + s2 * d * d * 6 + s1 * d * d * d * 4 + n * d * d * d * d).alias("s4"),
+        F.sum(t0).alias("t0"), F.sum(t1 + t0 * d).alias("t1"), F.sum(t2 + t1 * d * 2 + t0 * d * d).alias("t2")))
+    n = F.col("n_points").cast("double")
     det = _det3(n, s1, s2, s1, s2, s3, s2, s3, s4)
     q0 = _det3(t0, s1, s2, t1, s2, s3, t2, s3, s4) / det
     q1 = _det3(n, t0, s2, s1, t1, s3, s2, t2, s4) / det
@@ -68,14 +89,19 @@ def fit_quadratic(training: DataFrame, keys: Sequence[str], x: str = "age", y: s
     det2 = n * s2 - s1 * s1
     l0 = (t0 * s2 - s1 * t1) / det2
     l1 = (n * t1 - s1 * t0) / det2
-    degree = (F.when(F.col("lo") == F.col("hi"), 0).when(F.col("interior") == 0, 1).otherwise(2))
+    degree = F.least(F.col("distinct") - 1, F.lit(2)).cast("int")
     return sums.select(
-        *keys, F.col("n").alias("n_points"), degree.alias("degree"), "mean_age",
+        *keys, F.col("n_points").cast("bigint").alias("n_points"), degree.alias("degree"), "mean_age",
         F.when(degree == 0, t0 / n).when(degree == 1, l0).otherwise(q0).alias("b0"),
         F.when(degree == 0, F.lit(0.0)).when(degree == 1, l1).otherwise(q1).alias("b1"),
         F.when(degree == 2, q2).otherwise(F.lit(0.0)).alias("b2"))
 
 
+def fit_quadratic(training: DataFrame, keys: Sequence[str], x: str = "age", y: str = "rating") -> DataFrame:
+    """Per key: (n_points, degree, mean_age, b0, b1, b2); rows without x or y are no points."""
+    return fit_from_moments(age_moments(training, keys, x, y), keys)
+
+
 def predict(coef_prefix: str = "") -> Column:
     """b0 + b1*u + b2*u^2 at u = age - mean_age (columns ``age`` and the coefficients)."""
     p = coef_prefix
@@ -95,7 +121,7 @@ def group_models(features: DataFrame, groups: DataFrame, totals: DataFrame, grou
     members = (groups.select("player_id", group_col)
                .join(totals.select("player_id", "number_of_matches"), "player_id")
                .filter(F.col("number_of_matches") < max_matches).select("player_id", group_col))
-    return fit_quadratic(features.join(members, "player_id"), [group_col], few_keys=True)
+    return fit_quadratic(features.join(members, "player_id"), [group_col])
 
 
 def rating_predictions(targets: DataFrame, players: DataFrame, totals: DataFrame, player_fit: DataFrame,
@@ -109,8 +135,7 @@ def rating_predictions(targets: DataFrame, players: DataFrame, totals: DataFrame
          .withColumn("age", age_days("date", "birth_date")))
     pf = player_fit.select("player_id", *[F.col(c).alias(f"p_{c}") for c in ("mean_age", "b0", "b1", "b2")])
     gf = group_fit.select(group_col, *[F.col(c).alias(f"g_{c}") for c in ("mean_age", "b0", "b1", "b2")])
-    # one row per group
-    j = t.join(pf, "player_id", "left").join(F.broadcast(gf), group_col, "left")
+    j = t.join(pf, "player_id", "left").join(gf, group_col, "left")
     use_group = F.coalesce(F.col("number_of_matches"), F.lit(0)) < threshold
     return j.select(
         *targets.columns,

@@ -1,8 +1,8 @@
 """Answering batches of requests with joins instead of per-request lookups.
 
 A request table has one row per request: ``request_kind`` is 'forecast'
-(req_type 1), 'profile' (req_type 2), 'match' (no req_type) or 'ignored'
-(any other req_type).  Every answer is a join of the requests with a table, so
+(req_type 1), 'profile' (req_type 2), 'match' (no req_type), 'ignored'
+(any other req_type) or 'rejected' (a line that is no request).  Every answer is a join of the requests with a table, so
 the number of Spark jobs does not grow with the number of requests.
 """
 
@@ -28,6 +28,19 @@ def route_requests(requests: DataFrame) -> DataFrame:
     return requests.withColumn("request_kind", kind)
 
 
+def unique_requests(requests: DataFrame) -> DataFrame:
+    """One row per ``request_id``; of different rows with one id, the one that is smallest
+    as JSON text."""
+    rest = [c for c in requests.columns if c != "request_id"]
+    return (requests.groupBy("request_id").agg(F.min_by(F.struct(*rest), F.to_json(F.struct(*rest))).alias("q"))
+            .select("request_id", "q.*").select(*requests.columns))
+
+
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """(request_id, error) of the lines that are no requests."""
+    return requests.filter(F.col("request_kind") == "rejected").select("request_id", F.lit(C.INVALID).alias("error"))
+
+
 def first_by_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per ``key``: the row with the smallest ``order`` (partial+final
     aggregate; no window over a possibly hot key)."""
@@ -145,8 +158,7 @@ def lineup_chemistry(lineups: DataFrame, totals: DataFrame, chemistry: DataFrame
         F.col("a.nm").alias("nm1"), F.col("b.nm").alias("nm2"), F.col("a.grp").alias("grp1"))
     chem = chemistry.select(F.col("player_id_1").alias("p1"), F.col("player_id_2").alias("p2"), "chemistry")
     gavg = group_avg.select(F.col(group_col).alias("grp1"), F.col("avg_chemistry").alias("g1"))
-    # one row per group
-    j = pairs.join(chem, ["p1", "p2"], "left").join(F.broadcast(gavg), "grp1", "left")
+    j = pairs.join(chem, ["p1", "p2"], "left").join(gavg, "grp1", "left")
     nm1 = F.coalesce(F.col("nm1"), F.lit(0))
     nm2 = F.coalesce(F.col("nm2"), F.lit(0))
     direct = ((nm1 >= threshold) & (nm2 >= threshold)) | ((nm1 <= threshold) & (nm2 <= threshold))
@@ -161,7 +173,7 @@ def forecasts(requests: DataFrame, roles: DataFrame, slot_chemistry: DataFrame,
     """Win chances per forecast request: side strength = sum(chemistry * predicted
     rating) / 11; chance1 = (0.5 + s1 - (s1 + s2) / 2) * 100, chance2 = 100 - chance1
     (no clamp).  ``legacy=True`` keeps side 2's strength at 0, as the source does.
-    An invalid request gets ``result = 'Invalid'``, a valid one with a player who has no
+    An invalid request, or one without a date, gets ``result = 'Invalid'``, a valid one with a player who has no
     predicted rating or no chemistry 'Unrated'; neither has strengths or chances."""
     j = slot_chemistry.join(slot_ratings.select("request_id", "side", "slot", "predicted_rating"),
                             ["request_id", "side", "slot"], "left")
@@ -175,9 +187,9 @@ def forecasts(requests: DataFrame, roles: DataFrame, slot_chemistry: DataFrame,
     chance1 = (F.lit(0.5) + s1 - (s1 + s2) / 2) * 100
     valid = roles.groupBy("request_id").agg(F.min(F.col("request_valid").cast("int")).alias("ok"))
     fc = requests.filter(F.col("request_kind") == "forecast").select(
-        "request_id", F.col("team1")["name"].alias("team1_name"), F.col("team2")["name"].alias("team2_name"))
+        "request_id", "date", F.col("team1")["name"].alias("team1_name"), F.col("team2")["name"].alias("team2_name"))
     out = fc.join(valid, "request_id", "left").join(strength, "request_id", "left")
-    valid_ = F.coalesce(F.col("ok") == 1, F.lit(False))
+    valid_ = F.coalesce(F.col("ok") == 1, F.lit(False)) & F.col("date").isNotNull()
     ok = valid_ & F.coalesce(F.col("rated") == 1, F.lit(False))
     return out.select(
         "request_id", "team1_name", "team2_name",

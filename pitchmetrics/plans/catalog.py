@@ -222,7 +222,7 @@ def player_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
                     R("pass_accuracy").alias("pass_accuracy"), "error")
 
 
-# --- models (oracle form groups players by role; k-means ids have no SQL twin) ------------
+# --- models (groups of players: roles, or k-means clusters) -------------------------------
 
 ORACLE_GROUP = "role"
 PREDICTION_DATE = "2024-02-15"
@@ -264,18 +264,33 @@ def chemistry_group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(ORACLE_GROUP, R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
 
 
+CLUSTERED = ("match_facts", "player_totals", "cluster_centres")
+
+
 @query
 def player_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _season(spark, sf_dir, "match_facts", "player_totals").clusters
+    c = _season(spark, sf_dir, *CLUSTERED).clusters
     return c.select("player_id", _big("number_of_matches"), _date("birth_date"), _int("prediction"))
 
 
+@query
+def cluster_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _season(spark, sf_dir, "match_facts", "player_totals").cluster_centres
+    return c.select("prediction", *[R(f).alias(f) for f in c.columns if f != "prediction"])
+
+
 @query
 def cluster_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _season(spark, sf_dir, "match_facts", "ratings", "player_totals", "chemistry").group_chemistry("prediction")
+    g = _season(spark, sf_dir, "match_facts", "ratings", *CLUSTERED[1:], "chemistry").group_chemistry("prediction")
     return g.select(_int("prediction"), R("avg_chemistry").alias("avg_chemistry"), _big("n_pairs"))
 
 
+@query
+def rating_regression_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _season(spark, sf_dir, *SHARED, *CLUSTERED[1:])
+    return _coef(s.group_fit("prediction"), "prediction")
+
+
 @query
 def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.clustering import FEATURES, cluster_features as op
@@ -286,13 +301,14 @@ def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cluster_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.clustering import cluster_invariants as op
-    return op(_season(spark, sf_dir, "match_facts", "player_totals").player_totals)
+    s = _season(spark, sf_dir, *CLUSTERED)
+    return op(s.player_totals, s.cluster_centres)
 
 
 @query
 def cluster_chemistry_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over all clusters, the pairs and their chemistry."""
-    g = _season(spark, sf_dir, "match_facts", "ratings", "player_totals", "chemistry").group_chemistry("prediction")
+    g = _season(spark, sf_dir, "match_facts", "ratings", *CLUSTERED[1:], "chemistry").group_chemistry("prediction")
     return g.agg(F.sum("n_pairs").alias("n_pairs"), R(F.sum(F.col("avg_chemistry") * F.col("n_pairs")), 4).alias("sum_chemistry"))
 
 
@@ -313,8 +329,17 @@ def lineup_chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
                     R("chemistry_coefficient").alias("chemistry_coefficient"))
 
 
-@query
-def match_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _season(spark, sf_dir, *SHARED, "chemistry").forecasts(ORACLE_GROUP)
+def _forecast_rows(f: DataFrame) -> DataFrame:
     return f.select(_big("request_id"), "team1_name", "team2_name", "result",
                     *[R(c).alias(c) for c in ("strength1", "strength2", "chance1", "chance2")])
+
+
+@query
+def match_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _forecast_rows(_season(spark, sf_dir, *SHARED, "chemistry").forecasts(ORACLE_GROUP))
+
+
+@query
+def match_forecast_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast of the source: groups are the k-means clusters."""
+    return _forecast_rows(_season(spark, sf_dir, *SHARED, "chemistry", *CLUSTERED[1:]).forecasts("prediction"))

@@ -1,11 +1,12 @@
 """The two jobs of the application, as Spark jobs over tables.
 
 * :func:`build_season_tables` — after ingestion (or from any events + matches),
-  writes match facts, ratings, chemistry, player totals, stream pass accuracy and
-  match details.  Facts are written first and read back, so the later tables
+  writes match facts, ratings, chemistry, player totals, stream pass accuracy, match
+  details, and the k-means model (its centres and every player's cluster).  Facts are written first and read back, so the later tables
   start from a written table (lineage cut, executor loss costs one stage).
 * :func:`answer_requests` — reads a batch of requests and answers all of them
-  with joins against the stored tables: profiles, match details, forecasts.
+  with joins against the stored tables: profiles, match details, forecasts.  No model
+  is fitted there: clusters are the stored ones.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import requests as _requests
 from ..sinks import writers
 from .season import Season
 
-TABLES = ("match_facts", "ratings", "chemistry", "player_totals", "stream_pass_accuracy", "match_details")
+TABLES = ("match_facts", "ratings", "chemistry", "player_totals", "stream_pass_accuracy", "match_details",
+          "cluster_centres", "clusters")
 
 
 def build_season_tables(season: Season, out_dir: str) -> dict[str, str]:
@@ -27,7 +30,7 @@ def build_season_tables(season: Season, out_dir: str) -> dict[str, str]:
     season.__dict__["match_facts"] = spark.read.parquet(paths["match_facts"])
     writers.write_table(season.ratings, paths["ratings"])
     season.__dict__["ratings"] = spark.read.parquet(paths["ratings"])
-    for t in ("chemistry", "stream_pass_accuracy", "player_totals", "match_details"):
+    for t in ("chemistry", "stream_pass_accuracy", "player_totals", "match_details", "cluster_centres", "clusters"):
         writers.write_table(getattr(season, t), paths[t])
         season.__dict__[t] = spark.read.parquet(paths[t])
     return paths
@@ -50,6 +53,7 @@ def answer_requests(season: Season, group_col: str = "prediction", legacy: bool
         "profiles": season.profiles,
         "matches": season.match_lookups,
         "forecasts": season.forecasts(group_col, legacy=legacy),
+        "rejected": _requests.rejected_requests(season.requests),
     }
 
 

@@ -48,9 +48,11 @@ pl AS (
   SELECT c_custkey AS uid, CAST(c_custkey + 1 AS VARCHAR) AS player_id, c_name AS name,
          CAST(c_custkey // 15 AS BIGINT) AS g, CAST(c_custkey % 15 AS INTEGER) AS pos,
          CASE WHEN c_custkey % 15 IN (0, 1) THEN 'GK' WHEN c_custkey % 15 IN (2, 3, 4, 5, 11) THEN 'DF'
-              WHEN c_custkey % 15 IN (6, 7, 8, 12, 13) THEN 'MD' ELSE 'FW' END AS role,
+              WHEN c_custkey % 15 IN (6, 7, 8, 12, 13) THEN 'MD'
+              WHEN c_custkey % 15 = 14 AND (c_custkey // 15) % 4 = 1 THEN 'DF'
+              WHEN c_custkey % 15 = 14 AND (c_custkey // 15) % 4 = 2 THEN 'GK' ELSE 'FW' END AS role,
          CASE c_custkey % 3 WHEN 0 THEN 'right' WHEN 1 THEN 'left' ELSE 'both' END AS foot,
-         CASE WHEN c_custkey % 97 = 40 THEN NULL
+         CASE WHEN c_custkey % 97 = 12 THEN NULL
               ELSE CAST(DATE '1985-01-01' + CAST((c_custkey * 37) % 5000 AS INTEGER) AS DATE) END AS birth_date,
          n_name AS birth_area, n_name AS passport_area,
          CAST(c_custkey % 30 + 165 AS INTEGER) AS height, CAST(c_custkey % 25 + 60 AS INTEGER) AS weight
@@ -402,20 +404,23 @@ def _fit(name: str, source: str, key: str) -> str:
 )"""
 
 
-MODELS = f""",
+def _models(groups: str) -> str:
+    """CTEs of the models and forecasts; ``groups``: SQL of (player_id, grp)."""
+    return f""",
+grp AS ({groups}),
 af AS (
-  SELECT rt.player_id, rt.match_date, rt.match_id, rt.rating, pl.role,
+  SELECT rt.player_id, rt.match_date, rt.match_id, rt.rating, pl.role, grp.grp,
          CAST(date_diff('day', pl.birth_date, rt.match_date) AS BIGINT) AS age
-  FROM rt JOIN pl ON rt.player_id = pl.player_id
+  FROM rt JOIN pl ON rt.player_id = pl.player_id JOIN grp ON rt.player_id = grp.player_id
 ),
 af_young AS (
   SELECT af.* FROM af JOIN pt ON af.player_id = pt.player_id WHERE pt.number_of_matches < 5
-),{_fit("pfit", "af", "player_id")},{_fit("gfit", "af_young", "role")},
+),{_fit("pfit", "af", "player_id")},{_fit("gfit", "af_young", "grp")},
 pred AS (
-  SELECT pl.player_id, pl.role, CASE WHEN pt.number_of_matches < 5 THEN 'group' ELSE 'player' END AS route,
+  SELECT pl.player_id, grp.grp, CASE WHEN pt.number_of_matches < 5 THEN 'group' ELSE 'player' END AS route,
          CAST(date_diff('day', pl.birth_date, DATE '2024-02-15') AS DOUBLE) AS age,
          pt.number_of_matches
-  FROM pl JOIN pt ON pl.player_id = pt.player_id
+  FROM pl JOIN pt ON pl.player_id = pt.player_id JOIN grp ON pl.player_id = grp.player_id
 ),
 pred2 AS (
   SELECT pred.player_id, pred.route,
@@ -423,23 +428,30 @@ pred2 AS (
                                         + gfit.b2 * (pred.age - gfit.mean_age) * (pred.age - gfit.mean_age)
               ELSE pfit.b0 + pfit.b1 * (pred.age - pfit.mean_age)
                    + pfit.b2 * (pred.age - pfit.mean_age) * (pred.age - pfit.mean_age) END AS predicted_rating
-  FROM pred LEFT JOIN pfit ON pred.player_id = pfit.gk LEFT JOIN gfit ON pred.role = gfit.gk
+  FROM pred LEFT JOIN pfit ON pred.player_id = pfit.gk LEFT JOIN gfit ON pred.grp = gfit.gk
 ),
 ga AS (
-  SELECT pl.role AS grp, avg(ch.chemistry) AS avg_chemistry, count(*) AS n_pairs
-  FROM ch JOIN pl ON ch.player_id_1 = pl.player_id GROUP BY pl.role
+  SELECT grp.grp, avg(ch.chemistry) AS avg_chemistry, count(*) AS n_pairs
+  FROM ch JOIN grp ON ch.player_id_1 = grp.player_id GROUP BY grp.grp
 ),
 lu AS (
   SELECT CAST(g * 10 + kind AS BIGINT) AS request_id, CASE WHEN pos % 2 = 0 THEN 1 ELSE 2 END AS side,
          'p' || lpad(CAST(pos AS VARCHAR), 2, '0') AS slot, player_id, role
-  FROM pl CROSS JOIN (VALUES (0), (1), (2), (3)) AS kinds(kind)
-  WHERE kind IN (0, 3) OR (kind = 1 AND pos < 9) OR (kind = 2 AND pos % 2 = 0)
+  FROM pl CROSS JOIN (VALUES (0), (1), (2), (3), (9)) AS kinds(kind)
+  WHERE kind IN (3, 9) OR (kind = 0 AND pos <> 12) OR (kind = 1 AND pos < 9) OR (kind = 2 AND pos % 2 = 0)
   UNION ALL
   SELECT DISTINCT CAST(g * 10 + 3 AS BIGINT), 1, 'p99', NULL, NULL FROM pl
+  UNION ALL
+  SELECT CAST(g * 10 + 8 AS BIGINT), CASE WHEN pos IN (1, 11, 13, 14) THEN 2 ELSE 1 END, 'p' || lpad(CAST(pos AS VARCHAR), 2, '0'), player_id, role
+  FROM pl WHERE g + 1 IN (SELECT g FROM pl)
+  UNION ALL
+  SELECT CAST((g - 1) * 10 + 8 AS BIGINT), 2, 'n' || lpad(CAST(pos AS VARCHAR), 2, '0'), player_id, role
+  FROM pl WHERE pos IN (2, 3, 6, 7, 8, 9, 10) AND g - 1 IN (SELECT g FROM pl)
 ),
 rqs AS (
   SELECT DISTINCT g, CAST(g * 10 + kind AS BIGINT) AS request_id, side
-  FROM pl CROSS JOIN (VALUES (0), (1), (2), (3)) AS kinds(kind) CROSS JOIN (VALUES (1), (2)) AS sides(side)
+  FROM pl CROSS JOIN (VALUES (0), (1), (2), (3), (8), (9)) AS kinds(kind) CROSS JOIN (VALUES (1), (2)) AS sides(side)
+  WHERE kind <> 8 OR g + 1 IN (SELECT g FROM pl)
 ),
 lr AS (
   SELECT rqs.request_id, rqs.side, count(*) FILTER (WHERE role = 'GK') AS gk, count(*) FILTER (WHERE role = 'DF') AS df,
@@ -455,7 +467,8 @@ lr3 AS (
   SELECT lr2.*, min(CAST(side_valid AS INTEGER)) OVER (PARTITION BY request_id) = 1 AS request_valid FROM lr2
 ),
 lcp AS (
-  SELECT lu.*, coalesce(pt.number_of_matches, 0) AS nm FROM lu LEFT JOIN pt ON lu.player_id = pt.player_id
+  SELECT lu.*, grp.grp, coalesce(pt.number_of_matches, 0) AS nm FROM lu LEFT JOIN pt ON lu.player_id = pt.player_id
+  LEFT JOIN grp ON lu.player_id = grp.player_id
   WHERE lu.player_id IS NOT NULL
 ),
 lcv AS (
@@ -464,7 +477,7 @@ lcv AS (
               ELSE (ga.avg_chemistry + ga.avg_chemistry) / 2 END AS v
   FROM lcp a JOIN lcp b ON a.request_id = b.request_id AND a.side = b.side AND a.player_id <> b.player_id
   LEFT JOIN ch ON ch.player_id_1 = a.player_id AND ch.player_id_2 = b.player_id
-  LEFT JOIN ga ON ga.grp = a.role
+  LEFT JOIN ga ON ga.grp = a.grp
 ),
 lc AS (
   SELECT lcp.request_id, lcp.side, lcp.slot, lcp.player_id, avg(lcv.v) AS chemistry_coefficient
@@ -479,7 +492,8 @@ fs AS (
 ),
 fc AS (
   SELECT rq.request_id, 'Team ' || CAST(2 * rq.g + 1 AS VARCHAR) AS team1_name,
-         'Team ' || CAST(2 * rq.g + 2 AS VARCHAR) AS team2_name, v.ok = 1 AS valid, v.ok = 1 AND fs.rated AS ok, fs.s1, fs.s2
+         'Team ' || CAST(2 * rq.g + 2 AS VARCHAR) AS team2_name, v.ok = 1 AND rq.request_id % 10 <> 9 AS valid,
+         v.ok = 1 AND rq.request_id % 10 <> 9 AND fs.rated AS ok, fs.s1, fs.s2
   FROM (SELECT DISTINCT g, request_id FROM rqs) rq
   LEFT JOIN (SELECT request_id, min(CAST(request_valid AS INTEGER)) AS ok FROM lr3 GROUP BY request_id) v
          ON rq.request_id = v.request_id
@@ -487,8 +501,11 @@ fc AS (
 )"""
 
 
-def _with_models(body: str) -> str:
-    return _with(MODELS + "\n" + body)
+BY_ROLE = "SELECT player_id, role AS grp FROM pl"
+
+
+def _with_models(body: str, groups: str = BY_ROLE, before: str = "") -> str:
+    return _with(before + _models(groups) + "\n" + body)
 
 
 _COEF = (f"CAST(n_points AS BIGINT) AS n_points, CAST(degree AS INTEGER) AS degree, {R('mean_age')} AS mean_age, "
@@ -518,22 +535,78 @@ ORACLE["lineup_chemistry"] = _with_models(f"""
 SELECT request_id, CAST(side AS INTEGER) AS side, slot, player_id,
        {R('chemistry_coefficient')} AS chemistry_coefficient FROM lc""")
 
-ORACLE["match_forecast"] = _with_models(f"""
+FORECASTS = f"""
 SELECT request_id, team1_name, team2_name, CASE WHEN ok THEN 'ok' WHEN valid THEN 'Unrated' ELSE 'Invalid' END AS result,
        CASE WHEN ok THEN {R('s1')} END AS strength1, CASE WHEN ok THEN {R('s2')} END AS strength2,
        CASE WHEN ok THEN {R('(0.5 + s1 - (s1 + s2) / 2) * 100')} END AS chance1,
        CASE WHEN ok THEN {R('100.0 - (0.5 + s1 - (s1 + s2) / 2) * 100')} END AS chance2
-FROM fc""")
+FROM fc"""
+ORACLE["match_forecast"] = _with_models(FORECASTS)
+
+# --- clusters: Lloyd's rounds as one CTE each ------------------------------------------------
+
+FEATURES = ("pass_accuracy", "number_of_goals", "number_of_own_goals", "number_of_fouls", "number_of_shots_on_target")
+
+
+def _clusters(k: int = 5, rounds: int = 20) -> str:
+    """CTEs ``points``, ``c0`` to ``c{rounds}`` (centres), ``near`` (player_id, prediction): the
+    first centres are the profiles with the smallest md5 of a player id, an empty cluster
+    keeps its centre, the first of equally near centres counts."""
+    cols = ", ".join(FEATURES)
 
-# --- clusters: k-means ids have no SQL twin, what must hold of them has -------------------
+    def nearest(centres: str) -> str:
+        away = " + ".join(f"(p.{f} - c.{f}) * (p.{f} - c.{f})" for f in FEATURES)
+        return (f"SELECT p.player_id, {', '.join(f'any_value(p.{f}) AS {f}' for f in FEATURES)}, arg_min(c.i, round({away}, 6) * 1000 + c.i) AS i\n"
+                f"  FROM points p CROSS JOIN {centres} c GROUP BY p.player_id")
+
+    steps = [f""",
+points AS MATERIALIZED (SELECT player_id, {', '.join(f'CAST({f} AS DOUBLE) AS {f}' for f in FEATURES)} FROM pt),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS i, {cols}
+  FROM (SELECT min(md5(player_id)) AS h, {cols} FROM points GROUP BY {cols} ORDER BY h LIMIT {k}))"""]
+    for r in range(rounds):
+        steps.append(f""",
+c{r + 1} AS MATERIALIZED (
+  SELECT c.i, {', '.join(f'coalesce(m.{f}, c.{f}) AS {f}' for f in FEATURES)}
+  FROM c{r} c LEFT JOIN (SELECT i, {', '.join(f'avg({f}) AS {f}' for f in FEATURES)} FROM ({nearest(f'c{r}')}) GROUP BY i) m ON m.i = c.i)""")
+    steps.append(f""",
+near AS MATERIALIZED (SELECT player_id, i AS prediction FROM ({nearest(f'c{rounds}')}))""")
+    return "".join(steps)
+
+
+CLUSTERS = _clusters()
+BY_CLUSTER = "SELECT player_id, prediction AS grp FROM near"
 
 ORACLE["cluster_features"] = _with(f"""
 SELECT player_id, {R('pass_accuracy')} AS pass_accuracy, CAST(number_of_goals AS DOUBLE) AS number_of_goals,
        CAST(number_of_own_goals AS DOUBLE) AS number_of_own_goals, CAST(number_of_fouls AS DOUBLE) AS number_of_fouls,
        CAST(number_of_shots_on_target AS DOUBLE) AS number_of_shots_on_target FROM pt""")
 
-ORACLE["cluster_invariants"] = _with("""
-SELECT count(*) AS players, count(*) AS assigned, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS not_nearest FROM pt""")
+ORACLE["player_clusters"] = _with(CLUSTERS + """
+SELECT pt.player_id, pt.number_of_matches, CAST(pt.birth_date AS VARCHAR) AS birth_date, CAST(near.prediction AS INTEGER) AS prediction
+FROM pt JOIN near ON pt.player_id = near.player_id""")
+
+ORACLE["cluster_centres"] = _with(CLUSTERS + f"""
+SELECT CAST(i AS INTEGER) AS prediction, {', '.join(f'{R(f)} AS {f}' for f in FEATURES)} FROM c20""")
+
+_AWAY = " + ".join(f"(p.{f} - c.{f}) * (p.{f} - c.{f})" for f in FEATURES)
+ORACLE["cluster_invariants"] = _with(CLUSTERS + f"""
+, away AS (SELECT p.player_id, c.i, {_AWAY} AS d FROM points p CROSS JOIN c20 c),
+best AS (SELECT player_id, min(d) AS least FROM away GROUP BY player_id)
+SELECT count(*) AS players, count(near.prediction) AS assigned,
+       count(*) FILTER (WHERE near.prediction < 0 OR near.prediction >= 5) AS out_of_range,
+       count(*) FILTER (WHERE away.d > best.least * (1 + 1e-9) + 1e-6) AS not_nearest
+FROM pt LEFT JOIN near ON pt.player_id = near.player_id
+LEFT JOIN away ON away.player_id = near.player_id AND away.i = near.prediction
+LEFT JOIN best ON best.player_id = near.player_id""")
+
+ORACLE["cluster_chemistry"] = _with(CLUSTERS + f"""
+SELECT CAST(near.prediction AS INTEGER) AS prediction, {R('avg(ch.chemistry)')} AS avg_chemistry, CAST(count(*) AS BIGINT) AS n_pairs
+FROM ch JOIN near ON ch.player_id_1 = near.player_id GROUP BY near.prediction""")
+
+ORACLE["rating_regression_cluster"] = _with_models(f"SELECT CAST(gk AS INTEGER) AS prediction, {_COEF} FROM gfit", BY_CLUSTER, CLUSTERS)
+
+ORACLE["match_forecast_clusters"] = _with_models(FORECASTS, BY_CLUSTER, CLUSTERS)
 
 ORACLE["cluster_chemistry_totals"] = _with(f"""
 SELECT CAST(count(*) AS BIGINT) AS n_pairs, {R('sum(chemistry)', 4)} AS sum_chemistry FROM ch""")

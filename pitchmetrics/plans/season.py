@@ -61,9 +61,10 @@ class Season:
     def teams(self) -> DataFrame:
         return self._input("teams")
 
-    @property
+    @cached_property
     def requests(self) -> DataFrame:
-        return self._input("requests")
+        """One row per request id."""
+        return _requests.unique_requests(self._input("requests"))
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Season":
@@ -150,9 +151,13 @@ class Season:
         return _requests.match_lookups(self.requests, _matches.match_details(wanted, self.players, self.teams))
 
     # --- models -------------------------------------------------------------------
+    @cached_property
+    def cluster_centres(self) -> DataFrame:
+        return _clust.fit_centres(_clust.cluster_features(self.player_totals))
+
     @cached_property
     def clusters(self) -> DataFrame:
-        return _clust.player_clusters(self.player_totals)
+        return _clust.player_clusters(self.player_totals, self.cluster_centres)
 
     def groups(self, group_col: str = "prediction") -> DataFrame:
         """player_id -> group: k-means cluster ('prediction') or any players column."""

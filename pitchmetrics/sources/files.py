@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import parse_count
+from ..functions.columns import parse_count, parse_date
 
 
 def read_players_csv(spark: SparkSession, path: str) -> DataFrame:
-    """players.csv (header, every column text) -> canonical players."""
+    """players.csv (header, every column text) -> canonical players; a malformed birth
+    date or number is NULL."""
     raw = spark.read.schema(schemas.PLAYERS_CSV).option("header", True).csv(path)
     return raw.select(
         F.col("Id").alias("player_id"), "name", "role", "foot",
-        F.to_date(F.col("birthDate")).alias("birth_date"),
+        parse_date("birthDate").alias("birth_date"),
         F.col("birthArea").alias("birth_area"), F.col("passportArea").alias("passport_area"),
         parse_count("height").alias("height"), parse_count("weight").alias("weight"))
 
@@ -43,7 +44,7 @@ def read_rating_export(spark: SparkSession, path: str) -> DataFrame:
     rating is the fold's start value, not a match."""
     df = spark.read.json(path, schema="key struct<player_id:string,date:string>, match_id string, rating double")
     return (df.filter(F.col("key.date") != SENTINEL_DATE)
-            .select(F.col("key.player_id").alias("player_id"), F.to_date("key.date").alias("match_date"),
+            .select(F.col("key.player_id").alias("player_id"), parse_date("key.date").alias("match_date"),
                     "match_id", "rating"))
 
 

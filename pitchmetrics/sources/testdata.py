@@ -10,7 +10,8 @@ with DataFrame operations only, a football season from them (FIXTURES.md §2):
                earlier record too, which the later one replaces;
 * ``players``  one player per customer, most of whom never play; some have no birth date;
 * ``teams``    two teams per group of customers;
-* ``requests`` forecast, profile and match-lookup requests derived from the above.
+* ``requests`` forecast, profile and match-lookup requests derived from the above, some
+               of them twice.
 
 The same rules are written a second time, independently, as DuckDB SQL in
 ``pitchmetrics.plans.oracle``; the two must agree.
@@ -29,12 +30,17 @@ EPOCH = "2024-01-01"            # day 0 of the season
 GROUP_SIZE = 15                 # users per group: one group = two teams
 FORECAST_DATE = "2024-02-15"    # date of every generated forecast request
 SEASON_DAYS = 100_000           # more days than any season has: match id = group * this + day
-NO_BIRTH_DATE = (97, 40)        # customers with this remainder have no birth date
+NO_BIRTH_DATE = (97, 12)        # customers with this remainder have no birth date; 12 plays at every size
 REPEATED = (5, 0)               # matches with this remainder of group + day have an earlier record
 # request id = key * REQUEST_KINDS + kind: ids of different kinds cannot meet
 REQUEST_KINDS = 10
 (FORECAST, FORECAST_NO_FORWARDS, FORECAST_EMPTY_SIDE, FORECAST_UNKNOWN, PROFILE, PROFILE_UNKNOWN, LOOKUP,
- LOOKUP_UNKNOWN) = range(8)
+ LOOKUP_UNKNOWN, FORECAST_FULL, FORECAST_NO_DATE) = range(10)
+SUBSTITUTE = 12                 # the position that a plain forecast leaves out
+# positions of the sides of 11 of a full forecast: all of one group; of a group and the next one
+FULL_SIDE = (0, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12)
+MIXED_SIDE = (1, 11, 13, 14)
+MIXED_NEXT = (2, 3, 6, 7, 8, 9, 10)
 
 
 def _plan_cache(fn):
@@ -132,8 +138,11 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical players (player_id, name, role, foot, birth_date, ..., height, weight)."""
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     pos = F.col("pos")
+    # the bench player 14, who has no matches of his own, differs by group: so every role
+    # has players on the group route, and some groups have two goalkeepers
+    bench = F.when(F.col("g") % 4 == 1, "DF").when(F.col("g") % 4 == 2, "GK").otherwise("FW")
     role = (F.when(pos.isin(0, 1), "GK").when(pos.isin(2, 3, 4, 5, 11), "DF")
-            .when(pos.isin(6, 7, 8, 12, 13), "MD").otherwise("FW"))
+            .when(pos.isin(6, 7, 8, 12, 13), "MD").when(pos == 14, bench).otherwise("FW"))
     return (
         _roster(spark, sf_dir)
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -250,10 +259,12 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_plan_cache
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests table: per group a forecast with all 15 players (sides by position
-    parity), one without forwards, one whose second side is empty and one with an unknown
-    name; a profile request per customer name and an unknown one per group; a hit and a
-    miss per match label."""
+    """Requests table: per group a forecast with all players but a substitute (sides by
+    position parity), one without forwards, one whose second side is empty, one with an
+    unknown name, one without a date, and one of sides of 11, the second with players of the
+    next group; a profile request per customer name and an unknown one per group; a hit and
+    a miss per match label.  Forecasts of even groups and profiles of customers divisible by
+    ten come twice."""
     roster = _roster(spark, sf_dir)
     g, pos = F.col("g"), F.col("pos")
     slot = F.struct(F.concat(F.lit("p"), F.lpad(pos.cast("string"), 2, "0")).alias("k"),
@@ -267,16 +278,35 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     nobody = F.struct(F.lit("p99").alias("k"), F.concat(F.lit("Nobody "), g.cast("string")).alias("v"))
 
-    def forecast(kind: int, only1: Column, only2: Column, extra: Column | None = None) -> DataFrame:
-        return roster.groupBy("g").agg(side_map(0, only1, extra).alias("team1"),
-                                       side_map(1, only2).alias("team2")).select(
+    def as_forecasts(sides: DataFrame, kind: int, date: str | None = FORECAST_DATE) -> DataFrame:
+        return sides.select(
             _request_id(g, kind),
             F.lit("forecast").alias("request_kind"),
             F.lit(None).cast("string").alias("name"),
             F.lit(None).cast("string").alias("label"),
-            F.lit(FORECAST_DATE).cast("date").alias("date"),
+            F.lit(date).cast("date").alias("date"),
             "team1", "team2")
 
+    def forecast(kind: int, only1: Column, only2: Column, extra: Column | None = None, date: str | None = FORECAST_DATE) -> DataFrame:
+        return as_forecasts(roster.groupBy("g").agg(side_map(0, only1, extra).alias("team1"), side_map(1, only2).alias("team2")), kind, date)
+
+    def full() -> DataFrame:
+        """Sides of 11; groups that have a next one."""
+        both = roster.select("g", "pos", "c_name", F.lit(False).alias("next")).unionByName(
+            roster.select((g - 1).alias("g"), "pos", "c_name", F.lit(True).alias("next")))
+        key = F.concat(F.when(F.col("next"), "n").otherwise("p"), F.lpad(pos.cast("string"), 2, "0"))
+
+        def side(number: int, members: Column) -> Column:
+            name = F.struct(F.lit("name").alias("k"), F.concat(F.lit("Team "), (g * 2 + number).cast("string")).alias("v"))
+            chosen = F.sort_array(F.collect_list(F.when(members, F.struct(key.alias("k"), F.col("c_name").alias("v")))))
+            return F.map_from_entries(F.concat(F.array(name), chosen))
+
+        sides = both.groupBy("g").agg(
+            side(1, ~F.col("next") & pos.isin(*FULL_SIDE)).alias("team1"),
+            side(2, (~F.col("next") & pos.isin(*MIXED_SIDE)) | (F.col("next") & pos.isin(*MIXED_NEXT))).alias("team2"),
+            F.countDistinct("next").alias("groups"))
+        return as_forecasts(sides.filter("groups = 2"), FORECAST_FULL)
+
     no_map = F.lit(None).cast("map<string,string>")
 
     def profile(rows: DataFrame, key: Column, kind: int, name: Column) -> DataFrame:
@@ -300,11 +330,18 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("date").alias("date"),
         no_map.alias("team1"), no_map.alias("team2"))
     everyone, none = F.lit(True), F.lit(False)
-    return (forecast(FORECAST, everyone, everyone)
+    plain = forecast(FORECAST, pos != SUBSTITUTE, pos != SUBSTITUTE)
+    profiles = profile(_table(spark, sf_dir, "customer"), F.col("c_custkey"), PROFILE, F.col("c_name"))
+    key = F.floor(F.col("request_id") / REQUEST_KINDS)
+    return (plain
+            .unionByName(plain.filter(key % 2 == 0))
+            .unionByName(full())
+            .unionByName(forecast(FORECAST_NO_DATE, everyone, everyone, date=None))
             .unionByName(forecast(FORECAST_NO_FORWARDS, pos < 9, pos < 9))
             .unionByName(forecast(FORECAST_EMPTY_SIDE, everyone, none))
             .unionByName(forecast(FORECAST_UNKNOWN, everyone, everyone, nobody))
-            .unionByName(profile(_table(spark, sf_dir, "customer"), F.col("c_custkey"), PROFILE, F.col("c_name")))
+            .unionByName(profiles)
+            .unionByName(profiles.filter(key % 10 == 0))
             .unionByName(profile(roster.select("g").distinct(), g, PROFILE_UNKNOWN, F.concat(F.lit("Nobody "), g.cast("string"))))
             .unionByName(lookups))
 

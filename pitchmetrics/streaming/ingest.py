@@ -1,50 +1,55 @@
-"""Structured Streaming ingestion of the record stream (T1, T2, T5-T7).
-
-``readStream`` of text lines (file source; a socket or any other line source works
-the same) -> ``foreachBatch``.  Each micro-batch ``b``:
-
-1. parses its lines once and splits match and event records;
-2. stores them under ``<store>/events/batch_id=b`` and ``<store>/matches/batch_id=b``
-   and the batch's per-(match, player) metric *counts* under
-   ``<store>/metric_counts/batch_id=b`` (counts are sums: partial counts of a match
-   spread over several batches add up exactly);
-3. closes matches: those whose match record arrived in this batch, plus stored
-   matches that received late events in this batch.  Their facts (participants ⟕
-   metrics from the summed counts) go to ``<store>/match_facts/batch_id=b``.  The ids
-   touched by the batch are a small table that filters the stores before anything is
-   aggregated or exploded.
-
-Every write overwrites the folder of its own batch id, so replaying a batch after a
-failure (the checkpoint replays the same offsets) rewrites the same output: the
-sink is idempotent.  Readers take, per match, the facts of the latest batch that
-closed it.  Events are touched once, in their arrival batch; closing a match reads
-only its compact counts, from the ``match_bucket`` partitions of the closing
-matches (partition pruning by the touched matches' bucket ids, at most 32).
+"""Structured Streaming ingestion of the record stream (T1, T2, T4-T7).
+
+``readStream`` of text lines (a directory of files; a socket or Kafka topics work the same)
+-> ``foreachBatch``.  Matches are *open* until they are *frozen*.  Each micro-batch ``b``:
+
+1. parses its lines once into the archive, one write for all kinds of lines;
+2. merges the open matches' records (the largest ``arrival`` counts, of equal ones the later
+   batch) and per-(match, player) metric *counts* (sums, so counts of a match spread over
+   batches add up exactly) with those of the batch, and writes both as a new generation;
+3. closes every open match anew: facts (participants ⟕ metrics from the counts) and
+   ratings, folded from each player's rating at the last freeze.  So a record that comes
+   again, late events or matches out of order correct what was written before;
+4. freezes matches whose date is ``horizon_days`` behind the newest match date, a few days'
+   worth at a time: their facts and ratings stay as they are, and what later batches need of
+   them is added up in small tables (a player's last rating and career sums, a pair's
+   chemistry steps, a player's running pass sums);
+5. publishes a commit (:mod:`.store`), which makes all of this visible at once.
+
+How a match ends: with its record, when it is frozen.  Events whose record has not come
+``horizon_days`` after they were first seen (in newest match dates, so that a replay
+decides the same), and events that come for a match that has been frozen, go to
+``orphans`` with their counts; a record dated in the frozen part of the season goes to
+``late_records``.  Nothing is lost: the archive holds all lines, and
+``season_from_store(..., include_late=True)`` computes a season from it in full.  With
+``horizon_days=None`` matches stay open for good, which suits a bounded season.
+
+A batch reads its own lines, the open matches and tables of a row per player that is
+still to be rated; it neither reads nor writes in proportion to the history.  A batch that the
+checkpoint replays after a failure overwrites its own folders, one that was committed is
+skipped.
 """
 
 from __future__ import annotations
 
-import os
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import schemas
+from ..operators import chemistry as _chem
 from ..operators import facts as _facts
 from ..operators import metrics as _metrics
+from ..operators import ratings as _ratings
 from ..operators import squads as _squads
-from ..sources.records import events_from_records, matches_from_records, parse_records
+from ..sources.records import event_columns, match_columns, parse_records
+from .store import COMPACT_PARTS, Commit, Store
 
-COUNT_SCHEMA = ("match_id string, player_id string, "
-                + ", ".join(f"{c} bigint" for c in _metrics.COUNT_COLUMNS) + ", match_bucket int")
-MATCH_BUCKETS = 32
-
-
-def match_bucket(col: str = "match_id"):
-    """Storage bucket of a match: the counts store is partitioned by it, so closing
-    a few matches reads only their buckets."""
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(MATCH_BUCKETS)).cast("int")
+#: days a match stays open behind the newest match date
+HORIZON_DAYS = 14
+#: days that are frozen at a time, at least
+FREEZE_DAYS = 7
 
 
 def record_stream(spark: SparkSession, path: str | None = None, *, max_files_per_trigger: int | None = None,
@@ -63,87 +68,150 @@ def record_stream(spark: SparkSession, path: str | None = None, *, max_files_per
     return reader.load(path)
 
 
-def _batch_path(store: str, table: str, batch_id: int) -> str:
-    return os.path.join(store, table, f"batch_id={batch_id}")
-
-
-def _read_store(spark: SparkSession, store: str, table: str, schema) -> DataFrame:
-    """A stored table; empty while its folder does not exist.  Other errors are errors."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(store, table))
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(os.path.join(store, table))
-
-
-def latest(df: DataFrame, keys: list[str], within: list[str] | None = None) -> DataFrame:
-    """Rows of the latest batch per key (a re-closed match replaces its older facts).
-
-    With ``within`` (row keys inside the group, e.g. player_id for facts) the rows of
-    the latest batch of each group are kept; otherwise one row per key: of the latest
-    batch, and in it the record with the largest ``arrival``.  One aggregate, no join
-    back."""
-    if within:
-        last = df.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
-        return df.join(last, [*keys, "batch_id"])
-    rest = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("batch_id", *["arrival"] * ("arrival" in rest))).alias("_r"))
-            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
-
-
-def handle_batch(store: str):
-    """The ``foreachBatch`` function writing into the store folder ``store``."""
+# --- one micro-batch ------------------------------------------------------------------------
+
+def _archive(store: Store, batch: DataFrame, batch_id: int) -> None:
+    """All lines of the batch by kind; a match record without a date is of kind 'undated'."""
+    parsed = parse_records(batch).select("value", "kind", F.struct(*event_columns()).alias("event"), F.struct(*match_columns()).alias("record"))
+    kind = F.when((F.col("kind") == "match") & F.col("record.match_date").isNull(), "undated").otherwise(F.col("kind"))
+    rows = parsed.withColumn("kind", kind)
+    kept = rows.select(F.when(~F.col("kind").isin("event", "match"), F.col("value")).alias("value"),
+                       F.when(F.col("kind") == "event", F.col("event")).alias("event"),
+                       F.when(F.col("kind") == "match", F.col("record")).alias("record"), "kind")
+    kept.write.mode("overwrite").partitionBy("kind").parquet(f"{store.root}/archive/batch_id={batch_id}")
+
+
+def _later(a: str | None, b: str | None) -> str | None:
+    return max(filter(None, (a, b)), default=None)
+
+
+def _freeze_through(newest: str | None, through: str | None, horizon_days: int | None, freeze_days: int) -> str | None:
+    """The date up to which matches are frozen once ``newest`` has been seen."""
+    if newest is None or horizon_days is None:
+        return through
+    due = dt.date.fromisoformat(newest) - dt.timedelta(days=horizon_days)
+    if through is None or (due - dt.date.fromisoformat(through)).days >= freeze_days:
+        return due.isoformat()
+    return through
+
+
+def _day(text: str | None):
+    return F.lit(text).cast("date")
+
+
+def _records(store: Store, last: Commit, new: DataFrame, batch_id: int, through: str | None) -> DataFrame:
+    """The record that counts of each open match."""
+    both = store.hot(last, "records").unionByName(new.withColumn("batch", F.lit(batch_id)))
+    rest = [c for c in both.columns if c != "match_id"]
+    tie = F.xxhash64("label", "winner", "match_date", "duration", "venue", "gameweek")
+    one = (both.groupBy("match_id").agg(F.max_by(F.struct(*rest), F.struct("arrival", "batch", tie)).alias("r"))
+           .select("match_id", *[F.col(f"r.{c}").alias(c) for c in rest]))
+    done = F.lit(False) if through is None else F.col("match_date") <= _day(through)
+    return one.withColumn("part", F.when(done, "done").otherwise("hot"))
+
+
+def _counts(store: Store, last: Commit, events: DataFrame, records: DataFrame, batch_id: int, newest: str | None,
+            through: str | None) -> DataFrame:
+    """The metric counts of the open matches, those that have no record yet included."""
+    new = _metrics.metric_counts(events).withColumn("seen", _day(newest)).withColumn("first_batch", F.lit(batch_id))
+    sums = (store.hot(last, "counts").unionByName(new).groupBy("match_id", "player_id")
+            .agg(*[F.sum(c).cast("bigint").alias(c) for c in _metrics.COUNT_COLUMNS],
+                 F.coalesce(F.min("seen"), _day(newest)).alias("seen"), F.min("first_batch").alias("first_batch")))
+    dated = sums.join(records.select("match_id", F.col("part").alias("closed")), "match_id", "left")
+    gone = F.lit(False) if through is None else F.coalesce(F.col("seen") <= _day(through), F.lit(False))
+    return dated.withColumn("part", F.coalesce("closed", F.when(gone, "orphan").otherwise("hot"))).drop("closed")
+
+
+def last_ratings(base: DataFrame) -> DataFrame:
+    """(player_id, rating): of a player's rows, the rating of the last match."""
+    return base.groupBy("player_id").agg(F.max_by("rating", F.struct("match_date", "match_id")).alias("rating"))
+
+
+def _frozen_sums(store: Store, last: Commit, batch_id: int, facts: DataFrame, ratings: DataFrame, counts: DataFrame) -> dict[str, list[int]]:
+    """Adds up what batch ``batch_id`` freezes; merges the parts of a table that has many."""
+    gone = counts.filter(F.col("part") != "hot")
+    first = gone.agg(F.min("first_batch")).first()[0]
+    events = store.archive("event", batch_id if first is None else first, batch_id).select("event.*")
+    passes = _metrics.stream_pass_totals(_metrics.stream_pass_sums(events.join(gone.select("match_id").distinct(), "match_id", "left_semi")))
+    made = {
+        "base": ratings.groupBy("player_id").agg(F.max_by(F.struct("match_date", "match_id", "rating"), F.struct("match_date", "match_id")).alias("r"))
+        .select("player_id", "r.*"),
+        "totals": _facts.career_sums(facts),
+        "pairs": _chem.pair_sums(_chem.match_pair_steps(ratings)),
+        "passes": passes,
+    }
+    parts = {}
+    for table, new in made.items():
+        before = last.parts.get(table, [])
+        if len(before) >= COMPACT_PARTS:
+            new, before = merged(table, store.sums(last, table).unionByName(new)), []
+        store.write(new, f"{table}/batch_id={batch_id}")
+        parts[table] = [*before, batch_id]
+    return parts
+
+
+def merged(table: str, rows: DataFrame) -> DataFrame:
+    """One row per key of a table of sums."""
+    if table == "base":
+        rest = F.struct("match_date", "match_id", "rating")
+        return rows.groupBy("player_id").agg(F.max_by(rest, F.struct("match_date", "match_id")).alias("r")).select("player_id", "r.*")
+    keys = [c for c in rows.columns if c.startswith("player_id")]
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in keys])
+
+
+def handle_batch(root: str, horizon_days: int | None = HORIZON_DAYS, freeze_days: int = FREEZE_DAYS):
+    """The ``foreachBatch`` function writing into the store folder ``root``."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = parse_records(batch).persist()
-        try:
-            events = events_from_records(parsed)
-            matches = matches_from_records(parsed)
-            events.write.mode("overwrite").parquet(_batch_path(store, "events", batch_id))
-            matches.write.mode("overwrite").parquet(_batch_path(store, "matches", batch_id))
-            # one writer task per bucket: at most MATCH_BUCKETS files per batch
-            (_metrics.metric_counts(events).withColumn("match_bucket", match_bucket())
-             .repartition("match_bucket")
-             .write.mode("overwrite").partitionBy("match_bucket")
-             .parquet(_batch_path(store, "metric_counts", batch_id)))
-            parsed.filter(F.col("kind").isin("corrupt", "other")).select("value", "kind") \
-                .write.mode("overwrite").parquet(_batch_path(store, "rejects", batch_id))
-
-            # the ids of one batch: sent to all tasks if they are few, else joined by shuffle
-            touched = (matches.select("match_id").unionByName(events.select("match_id")).distinct()
-                       .withColumn("match_bucket", match_bucket()).persist())
-            records = (_read_store(spark, store, "matches", _with_batch(schemas.MATCH_RECORDS))
-                       .join(touched.select("match_id"), "match_id", "left_semi"))
-            closing = latest(records, ["match_id"]).drop("batch_id").persist()
-            # at most MATCH_BUCKETS small ints: prunes the counts store to the touched
-            # matches' bucket folders before the semi-join
-            buckets = [r.match_bucket for r in touched.select("match_bucket").distinct().collect()]
-            counts = (_read_store(spark, store, "metric_counts", _with_batch(COUNT_SCHEMA))
-                      .filter(F.col("match_bucket").isin(buckets))
-                      .join(closing.select("match_id"), "match_id", "left_semi"))
-            metrics = _metrics.metrics_from_counts(_metrics.sum_counts(counts))
-            facts = _facts.match_facts(_squads.participants(closing), metrics)
-            facts.write.mode("overwrite").parquet(_batch_path(store, "match_facts", batch_id))
-            closing.unpersist()
-            touched.unpersist()
-        finally:
-            parsed.unpersist()
+        store = Store(spark, root)
+        last = store.commit()
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if last.query and query and last.query != query:
+            raise RuntimeError(f"the store {root} was written by another query; a new checkpoint needs a new store")
+        if batch_id <= last.batch:
+            return
+        _archive(store, batch, batch_id)
+        came = store.archived_batch("match", batch_id).select("record.*")
+        late = F.lit(False) if last.through is None else F.col("match_date") <= _day(last.through)
+        seen = came.agg(F.max("match_date").cast("string").alias("newest"), F.count(F.when(late, 1)).alias("late")).first()
+        newest = _later(last.newest, seen.newest)
+        through = _freeze_through(newest, last.through, horizon_days, freeze_days)
+        if seen.late:
+            store.write(came.filter(late), f"late_records/batch_id={batch_id}")
+
+        hot = f"hot/batch_id={batch_id}"
+        # a record dated in the frozen part is late, whether or not its match was known
+        store.write(_records(store, last, came.filter(~late), batch_id, through), f"{hot}/records", by_part=True)
+        records = store.read("records", f"{hot}/records", "*")
+        events = store.archived_batch("event", batch_id).select("event.*")
+        store.write(_counts(store, last, events, records, batch_id, newest, through), f"{hot}/counts", by_part=True)
+        counts = store.read("counts", f"{hot}/counts", "*")
+
+        part = F.when(F.lit(False) if through is None else F.col("match_date") <= _day(through), "done").otherwise("hot").alias("part")
+        metrics = _metrics.metrics_from_counts(counts.filter(F.col("part") != "orphan"))
+        store.write(_facts.match_facts(_squads.participants(records.drop("part", "batch")), metrics).select("*", part),
+                    f"facts/batch_id={batch_id}", by_part=True)
+        facts = store.read("facts", f"facts/batch_id={batch_id}", "*")
+        rated = _ratings.rating_history(facts, carry=("team_pos", "squad"), base=last_ratings(store.sums(last, "base")))
+        store.write(rated.select("*", part), f"ratings/batch_id={batch_id}", by_part=True)
+
+        parts = last.parts
+        if through != last.through:
+            ratings = store.read("ratings", f"ratings/batch_id={batch_id}", "done")
+            parts = _frozen_sums(store, last, batch_id, facts.filter("part = 'done'"), ratings, counts)
+            store.write(counts.filter("part = 'orphan'").drop("part"), f"orphans/batch_id={batch_id}")
+        store.publish(Commit(batch_id, query or last.query, newest, through, parts))
 
     return run
 
 
-def _with_batch(schema) -> str:
-    """DDL of a stored table: its schema plus the ``batch_id`` partition column."""
-    if isinstance(schema, str):
-        return schema + ", batch_id int"
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ", batch_id int"
-
-
 def start_ingest(lines: DataFrame, store: str, checkpoint_location: str, *,
-                 available_now: bool = False, processing_time: str = "2 seconds") -> StreamingQuery:
+                 available_now: bool = False, processing_time: str = "2 seconds",
+                 horizon_days: int | None = HORIZON_DAYS, freeze_days: int = FREEZE_DAYS) -> StreamingQuery:
     """Starts the ingestion query: micro-batches every ``processing_time`` (the
     source used 2 s batches), or all available input then stop (``available_now``)."""
-    w = (lines.writeStream.foreachBatch(handle_batch(store))
+    w = (lines.writeStream.foreachBatch(handle_batch(store, horizon_days, freeze_days))
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
@@ -158,30 +226,61 @@ def run_for(query: StreamingQuery, seconds: float | None) -> None:
         raise query.exception()
 
 
+# --- reading the store ----------------------------------------------------------------------
+
+def latest(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: of the latest batch (``batch_id``) that has one."""
+    rest = [c for c in df.columns if c not in keys]
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_r"))
+            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+
+
 def season_from_store(spark: SparkSession, store: str, players: DataFrame, teams: DataFrame,
-                      requests: DataFrame | None = None):
-    """The season of an ingestion store: stored events and the latest record of each
-    match, with the facts already closed by the stream (not recomputed)."""
+                      requests: DataFrame | None = None, include_late: bool = False):
+    """The season of an ingestion store: archived events, the record of each match that
+    counts, and the facts and ratings the stream closed (not recomputed).  With
+    ``include_late`` facts and ratings are computed from the archive instead, so that what
+    came for frozen matches counts too."""
     from ..plans.season import Season
     s = Season(events=lambda: stored_table(spark, store, "events"),
                matches=lambda: stored_matches(spark, store), players=players, teams=teams, requests=requests)
-    s.__dict__["match_facts"] = stored_facts(spark, store)
+    if not include_late:
+        s.__dict__["match_facts"] = stored_facts(spark, store)
+        s.__dict__["ratings"] = stored_ratings(spark, store)
     return s
 
 
 def stored_facts(spark: SparkSession, store: str) -> DataFrame:
-    """Match facts of the store: per match, the latest batch that closed it."""
-    df = spark.read.parquet(os.path.join(store, "match_facts"))
-    return latest(df, ["match_id"], within=["player_id"]).drop("batch_id")
+    """Match facts of the store, frozen and open, as of its newest commit."""
+    s = Store(spark, store)
+    return s.history(s.commit(), "facts")
+
+
+def stored_ratings(spark: SparkSession, store: str) -> DataFrame:
+    s = Store(spark, store)
+    return s.history(s.commit(), "ratings")
 
 
 def stored_table(spark: SparkSession, store: str, table: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(store, table)).drop("batch_id")
+    """'events', 'matches' (all records) or 'rejects' (value, kind) of committed batches."""
+    s = Store(spark, store)
+    last = s.commit().batch
+    if table == "rejects":
+        parts = [s.archive(kind, 0, last).select("value", "kind") for kind in ("corrupt", "other", "undated")]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    kind, field = {"events": ("event", "event"), "matches": ("match", "record")}[table]
+    return s.archive(kind, 0, last).select(f"{field}.*")
 
 
 def stored_matches(spark: SparkSession, store: str) -> DataFrame:
-    return latest(spark.read.parquet(os.path.join(store, "matches")), ["match_id"]).drop("batch_id")
+    """The record of each match that counts: the largest arrival, of equal ones the last batch's."""
+    s = Store(spark, store)
+    rows = s.archive("match", 0, s.commit().batch).select("record.*", "batch_id")
+    rest = [c for c in rows.columns if c not in ("match_id", "batch_id")]
+    tie = F.xxhash64("label", "winner", "match_date", "duration", "venue", "gameweek")
+    return (rows.groupBy("match_id").agg(F.max_by(F.struct(*rest), F.struct("arrival", "batch_id", tie)).alias("r"))
+            .select("match_id", *[F.col(f"r.{c}").alias(c) for c in rest]))
 
 
-__all__ = ["record_stream", "start_ingest", "handle_batch", "run_for", "season_from_store", "stored_facts",
+__all__ = ["record_stream", "start_ingest", "handle_batch", "run_for", "season_from_store", "stored_facts", "stored_ratings",
            "stored_table", "stored_matches", "latest"]

@@ -1,34 +1,36 @@
-"""Live views over streams (T3, T4).
+"""Operators on streams (T3, T4).
 
 * :func:`live_metrics` — per-match running metrics as a native streaming aggregate
   (``groupBy(match_id, player_id)`` of the same algebraic counts as the batch
   operator, state in the state store), refreshed at every micro-batch in
   ``update`` mode.
-* :func:`live_ratings` — the rating recurrence as keyed state: ``groupBy(player_id)
-  .applyInPandasWithState`` keeps each player's last rating; each micro-batch's
-  facts of a player are folded in (match_date, match_id) order.  It assumes each
-  match is closed once and in date order; the batch rating scan over the stored
-  facts stays the reference result.
+* :func:`live_ratings` — the rating recurrence over a stream of match facts, corrected when
+  facts come late, again, or are taken back.  Keyed state holds a player's matches in
+  blocks of days and of each block its chain link (matches n, fold from 0): a block takes
+  a start x to x * 2^-n + end, so a change refolds the blocks from its own on, and what is
+  emitted are the rows from the changed match on.
+
+The ingest keeps both for its open matches without a stream of their own (:mod:`.views`).
 """
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterator
+import datetime as dt
+import json
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import codes as C
 from ..operators.metrics import metric_counts, metrics_from_counts
-from ..sources.records import events_from_records, parse_records
+from ..operators.ratings import BLOCK_DAYS
 
 RATING_OUT = "player_id string, match_date date, match_id string, old_rating double, rating double, " \
              "change_in_rating double"
-RATING_STATE = "rating double"
+RATING_STATE = "history string"
 KEYS = ("match_id", "player_id")
 
 
@@ -48,49 +50,107 @@ def live_metrics(events: DataFrame, event_time: str | None = None, lateness: str
     return metrics_from_counts(counted, keys=(*KEYS, "window")).select("*", start).drop("window")
 
 
-def start_live_views(lines: DataFrame, store: str, checkpoint_location: str, **trigger) -> tuple[StreamingQuery, StreamingQuery]:
-    """The views fed by the record stream of the ingest: running metrics from its event
-    records, appended per micro-batch under ``live_metrics``, and ratings from the facts
-    that the ingest closes in ``store``, under ``live_ratings``.  ``trigger``: arguments
-    of the writer's trigger, such as ``availableNow=True``."""
-    spark = lines.sparkSession
-
-    def keep(table: str):
-        def run(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(os.path.join(store, table, f"batch_id={batch_id}"))
-        return run
-
-    events = events_from_records(parse_records(lines))
-    facts_schema = spark.read.parquet(os.path.join(store, "match_facts")).drop("batch_id").schema
-    facts = spark.readStream.schema(facts_schema).parquet(os.path.join(store, "match_facts", "batch_id=*"))
-    started = []
-    for table, view, mode in (("live_metrics", live_metrics(events), "update"), ("live_ratings", live_ratings(facts), "append")):
-        writer = view.writeStream.outputMode(mode).foreachBatch(keep(table))
-        started.append(writer.option("checkpointLocation", os.path.join(checkpoint_location, table)).trigger(**trigger).start())
-    return started[0], started[1]
+class History:
+    """A player's matches: blocks of [day, match id, performance, version], sorted, and the
+    chain link [n, end] of each.  A performance of None marks a match that was taken back."""
+
+    def __init__(self, text: str | None = None, block_days: int = BLOCK_DAYS) -> None:
+        blocks, links = json.loads(text) if text else ({}, {})
+        self.blocks: dict[int, list[list]] = {int(b): rows for b, rows in blocks.items()}
+        self.links: dict[int, list] = {int(b): link for b, link in links.items()}
+        self.block_days = block_days
+
+    def text(self) -> str:
+        return json.dumps([self.blocks, self.links])
+
+    def change(self, facts: Iterable[tuple[int, str, float | None, int]]) -> list[tuple[int, str, float | None, float | None]]:
+        """Takes in (day, match id, performance, version) and gives the rows (day, match id,
+        old rating, rating) that are new or may have changed, in order; the ratings of a match
+        taken back are None.  A fact older than what is known of its match changes nothing."""
+        at = {row[1]: b for b, rows in self.blocks.items() for row in rows}
+        first, dirty, gone = None, set(), []
+        for day, match, perf, version in sorted(facts, key=lambda f: f[3]):
+            block = day // self.block_days
+            known = next(r for r in self.blocks[at[match]] if r[1] == match) if match in at else None
+            if known and (known[3] > version or known[:3] == [day, match, perf]):
+                known[3] = max(known[3], version)
+                continue
+            if known:
+                self.blocks[at[match]].remove(known)
+                dirty.add(at[match])
+                first = min(first or (known[0], match), (known[0], match))
+            self.blocks.setdefault(block, []).append([day, match, perf, version])
+            at[match] = block
+            dirty.add(block)
+            first = min(first or (day, match), (day, match))
+            if perf is None and known:
+                gone.append((day, match, None, None))
+        if first is None:
+            return []
+        for b in dirty:
+            self.blocks[b].sort(key=lambda r: (r[0], r[1]))
+            n, end = 0, 0.0
+            for _, _, perf, _ in self.blocks[b]:
+                if perf is not None:
+                    n, end = n + 1, (end + perf) / 2
+            self.links[b] = [n, end]
+        return gone + self._rows_from(first)
+
+    def _rows_from(self, first: tuple[int, str]) -> list[tuple[int, str, float, float]]:
+        x, out = C.INITIAL_RATING, []
+        for b in sorted(self.blocks):
+            if b < first[0] // self.block_days:
+                n, end = self.links[b]
+                x = x * 2.0 ** -n + end
+                continue
+            for day, match, perf, _ in self.blocks[b]:
+                if perf is not None:
+                    old, x = x, (x + perf) / 2
+                    if (day, match) >= first:
+                        out.append((day, match, old, x))
+        return out
+
+
+_EPOCH = dt.date(1970, 1, 1)
 
 
 def _fold_state(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rating = state.get[0] if state.exists else C.INITIAL_RATING
-    parts = [p for p in pdfs]
-    pdf = pd.concat(parts).sort_values(["match_date", "match_id"]) if parts else pd.DataFrame()
-    old, new = [], []
-    for perf in pdf["player_performance"].tolist():
-        old.append(rating)
-        rating = (rating + perf) / 2
-        new.append(rating)
-    state.update((rating,))
-    out = pd.DataFrame({
-        "player_id": pdf["player_id"].to_numpy(), "match_date": pdf["match_date"].to_numpy(),
-        "match_id": pdf["match_id"].to_numpy(), "old_rating": old, "rating": new,
-    })
-    out["change_in_rating"] = out["rating"] - out["old_rating"]
-    yield out
-
-
-def live_ratings(facts: DataFrame) -> DataFrame:
-    """Streaming rating history from a stream of match facts (output mode 'append')."""
-    return (facts.select("player_id", "match_date", "match_id", "player_performance")
+    history = History(state.get[0] if state.exists else None)
+    facts = []
+    for pdf in pdfs:
+        for date, match, perf, removed, version in zip(pdf["match_date"], pdf["match_id"], pdf["player_performance"], pdf["removed"],
+                                                       pdf["version"], strict=True):
+            facts.append(((date - _EPOCH).days, match, None if removed else float(perf), int(version)))
+    rows = history.change(facts)
+    state.update((history.text(),))
+    out = pd.DataFrame(rows, columns=["day", "match_id", "old_rating", "rating"]).astype({"old_rating": "float64", "rating": "float64"})
+    yield pd.DataFrame({
+        "player_id": [key[0]] * len(out), "match_date": [_EPOCH + dt.timedelta(days=int(d)) for d in out["day"]],
+        "match_id": out["match_id"], "old_rating": out["old_rating"], "rating": out["rating"],
+        "change_in_rating": out["rating"] - out["old_rating"]})
+
+
+def live_ratings(facts: DataFrame, mode: str = "append") -> DataFrame:
+    """The log of a player's rating rows from a stream of match facts: of the rows of one
+    (player_id, match_id) the last one counts (:func:`current_ratings`), one without a
+    rating takes the match back.
+
+    ``facts`` may come late, in any order and again; ``version`` (a column of ``facts``, 0
+    where there is none) tells which of a match's facts counts, the later one of equal
+    versions; ``removed`` (false where there is none) takes a player's match back.  Facts
+    without a date, match or player are left out.  ``mode``: the query's output mode."""
+    version = F.col("version").cast("bigint") if "version" in facts.columns else F.lit(0).cast("bigint")
+    removed = F.col("removed") if "removed" in facts.columns else F.lit(False)
+    return (facts.filter("player_id is not null and match_id is not null and match_date is not null")
+            .select("player_id", "match_date", "match_id", F.coalesce("player_performance", F.lit(0.0)).alias("player_performance"),
+                    F.coalesce(removed, F.lit(False)).alias("removed"), F.coalesce(version, F.lit(0)).cast("bigint").alias("version"))
             .groupBy("player_id")
-            .applyInPandasWithState(_fold_state, RATING_OUT, RATING_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+            .applyInPandasWithState(_fold_state, RATING_OUT, RATING_STATE, mode, GroupStateTimeout.NoTimeout))
+
+
+def current_ratings(log: DataFrame, order: str = "batch_id") -> DataFrame:
+    """The rating history a log of :func:`live_ratings` amounts to; ``order``: the column that
+    grows from micro-batch to micro-batch."""
+    rest = [c for c in log.columns if c not in ("player_id", "match_id", order)]
+    return (log.groupBy("player_id", "match_id").agg(F.max_by(F.struct(*rest), order).alias("r"))
+            .select("player_id", "match_id", *[F.col(f"r.{c}").alias(c) for c in rest]).filter("rating is not null"))

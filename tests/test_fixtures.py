@@ -256,8 +256,8 @@ def test_ratings_do_not_depend_on_exchange_reuse_or_block_length(spark, reuse):
 
 def test_points_without_an_age_do_not_bend_a_fit(spark):
     points = [("g", x, 0.5 + 0.1 * x) for x in (1, 2, 3, 4)]
-    fits = [one(regression.fit_quadratic(spark.createDataFrame(rows, "k string, age int, rating double"), ["k"], few_keys=few))
-            for rows in (points, [*points, ("g", None, 9.0), ("g", 3, None)]) for few in (False, True)]
+    fits = [one(regression.fit_quadratic(spark.createDataFrame(rows, "k string, age int, rating double"), ["k"]))
+            for rows in (points, [*points, ("g", None, 9.0), ("g", 3, None)])]
     for fit in fits:
         assert (fit.n_points, fit.degree) == (4, 2)
         assert (fit.b0, fit.b1) == (pytest.approx(0.75), pytest.approx(0.1)) and abs(fit.b2) < 1e-12
@@ -305,3 +305,61 @@ def test_last_record_of_a_match_counts(spark):
         p = squads.participants(m)
         assert one(p).goals == 2
         assert one(matches.match_summary(p, m, teams)).asDict()["winner"] == "Reds"
+
+
+def test_fits_from_merged_moments(spark):
+    """Any split of the rows, merged, gives numpy's coefficients; ages far from zero and over decades."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = []
+    for k, (lo, hi, n) in {"narrow": (12_000, 12_003, 60), "wide": (6_000, 15_000, 80), "two": (9_000, 9_001, 9), "one": (8_191, 8_191, 4),
+                           "negative": (-70, 70, 30), "few": (64, 66, 12)}.items():
+        ages = rng.integers(lo, hi, n, endpoint=True)
+        rows += [(k, int(a), float(0.4 + 1e-4 * (a - lo) - 1e-7 * (a - lo) ** 2 + 0.01 * rng.standard_normal())) for a in ages]
+    df = spark.createDataFrame(rows, "k string, age int, rating double")
+    parts = [regression.age_moments(df.filter(F.pmod(F.xxhash64("age", "rating"), F.lit(3)) == i), ["k"]) for i in range(3)]
+    merged = regression.merge_moments(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["k"])
+    whole = {r.k: r for r in regression.fit_quadratic(df, ["k"]).collect()}
+    for r in regression.fit_from_moments(merged, ["k"]).collect():
+        x = np.array([a for k, a, _ in rows if k == r.k], float)
+        y = np.array([v for k, _, v in rows if k == r.k])
+        assert r.degree == min(2, len(set(x)) - 1) == whole[r.k].degree and r.mean_age == pytest.approx(x.mean())
+        want = np.polynomial.polynomial.polyfit(x - x.mean(), y, r.degree)
+        at = np.array([r.b0, r.b1, r.b2])
+        grid = np.linspace(x.min(), x.max(), 7) - x.mean()
+        assert np.polynomial.polynomial.polyval(grid, at) == pytest.approx(np.polynomial.polynomial.polyval(grid, want), abs=1e-8)
+        assert at == pytest.approx([whole[r.k].b0, whole[r.k].b1, whole[r.k].b2], rel=1e-6, abs=1e-9)
+
+
+def test_malformed_dates_are_null(spark):
+    lines = spark.createDataFrame([('{"status":"Played","wyId":5,"dateutc":"unknown"}',), ('{"status":"Played","wyId":6,"dateutc":"2024-01-02 15:00:00"}',),
+                                   ('{"status":"Played","wyId":7}',)], "value string")
+    got = {r.match_id: r.match_date for r in records.matches_from_records(records.parse_records(lines)).collect()}
+    assert got == {"5": None, "6": dt.date(2024, 1, 2), "7": None}
+
+
+def test_lloyd_rounds_from_given_centres(spark):
+    """Against plain rounds: ties go to the first centre, an empty cluster keeps its centre."""
+    from pitchmetrics.operators import clustering
+    import random
+    rng = random.Random(1)
+    points = [(f"p{i}", 1, None, *[float(rng.randrange(6)) for _ in clustering.FEATURES]) for i in range(60)]
+    df = spark.createDataFrame(points, "player_id string, number_of_matches int, birth_date date, "
+                               + ", ".join(f"{f} double" for f in clustering.FEATURES))
+    start = [list(p[3:]) for p in points[:3]] + [[99.0] * 5]
+    centres = [list(c) for c in start]
+
+    def near(p):
+        return min(range(len(centres)), key=lambda i: (round(sum((a - b) ** 2 for a, b in zip(p, centres[i])), 6), i))
+    for _ in range(4):
+        owner = [near(p[3:]) for p in points]
+        centres = [[sum(v) / len(v) for v in zip(*[p[3:] for p, o in zip(points, owner) if o == i])] if i in owner else c for i, c in enumerate(centres)]
+    got = clustering.fit_centres(df, centres=start, rounds=4)
+    assert [[r[f] for f in clustering.FEATURES] for r in sorted(got.collect())] == [pytest.approx(c) for c in centres]
+    assigned = {r.player_id: r.prediction for r in clustering.assign(df, got).collect()}
+    assert assigned == {p[0]: near(p[3:]) for p in points}
+    same = clustering.fit_centres(df.repartition(5), k=3)
+    assert sorted(map(tuple, same.collect())) == [pytest.approx(t) for t in sorted(map(tuple, clustering.fit_centres(df.coalesce(1), k=3).collect()))]
+    one = spark.createDataFrame([points[0]], df.schema)
+    assert clustering.fit_centres(one).count() == 1 and clustering.fit_centres(df.limit(0)).count() == 0
+    assert clustering.assign(df.limit(0), clustering.fit_centres(df.limit(0))).count() == 0

@@ -48,9 +48,9 @@ def _write_files(spark, root, split=False):
         os.link(os.path.join(tmp, part), os.path.join(root, "in", f"day_{d:04d}.jsonl"))
 
 
-def _run(spark, root, files_per_trigger=None):
+def _run(spark, root, files_per_trigger=None, **settings):
     lines = ingest.record_stream(spark, os.path.join(root, "in"), max_files_per_trigger=files_per_trigger)
-    q = ingest.start_ingest(lines, os.path.join(root, "store"), os.path.join(root, "ckpt"), available_now=True)
+    q = ingest.start_ingest(lines, os.path.join(root, "store"), os.path.join(root, "ckpt"), available_now=True, **settings)
     q.awaitTermination(600)
     assert q.exception() is None
 
@@ -133,21 +133,6 @@ def test_two_records_of_a_match_in_one_batch(spark, scratch):
         assert [r.goals for r in _squads.participants(ingest.stored_matches(spark, store)).collect()] == [2]
 
 
-def test_live_views_are_fed_by_the_ingest(spark, scratch, batch_facts):
-    os.makedirs(os.path.join(scratch, "in"))
-    _write_files(spark, scratch)
-    _run(spark, scratch)
-    store = os.path.join(scratch, "store")
-    lines = ingest.record_stream(spark, os.path.join(scratch, "in"))
-    for q in live.start_live_views(lines, store, os.path.join(scratch, "views"), availableNow=True):
-        q.awaitTermination(600)
-        assert q.exception() is None
-    want = _metrics.match_metrics(testdata.events(spark, SF001))
-    got = ingest.latest(spark.read.parquet(os.path.join(store, "live_metrics")), ["match_id", "player_id"])
-    assert {tuple(r) for r in got.select(*want.columns).collect()} == {tuple(r) for r in want.collect()}
-    assert spark.read.parquet(os.path.join(store, "live_ratings")).count() == len(batch_facts)
-
-
 def test_live_ratings_state_equals_batch(spark, scratch):
     from pitchmetrics.operators import ratings as _ratings
     f = _facts.match_facts(_squads.participants(testdata.matches(spark, SF001)),

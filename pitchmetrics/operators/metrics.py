@@ -61,8 +61,8 @@ def pass_weights() -> tuple[Column, Column]:
     return num.cast("bigint"), den.cast("bigint")
 
 
-def metric_counts(events: DataFrame, keys: Sequence[str] = ("match_id", "player_id")) -> DataFrame:
-    """Conditional counts per key over real-player events.  Tag-based counts need a
+def metric_counts(events: DataFrame, keys: Sequence[str] = ("match_id", "player_id"), also: Sequence[Column] = ()) -> DataFrame:
+    """Conditional counts per key over real-player events, and the aggregates ``also``.  Tag-based counts need a
     non-empty tag list; fouls count every foul event; own goals any tagged event."""
     ev = with_tag_bits(player_events(events))
     e = F.col("event_id")
@@ -95,6 +95,7 @@ def metric_counts(events: DataFrame, keys: Sequence[str] = ("match_id", "player_
         count_if(shots & inacc).alias("n_shots_off_target"),
         count_if(e == C.EVENT_FOUL).alias("n_fouls"),
         count_if(tagged & has_tag(C.TAG_OWN_GOAL)).alias("n_own_goals"),
+        *also,
     )
 
 

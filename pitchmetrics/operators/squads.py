@@ -58,14 +58,14 @@ def squad_entries(matches: DataFrame) -> DataFrame:
                         ("redCards", "red_cards"))]))
 
 
-def participants(matches: DataFrame) -> DataFrame:
+def participants(matches: DataFrame, unique: bool = False) -> DataFrame:
     """One row per (match, player) named in a squad or a substitution of the latest
-    record of the match.
+    record of the match; ``unique``: there is one record a match.
 
     Columns: match_id, match_date, team_pos, team_id, player_id, squad
     ('lineup' | 'bench' | 'sub_only'), squad_index, minutes_played, goals,
     own_goals, yellow_cards, red_cards (record fields from the first squad entry)."""
-    matches = latest_matches(matches)
+    matches = matches if unique else latest_matches(matches)
     squad = squad_entries(matches).select(
         "match_id", "match_date", "player_id", "team_pos", "team_id", "squad_index", "in_lineup",
         "goals", "own_goals", "yellow_cards", "red_cards",

@@ -42,6 +42,7 @@ def local_session(cores: int = 8, app: str = "pitchmetrics") -> SparkSession:
     """A local session for tests and the benchmark (no UI, UTC, AQE on)."""
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
              .config("spark.ui.enabled", "false")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call sites for every column
              .config("spark.sql.shuffle.partitions", str(cores))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -17,8 +17,8 @@
 5. publishes a commit (:mod:`.store`), which makes all of this visible at once.
 
 How a match ends: with its record, when it is frozen.  Events whose record has not come
-``horizon_days`` after they were first seen (in newest match dates, so that a replay
-decides the same), and events that come for a match that has been frozen, go to
+``horizon_days`` after they were first met (by the newest match date of that batch, so
+that a replay decides the same), and events that come for a match that has been frozen, go to
 ``orphans`` with their counts; a record dated in the frozen part of the season goes to
 ``late_records``.  Nothing is lost: the archive holds all lines, and
 ``season_from_store(..., include_late=True)`` computes a season from it in full.  With
@@ -33,7 +33,10 @@ skipped.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -99,9 +102,9 @@ def _day(text: str | None):
     return F.lit(text).cast("date")
 
 
-def _records(store: Store, last: Commit, new: DataFrame, batch_id: int, through: str | None) -> DataFrame:
+def _records(store: Store, last: Commit, new: DataFrame, through: str | None) -> DataFrame:
     """The record that counts of each open match."""
-    both = store.hot(last, "records").unionByName(new.withColumn("batch", F.lit(batch_id)))
+    both = store.hot(last, "records").unionByName(new)
     rest = [c for c in both.columns if c != "match_id"]
     tie = F.xxhash64("label", "winner", "match_date", "duration", "venue", "gameweek")
     one = (both.groupBy("match_id").agg(F.max_by(F.struct(*rest), F.struct("arrival", "batch", tie)).alias("r"))
@@ -110,16 +113,14 @@ def _records(store: Store, last: Commit, new: DataFrame, batch_id: int, through:
     return one.withColumn("part", F.when(done, "done").otherwise("hot"))
 
 
-def _counts(store: Store, last: Commit, events: DataFrame, records: DataFrame, batch_id: int, newest: str | None,
-            through: str | None) -> DataFrame:
-    """The metric counts of the open matches, those that have no record yet included."""
-    new = _metrics.metric_counts(events).withColumn("seen", _day(newest)).withColumn("first_batch", F.lit(batch_id))
+def _counts(store: Store, last: Commit, events: DataFrame, records: DataFrame, gone: int) -> DataFrame:
+    """The metric counts of the open matches, those that have no record yet included; of
+    these, the ones first met up to batch ``gone`` are orphans."""
+    new = _metrics.metric_counts(events, also=[F.min("batch_id").alias("first_batch")])
     sums = (store.hot(last, "counts").unionByName(new).groupBy("match_id", "player_id")
-            .agg(*[F.sum(c).cast("bigint").alias(c) for c in _metrics.COUNT_COLUMNS],
-                 F.coalesce(F.min("seen"), _day(newest)).alias("seen"), F.min("first_batch").alias("first_batch")))
+            .agg(*[F.sum(c).cast("bigint").alias(c) for c in _metrics.COUNT_COLUMNS], F.min("first_batch").alias("first_batch")))
     dated = sums.join(records.select("match_id", F.col("part").alias("closed")), "match_id", "left")
-    gone = F.lit(False) if through is None else F.coalesce(F.col("seen") <= _day(through), F.lit(False))
-    return dated.withColumn("part", F.coalesce("closed", F.when(gone, "orphan").otherwise("hot"))).drop("closed")
+    return dated.withColumn("part", F.coalesce("closed", F.when(F.col("first_batch") <= gone, "orphan").otherwise("hot"))).drop("closed")
 
 
 def last_ratings(base: DataFrame) -> DataFrame:
@@ -140,16 +141,25 @@ def _frozen_sums(store: Store, last: Commit, batch_id: int, facts: DataFrame, ra
         "pairs": _chem.pair_sums(_chem.match_pair_steps(ratings)),
         "passes": passes,
     }
-    parts = {}
+    parts, writes = {}, []
     for table, new in made.items():
         before = last.parts.get(table, [])
         if len(before) >= COMPACT_PARTS:
             new, before = merged(table, store.sums(last, table).unionByName(new)), []
-        store.write(new, f"{table}/batch_id={batch_id}")
+        writes.append(lambda new=new, table=table: store.write(new, f"{table}/batch_id={batch_id}"))
         parts[table] = [*before, batch_id]
+    _together(store.spark, *writes)
     return parts
 
 
+def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Runs the writes of a batch that do not need each other at the same time: most of a
+    small batch's time is planning and committing."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            done.result()
+
+
 def merged(table: str, rows: DataFrame) -> DataFrame:
     """One row per key of a table of sums."""
     if table == "base":
@@ -172,26 +182,29 @@ def handle_batch(root: str, horizon_days: int | None = HORIZON_DAYS, freeze_days
         if batch_id <= last.batch:
             return
         _archive(store, batch, batch_id)
-        came = store.archived_batch("match", batch_id).select("record.*")
+        came = store.archived_batch("match", batch_id).select("record.*", F.col("batch_id").alias("batch"))
         late = F.lit(False) if last.through is None else F.col("match_date") <= _day(last.through)
         seen = came.agg(F.max("match_date").cast("string").alias("newest"), F.count(F.when(late, 1)).alias("late")).first()
         newest = _later(last.newest, seen.newest)
         through = _freeze_through(newest, last.through, horizon_days, freeze_days)
+        # batches after which the newest date was in the frozen part: what they met first is given up
+        moved = last.seen if newest == last.newest else [*last.seen, [batch_id, newest]]
+        moved = [m for m in moved if through is None or m[1] > through]
+        gone = moved[0][0] - 1 if through is not None else -1
         if seen.late:
-            store.write(came.filter(late), f"late_records/batch_id={batch_id}")
+            store.write(came.filter(late).drop("batch"), f"late_records/batch_id={batch_id}")
 
         hot = f"hot/batch_id={batch_id}"
         # a record dated in the frozen part is late, whether or not its match was known
-        store.write(_records(store, last, came.filter(~late), batch_id, through), f"{hot}/records", by_part=True)
-        records = store.read("records", f"{hot}/records", "*")
-        events = store.archived_batch("event", batch_id).select("event.*")
-        store.write(_counts(store, last, events, records, batch_id, newest, through), f"{hot}/counts", by_part=True)
-        counts = store.read("counts", f"{hot}/counts", "*")
-
+        records = _records(store, last, came.filter(~late), through)
+        events = store.archived_batch("event", batch_id).select("event.*", "batch_id")
+        counts = _counts(store, last, events, records, gone)
         part = F.when(F.lit(False) if through is None else F.col("match_date") <= _day(through), "done").otherwise("hot").alias("part")
         metrics = _metrics.metrics_from_counts(counts.filter(F.col("part") != "orphan"))
-        store.write(_facts.match_facts(_squads.participants(records.drop("part", "batch")), metrics).select("*", part),
-                    f"facts/batch_id={batch_id}", by_part=True)
+        closed = _facts.match_facts(_squads.participants(records.drop("part", "batch"), unique=True), metrics).select("*", part)
+        # the open matches' state is small: facts are computed beside its writing, not after it
+        _together(spark, lambda: store.write(records, f"{hot}/records", by_part=True), lambda: store.write(counts, f"{hot}/counts", by_part=True),
+                  lambda: store.write(closed, f"facts/batch_id={batch_id}", by_part=True))
         facts = store.read("facts", f"facts/batch_id={batch_id}", "*")
         rated = _ratings.rating_history(facts, carry=("team_pos", "squad"), base=last_ratings(store.sums(last, "base")))
         store.write(rated.select("*", part), f"ratings/batch_id={batch_id}", by_part=True)
@@ -199,9 +212,10 @@ def handle_batch(root: str, horizon_days: int | None = HORIZON_DAYS, freeze_days
         parts = last.parts
         if through != last.through:
             ratings = store.read("ratings", f"ratings/batch_id={batch_id}", "done")
+            counts = store.read("counts", f"{hot}/counts", "*")
             parts = _frozen_sums(store, last, batch_id, facts.filter("part = 'done'"), ratings, counts)
             store.write(counts.filter("part = 'orphan'").drop("part"), f"orphans/batch_id={batch_id}")
-        store.publish(Commit(batch_id, query or last.query, newest, through, parts))
+        store.publish(Commit(batch_id, query or last.query, newest, through, parts, moved))
 
     return run
 

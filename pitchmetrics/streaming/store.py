@@ -32,7 +32,7 @@ KEPT = 3
 
 _RECORDS = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.MATCH_RECORDS.fields)
 COUNTS = ("match_id string, player_id string, " + ", ".join(f"{c} bigint" for c in _metrics.COUNT_COLUMNS)
-          + ", seen date, first_batch int")
+          + ", first_batch int")
 FACTS = ("match_id string, player_id string, match_date date, team_pos int, team_id string, squad string, squad_index int, "
          "minutes_played int, goals int, own_goals int, yellow_cards int, red_cards int, "
          + ", ".join(f"{c} {'bigint' if c.startswith('n') else 'double'}" for c in _metrics.METRIC_COLUMNS)
@@ -66,6 +66,7 @@ class Commit:
     newest: str | None = None                # the latest match date so far
     through: str | None = None               # matches up to this date are frozen
     parts: dict[str, list[int]] = field(default_factory=dict)
+    seen: list[list] = field(default_factory=list)   # [batch, newest] where a batch moved it past ``through``
 
 
 class Store:
@@ -166,5 +167,7 @@ class Store:
         return df if last is None else df.filter(F.col("batch_id") <= last)
 
     def archived_batch(self, kind: str, batch_id: int) -> DataFrame:
-        """The same of one batch, without listing the others."""
-        return self.spark.read.schema(ARCHIVE + ", kind string").parquet(f"{self.root}/archive/batch_id={batch_id}").filter(F.col("kind") == kind)
+        """The same of one batch, without listing the others.  Its number is a column read from
+        the path: as a literal it would be compiled into new code for every batch."""
+        reader = self.spark.read.schema(ARCHIVE + ", batch_id int, kind string").option("basePath", f"{self.root}/archive")
+        return reader.parquet(f"{self.root}/archive/batch_id={batch_id}").filter(F.col("kind") == kind)

@@ -29,8 +29,8 @@ class LiveViews:
         return _metrics.metrics_from_counts(self.store.hot(self.commit, "counts"))
 
     def waiting(self) -> DataFrame:
-        """(match_id, seen): open matches whose record has not come yet."""
-        open_ = self.store.hot(self.commit, "counts").groupBy("match_id").agg(F.min("seen").alias("seen"))
+        """(match_id, first_batch): open matches whose record has not come yet."""
+        open_ = self.store.hot(self.commit, "counts").groupBy("match_id").agg(F.min("first_batch").alias("first_batch"))
         return open_.join(self.store.hot(self.commit, "records").select("match_id"), "match_id", "left_anti")
 
     def facts(self) -> DataFrame:

@@ -17,7 +17,9 @@ def spark():
     from pitchmetrics.session import configure
     s = (SparkSession.builder.master("local[4]").appName("pitchmetrics-tests")
          .config("spark.ui.enabled", "false")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call sites for every column
          .config("spark.sql.shuffle.partitions", "4")
+         .config("spark.driver.memory", "4g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     configure(s)

@@ -17,9 +17,9 @@ A task keeps one block and a chunk of those who ask, and returns a count for eac
 and a spanning forest of the links it found, never the pairs of a group.  A link counts
 for both ends: a member whose own search cannot meet the asker gets a count too.
 
-Defined cases: null or zero vectors, vectors with a null, NaN or infinite component, and
-vectors whose length is not the most common one link with nothing; rows of equal vectors
-are linked; repeated rows are rows of their own; rows with a null key are linked like
+Defined cases: null or zero vectors and vectors with a null, NaN or infinite component link
+with nothing; vectors of different lengths have no cosine, so those of each length are
+searched on their own; rows of equal vectors are linked; repeated rows are rows of their own; rows with a null key are linked like
 others, and a component's id is its smallest key that is not null; an empty table gives
 an empty one; other columns are ignored.
 """
@@ -313,21 +313,11 @@ def recall(nodes: DataFrame, found: DataFrame, least: float) -> float:
     return total / many if many else 1.0
 
 
-def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.9) -> DataFrame:
-    """(key, n_links, component_id, kept) of every row."""
-    v = F.col(vector)
-    base = df.select(F.col(key).alias("key"), v.alias("vector"), _usable(v).alias("ok"), F.size(v).alias("dims"),
-                     F.xxhash64(v.cast("array<double>")).alias("x"), F.xxhash64(F.lit("v"), v.cast("array<double>")).alias("y"))
-    base = stored(base.withColumn("id", F.monotonically_increasing_id()), "vectors")
-    dims = base.filter("ok").groupBy("dims").count().orderBy(F.desc("count"), "dims").first()
-    usable = base.filter(F.col("ok") & (F.col("dims") == (dims.dims if dims else -1)))
+def _linked(usable: DataFrame, least: float) -> DataFrame:
+    """(x, y, n_links, component_id) of the classes of equal vectors; all vectors have one length."""
     classes = stored(usable.groupBy("x", "y").agg(F.min("id").alias("node"), F.min("key").alias("low"), F.count(F.lit(1)).alias("weight")), "classes")
     nodes = stored(classes.join(usable.select(F.col("id").alias("node"), "vector"), "node").select("node", "weight", "vector"), "nodes")
     n = nodes.count()
-    rows = base.select("key", "x", "y", "id")
-    if not n:
-        return rows.select(F.col("key").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("key").alias("component_id"),
-                           F.lit(True).alias("kept"))
     sample = _unit(nodes.select("vector", F.xxhash64(F.lit("sample"), "node").alias("o")).orderBy("o").limit(SAMPLE).toPandas()["vector"])
     c = centroids(sample, max(1, min(len(sample) // 8, n * OVERLAP // MEMBERS)))
     shard = merged(c, least)
@@ -346,7 +336,24 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     named = (classes.join(found, "node").join(groups, "node", "left")
              .select("x", "y", "low", (F.col("found") + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("c")))
     lows = named.groupBy("c").agg(F.min("low").alias("component_id"))
-    per_class = named.join(lows, "c").select("x", "y", "n_links", "component_id")
+    return named.join(lows, "c").select("x", "y", "n_links", "component_id")
+
+
+def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.9) -> DataFrame:
+    """(key, n_links, component_id, kept) of every row."""
+    v = F.col(vector)
+    base = df.select(F.col(key).alias("key"), v.alias("vector"), _usable(v).alias("ok"), F.size(v).alias("dims"),
+                     F.xxhash64(v.cast("array<double>")).alias("x"), F.xxhash64(F.lit("v"), v.cast("array<double>")).alias("y"))
+    base = stored(base.withColumn("id", F.monotonically_increasing_id()), "vectors")
+    rows = base.select("key", "x", "y", "id")
+    lengths = [r.dims for r in base.filter("ok").select("dims").distinct().orderBy("dims").collect()]
+    if not lengths:
+        return rows.select(F.col("key").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("key").alias("component_id"),
+                           F.lit(True).alias("kept"))
+    per_class = None
+    for n in lengths:
+        own = _linked(base.filter(F.col("ok") & (F.col("dims") == n)), least)
+        per_class = own if per_class is None else per_class.unionByName(own)
     out = rows.join(per_class, ["x", "y"], "left")
     component = F.coalesce("component_id", "key")
     return out.select(F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

@@ -137,3 +137,17 @@ def test_audit_is_per_node_with_links(spark):
     assert vectorgraph.recall(nodes.filter("node < 2900"), found, 0.9) == 0.0
     exact = spark.createDataFrame([(i, int(links[i])) for i in range(3000)], "node long, found long")
     assert vectorgraph.recall(nodes, exact, 0.9) == 1.0
+
+
+def test_each_length_is_searched(spark):
+    """Vectors of three lengths, the rarest with a pair, and equal rows, link among themselves."""
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(_pairs(8, 60, 10, 0.99))]
+    short = rng.normal(size=(6, 5))
+    short[1] = short[0] * 3 + 0.001
+    rows += [(100 + i, v.tolist()) for i, v in enumerate(short)] + [(200, [1.0, 2.0]), (201, [1.0, 2.0]), (202, None), (203, [0.0, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           vectorgraph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [got[i] for i in (100, 101, 200, 201, 202, 203)] == [(1, 100), (1, 100), (1, 200), (1, 200), (0, 202), (0, 203)]
+    assert all(got[i] == (1, i) and got[10 + i] == (1, i) for i in range(10))
+    assert len(got) == len(rows)
